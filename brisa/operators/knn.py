@@ -99,8 +99,10 @@ def _cells(spec: GridSpec, a: str, b: str) -> list[Column]:
             F.floor((F.col(b) - F.lit(spec.y0)) / w).alias("cy")]
 
 
-_OFFSETS_3x3 = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                         for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+def _block3() -> Column:
+    """The 3x3 block of cell offsets around a cell."""
+    return F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                     for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
 
 
 def _ring(r: Column) -> Column:
@@ -140,7 +142,7 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
 
     # 3. finest level whose 3x3 block holds k_eff rows
     te_l = te.withColumn("lvl", F.explode(levels)).select("*", *_cells(spec, "qa", "qb"))
-    blocks = (te_l.withColumn("o", F.explode(_OFFSETS_3x3))
+    blocks = (te_l.withColumn("o", F.explode(_block3()))
               .select("g", "qid", "lvl", (F.col("cx") + F.col("o.dx")).alias("cx"),
                       (F.col("cy") + F.col("o.dy")).alias("cy"))
               .join(counts, ["g", "lvl", "cx", "cy"])
@@ -161,7 +163,7 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
         return cand.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
 
     # 4. round A: 3x3 block
-    ranked_a = top_k(te_c, _OFFSETS_3x3).checkpoint()
+    ranked_a = top_k(te_c, _block3())
     stats = (ranked_a.groupBy("g", "qid", "lvl").agg(F.count(F.lit(1)).alias("n"),
                                                      F.max("d2").alias("kd2"))
              .join(k_eff, "g")

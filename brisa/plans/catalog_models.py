@@ -255,16 +255,18 @@ def score_newest(spark, d):
 
 
 def _saved_predictions(spark, d):
-    """Three runs, each scoring the future forecasts of one lead time, appended
-    to one prediction table with their run stamps; then read back."""
+    """Three runs, each saving the scored future forecasts of one lead time
+    under its own run stamp, appended to one prediction table; read back.
+
+    The forecasts are scored in one neighbour search and checkpointed, so
+    the three appends reuse it instead of searching three times.
+    """
     path = scratch_path(spark, "predictions")
-    fut = future_horizon(S.forecasts(spark, d), "time", AS_OF).withColumn(
-        "Angle", compass_angle("Direction"))
-    model = _model(spark, d)
+    fut = future_horizon(S.forecasts(spark, d), "time", AS_OF).filter(
+        F.col("Lead_hours") <= len(STAMPS)).withColumn("Angle", compass_angle("Direction"))
+    scored = W.score_forecasts(_model(spark, d), K, fut, "event_id").checkpoint()
     for i, stamp in enumerate(STAMPS):
-        rows = fut.filter(F.col("Lead_hours") == i + 1)
-        scored = W.score_forecasts(model, K, rows, "event_id")
-        SK.save_predictions(scored, path, stamp)
+        SK.save_predictions(scored.filter(F.col("Lead_hours") == i + 1), path, stamp)
     return SK.load_predictions(spark, path)
 
 

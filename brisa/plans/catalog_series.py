@@ -35,6 +35,11 @@ E11_SQL = f"""WITH gen AS ({GEN_SQL}), fc AS ({FC_SQL}),
     FROM energy e JOIN wind w ON e.time = w.time"""
 
 
+def _date_label(df):
+    """Calendar date as midnight TIMESTAMP_NTZ (same value type in both engines)."""
+    return df.withColumn("Date", F.col("Date").cast("timestamp_ntz"))
+
+
 def training_set(spark, d):
     return W.e11_training_set(S.generation(spark, d), S.forecasts(spark, d), AS_OF, HISTORY_DAYS, 1)
 
@@ -86,11 +91,11 @@ def resample_fill(spark, d):
     return out.withColumn("Total", F.round("Total", 6))
 
 
-@register("hourly_mean", f"""SELECT CAST(time AS DATE) AS Date, CAST(hour(time) AS INTEGER) AS Hour,
+@register("hourly_mean", f"""SELECT CAST(CAST(time AS DATE) AS TIMESTAMP) AS Date, CAST(hour(time) AS INTEGER) AS Hour,
     round(avg(Total), 6) AS Total_Average FROM ({GEN_SQL}) GROUP BY 1, 2""")
 def hourly_mean(spark, d):
     out = TS.hourly_mean(S.generation(spark, d), "time", "Total")
-    return out.withColumn("Total_Average", F.round("Total_Average", 6))
+    return _date_label(out.withColumn("Total_Average", F.round("Total_Average", 6)))
 
 
 @register("time_join", f"""WITH m AS (SELECT time_bucket(INTERVAL 3 HOUR, time) AS time, avg(Total) AS Total
@@ -149,9 +154,9 @@ def e11_training_set(spark, d):
     return training_set(spark, d).withColumn("Energy", F.round("Energy", 6))
 
 
-@register("e13_hourly_actuals", f"""SELECT CAST(time AS DATE) AS Date, CAST(hour(time) AS INTEGER) AS Hour,
+@register("e13_hourly_actuals", f"""SELECT CAST(CAST(time AS DATE) AS TIMESTAMP) AS Date, CAST(hour(time) AS INTEGER) AS Hour,
     round(avg(Total), 6) AS Total_Average FROM ({GEN_SQL})
     WHERE time > TIMESTAMP '2024-01-22 00:00:00' AND Total > 0 AND NOT isnan(Total) GROUP BY 1, 2""")
 def e13_hourly_actuals(spark, d):
     out = W.e13_hourly_actuals(S.generation(spark, d), AS_OF, 3)
-    return out.withColumn("Total_Average", F.round("Total_Average", 6))
+    return _date_label(out.withColumn("Total_Average", F.round("Total_Average", 6)))
