@@ -19,13 +19,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # CSV options that survive text with newlines, commas, quotes and edge blanks.
+# Nulls are written as the \N marker so that an empty string stays an empty
+# string (a text consisting of exactly \N would read back as null).
+CSV_NULL = "\\N"
 CSV_WRITE_OPTIONS = {
-    "header": "true", "quote": '"', "escape": '"', "quoteAll": "true",
+    "header": "true", "quote": '"', "escape": '"', "quoteAll": "true", "nullValue": CSV_NULL,
+    "emptyValue": '""',
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8", "lineSep": "\n",
 }
 CSV_READ_OPTIONS = {
-    "header": "true", "quote": '"', "escape": '"', "multiLine": "true",
+    "header": "true", "quote": '"', "escape": '"', "multiLine": "true", "nullValue": CSV_NULL,
+    "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8", "mode": "FAILFAST",
 }
