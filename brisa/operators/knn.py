@@ -133,52 +133,62 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
     # 1. at most k rows per exact feature point (lowest ids win ties anyway)
     wdup = Window.partitionBy("g", "a", "b").orderBy("rid")
     tr = tr.withColumn("__dup", F.row_number().over(wdup)).filter(F.col("__dup") <= k).drop("__dup")
-    k_eff = tr.groupBy("g").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("k_eff"))
 
     # 2. cell keys at every level and cell counts
     levels = F.array(*[F.lit(l) for l in spec.levels])
     tr_l = tr.withColumn("lvl", F.explode(levels)).select("*", *_cells(spec, "a", "b"))
     counts = tr_l.groupBy("g", "lvl", "cx", "cy").agg(F.count(F.lit(1)).alias("c"))
 
-    # 3. finest level whose 3x3 block holds k_eff rows
+    # 3. finest level whose 3x3 block holds k rows, in ONE aggregate per
+    #    query: one conditional sum per level.  The top level's block holds
+    #    the whole group, so k_eff = min(k, that count) handles small groups.
+    #    The query's coordinates ride along as grouping keys (no join back).
+    q = ["g", "qid", "qa", "qb"]
     te_l = te.withColumn("lvl", F.explode(levels)).select("*", *_cells(spec, "qa", "qb"))
-    blocks = (te_l.withColumn("o", F.explode(_block3()))
-              .select("g", "qid", "lvl", (F.col("cx") + F.col("o.dx")).alias("cx"),
-                      (F.col("cy") + F.col("o.dy")).alias("cy"))
-              .join(counts, ["g", "lvl", "cx", "cy"])
-              .groupBy("g", "qid", "lvl").agg(F.sum("c").alias("c"))
-              .join(k_eff, "g").filter(F.col("c") >= F.col("k_eff")))
-    chosen = blocks.groupBy("g", "qid").agg(F.min("lvl").alias("lvl"))
-    te_c = te.join(chosen, ["g", "qid"]).select("*", *_cells(spec, "qa", "qb"))
+    hits = (te_l.withColumn("o", F.explode(_block3()))
+            .select(*q, "lvl", (F.col("cx") + F.col("o.dx")).alias("cx"),
+                    (F.col("cy") + F.col("o.dy")).alias("cy"))
+            .join(counts, ["g", "lvl", "cx", "cy"]))
+    per_level = hits.groupBy(*q).agg(
+        *[F.sum(F.when(F.col("lvl") == l, F.col("c"))).alias(f"c{i}") for i, l in enumerate(spec.levels)])
+    top = f"c{len(spec.levels) - 1}"
+    k_eff = F.least(F.lit(k), F.coalesce(F.col(top), F.lit(0)))
+    pick = F.coalesce(*[F.when(F.col(f"c{i}") >= F.col("k_eff"), F.lit(l))
+                        for i, l in enumerate(spec.levels)])
+    chosen = (per_level.withColumn("k_eff", k_eff).filter(F.col("k_eff") > 0)
+              .select(*q, "k_eff", pick.alias("lvl"))
+              .select("*", *_cells(spec, "qa", "qb")))
 
     def top_k(queries: DataFrame, offsets: Column) -> DataFrame:
         cand = (queries.withColumn("o", F.explode(offsets))
-                .select("g", "qid", "lvl", "qa", "qb", (F.col("cx") + F.col("o.dx")).alias("cx"),
-                        (F.col("cy") + F.col("o.dy")).alias("cy"))
-                .join(tr_l, ["g", "lvl", "cx", "cy"])
-                .select("g", "qid", "lvl", "rid", "y", *carry,
+                .select(*q, "k_eff", "lvl", (F.col("cx") + F.col("o.dx")).alias("ncx"),
+                        (F.col("cy") + F.col("o.dy")).alias("ncy"), F.col("cx").alias("qcx"),
+                        F.col("cy").alias("qcy"))
+                .join(tr_l.withColumnRenamed("cx", "ncx").withColumnRenamed("cy", "ncy"),
+                      ["g", "lvl", "ncx", "ncy"])
+                .select(*q, "k_eff", "lvl", "qcx", "qcy", "rid", "y", *carry,
                         ((F.col("qa") - F.col("a")) * (F.col("qa") - F.col("a"))
                          + (F.col("qb") - F.col("b")) * (F.col("qb") - F.col("b"))).alias("d2")))
         w = Window.partitionBy("g", "qid").orderBy("d2", "rid")
         return cand.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
 
-    # 4. round A: 3x3 block
-    ranked_a = top_k(te_c, _block3())
-    stats = (ranked_a.groupBy("g", "qid", "lvl").agg(F.count(F.lit(1)).alias("n"),
-                                                     F.max("d2").alias("kd2"))
-             .join(k_eff, "g")
-             .withColumn("w", _width(spec))
-             .withColumn("done", (F.col("n") >= F.col("k_eff"))
-                         & (F.col("kd2") <= (F.col("w") * (1 - EPS)) * (F.col("w") * (1 - EPS)))))
-    done = stats.filter("done").select("g", "qid")
+    # 4. round A: the 3x3 block; per-query stats come from window aggregates
+    #    over the same partitioning (no extra shuffle)
+    wq = Window.partitionBy("g", "qid")
+    width = _width(spec)
+    ranked_a = (top_k(chosen, _block3())
+                .withColumn("n", F.count(F.lit(1)).over(wq))
+                .withColumn("kd2", F.max("d2").over(wq))
+                .withColumn("w", width)
+                .withColumn("done", (F.col("n") >= F.col("k_eff"))
+                            & (F.col("kd2") <= (F.col("w") * (1 - EPS)) * (F.col("w") * (1 - EPS)))))
     # 5. round B: the ring that contains every row within the k-th distance
-    todo = (stats.filter(~F.col("done"))
-            .withColumn("R", (F.floor(F.sqrt("kd2") / F.col("w") * (1 + EPS)) + 1).cast("int"))
-            .select("g", "qid", "R")
-            .join(te_c, ["g", "qid"]))
-    ranked_b = top_k(todo, _ring(F.col("R")))
-    out = ranked_a.join(done, ["g", "qid"], "left_semi").unionByName(ranked_b)
-    return out.select("g", "qid", "rk", "rid", "y", "d2", *carry)
+    seeds = (ranked_a.filter(~F.col("done") & (F.col("rk") == 1))
+             .withColumn("R", (F.floor(F.sqrt("kd2") / F.col("w") * (1 + EPS)) + 1).cast("int"))
+             .select(*q, "k_eff", "lvl", F.col("qcx").alias("cx"), F.col("qcy").alias("cy"), "R"))
+    ranked_b = top_k(seeds, _ring(F.col("R")))
+    cols = ["g", "qid", "rk", "rid", "y", "d2", *carry]
+    return ranked_a.filter(F.col("done")).select(*cols).unionByName(ranked_b.select(*cols))
 
 
 def knn_predict(train: DataFrame, test: DataFrame, k: int, **kw) -> DataFrame:

@@ -377,3 +377,38 @@ def run_search(spark, d):
         r2v = _holdout(spark, d, k).first()["r2"]
         SK.log_run(spark, path, f"run-{i}", {"model": "KNN"}, {"KNN_neighbors": k, "Score": r2v}, at)
     return SK.search_runs(spark, path, ["model", "KNN_neighbors", "Score"])
+
+
+# ------------------------------------------------------------------ streaming re-run, CSV history
+@register("stream_score_forecasts", f"""SELECT event_id, time, Lead_hours, round(prediction, 6) AS prediction
+    FROM ({_score_sql(_FUTURE_SQL)})""")
+def stream_score_forecasts(spark, d):
+    """Future forecasts land in three files (one per lead-time pair); one
+    availableNow streaming run scores all that landed and appends them."""
+    from brisa.streaming import score_new_forecasts
+    landing = scratch_path(spark, "landing")
+    fut = future_horizon(S.forecasts(spark, d), "time", AS_OF)
+    for lo in (1, 3, 5):
+        fut.filter(F.col("Lead_hours").between(lo, lo + 1)).write.mode("append").parquet(landing)
+    model_path = scratch_path(spark, "model")
+    SK.save_model(_model(spark, d).select("event_id", "Speed", "Angle", "Energy"), K, model_path)
+    out = scratch_path(spark, "stream-predictions")
+    score_new_forecasts(spark, landing, fut.schema, model_path, out,
+                        run_time=STAMPS[0])
+    return SK.load_predictions(spark, out).select("event_id", "time", "Lead_hours", _r6("prediction"))
+
+
+@register("load_prediction_csv", f"""SELECT event_id, time, round(prediction, 6) AS prediction, prediction_time
+    FROM ({_SAVED_SQL})""")
+def load_prediction_csv(spark, d):
+    """The original history format: one CSV per run with an un-padded stamp column."""
+    from brisa.functions.stamps import stamp_text
+    from brisa.sources import files as FS
+    path = scratch_path(spark, "prediction-csv")
+    saved = _saved_predictions(spark, d)
+    FS.write_csv(saved.select("event_id", F.col("time").cast("string").alias("time"), "prediction",
+                              stamp_text("prediction_time").alias("prediction_time")), path)
+    back = SK.load_prediction_csvs(spark, path, "event_id long, time string, prediction double, "
+                                                "prediction_time string")
+    return back.select("event_id", F.to_timestamp_ntz("time").alias("time"), _r6("prediction"),
+                       "prediction_time")

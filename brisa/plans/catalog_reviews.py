@@ -601,3 +601,26 @@ def e9_region_ratio_intended(spark, d):
 @register("e10_good_reviews", _E10_SQL)
 def e10_good_reviews(spark, d):
     return E.e10_good_reviews(S.reviews(spark, d), S.business(spark, d), "Brand#2", "gear|bolt", 5)
+
+
+# ======================================================= P2, A2/A3, K7
+@register("select_star", _DOCS)
+def select_star(spark, d):
+    """``SELECT *`` through a registered view (columns pruned later by Catalyst)."""
+    T(spark, d, "documents").createOrReplaceTempView("brisa_reviews")
+    return spark.sql("SELECT * FROM brisa_reviews")
+
+
+@register("sql_count", """SELECT count(*) AS all_rows, count(*) FILTER (WHERE text LIKE '%That%') AS matching
+    FROM documents""")
+def sql_count(spark, d):
+    """Both counts of the share in one SQL scan (instead of two count actions)."""
+    T(spark, d, "documents").createOrReplaceTempView("brisa_reviews")
+    return spark.sql("SELECT count(*) AS all_rows, count_if(text LIKE '%That%') AS matching FROM brisa_reviews")
+
+
+@register("show_top20", "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20")
+def show_top20(spark, d):
+    """What ``show()`` displays: the first 20 rows of an explicit order."""
+    return T(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal").orderBy(
+        F.col("c_acctbal").desc(), "c_custkey").limit(20)
