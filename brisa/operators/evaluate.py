@@ -49,7 +49,7 @@ def mae(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def row_index(df: DataFrame, order: Sequence[str], key: Sequence[str] = (),
-              out_col: str = "idx") -> DataFrame:
+              out_col: str = "idx", count_col: str | None = None) -> DataFrame:
     """0-based position of each row in ``order`` (within ``key`` if given).
 
     Distributed: ``orderBy`` range-partitions the rows; inside a partition
@@ -57,6 +57,7 @@ def row_index(df: DataFrame, order: Sequence[str], key: Sequence[str] = (),
     cumulative row counts of earlier partitions (one row per partition, so
     the broadcast is bounded by the partition count, not the data).  A hot
     key is spread over many range partitions like any other rows.
+    ``count_col`` adds the number of rows (of the key, or in total).
     """
     checkpoint_dir(df.sparkSession)
     keys, order = list(key), list(order)
@@ -66,14 +67,21 @@ def row_index(df: DataFrame, order: Sequence[str], key: Sequence[str] = (),
          .checkpoint())
     pos = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
     sizes = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__pid", F.coalesce(F.sum("__c").over(w), F.lit(0)).alias("__off"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = sizes.select("__pid", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"),
+                           F.sum("__c").over(every).alias("__total"))
     out = s.join(F.broadcast(offsets), "__pid").withColumn(out_col, F.col("__off") + pos)
     if keys:
-        first = out.groupBy(*keys).agg(F.min(out_col).alias("__first"))
-        out = out.join(first, keys).withColumn(out_col, F.col(out_col) - F.col("__first")) \
-            .drop("__first")
-    return out.drop("__pid", "__mid", "__off")
+        per_key = out.groupBy(*keys).agg(F.min(out_col).alias("__first"),
+                                         F.count(F.lit(1)).alias("__n"))
+        out = out.join(per_key, keys).withColumn(out_col, F.col(out_col) - F.col("__first"))
+        if count_col:
+            out = out.withColumn(count_col, F.col("__n"))
+        out = out.drop("__first", "__n")
+    elif count_col:
+        out = out.withColumn(count_col, F.col("__total"))
+    return out.drop("__pid", "__mid", "__off", "__total")
 
 
 def expanding_folds(df: DataFrame, order: Sequence[str], n_splits: int = 5,
@@ -86,18 +94,14 @@ def expanding_folds(df: DataFrame, order: Sequence[str], n_splits: int = 5,
     appears once per fold it belongs to.
     """
     keys = list(key)
-    idx = row_index(df, order, keys, idx_col)
-    if not keys:  # one series: a constant key keeps this an equi-join
-        idx, keys = idx.withColumn("__series", F.lit(0)), ["__series"]
-    n = idx.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    x = idx.join(n, keys)
+    x = row_index(df, order, keys, idx_col, count_col="__n")
     t = F.floor(F.col("__n") / (n_splits + 1))
     folds = F.array(*[F.lit(i) for i in range(n_splits)])
     x = x.withColumn("fold", F.explode(folds))
     start = F.col("__n") - (F.lit(n_splits) - F.col("fold")) * t
     role = (F.when(F.col(idx_col) < start, F.lit("train"))
             .when(F.col(idx_col) < start + t, F.lit("test")))
-    return x.withColumn("role", role).filter(F.col("role").isNotNull()).drop("__n", "__series")
+    return x.withColumn("role", role).filter(F.col("role").isNotNull()).drop("__n")
 
 
 def error_columns(df: DataFrame, y: str, p: str) -> DataFrame:

@@ -177,18 +177,18 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
     wq = Window.partitionBy("g", "qid")
     width = _width(spec)
     ranked_a = (top_k(chosen, _block3())
-                .withColumn("n", F.count(F.lit(1)).over(wq))
-                .withColumn("kd2", F.max("d2").over(wq))
-                .withColumn("w", width)
-                .withColumn("done", (F.col("n") >= F.col("k_eff"))
-                            & (F.col("kd2") <= (F.col("w") * (1 - EPS)) * (F.col("w") * (1 - EPS)))))
+                .withColumn("__n", F.count(F.lit(1)).over(wq))
+                .withColumn("__kd2", F.max("d2").over(wq))
+                .withColumn("__w", width)
+                .withColumn("__done", (F.col("__n") >= F.col("k_eff"))
+                            & (F.col("__kd2") <= (F.col("__w") * (1 - EPS)) * (F.col("__w") * (1 - EPS)))))
     # 5. round B: the ring that contains every row within the k-th distance
-    seeds = (ranked_a.filter(~F.col("done") & (F.col("rk") == 1))
-             .withColumn("R", (F.floor(F.sqrt("kd2") / F.col("w") * (1 + EPS)) + 1).cast("int"))
+    seeds = (ranked_a.filter(~F.col("__done") & (F.col("rk") == 1))
+             .withColumn("R", (F.floor(F.sqrt("__kd2") / F.col("__w") * (1 + EPS)) + 1).cast("int"))
              .select(*q, "k_eff", "lvl", F.col("qcx").alias("cx"), F.col("qcy").alias("cy"), "R"))
     ranked_b = top_k(seeds, _ring(F.col("R")))
     cols = ["g", "qid", "rk", "rid", "y", "d2", *carry]
-    return ranked_a.filter(F.col("done")).select(*cols).unionByName(ranked_b.select(*cols))
+    return ranked_a.filter(F.col("__done")).select(*cols).unionByName(ranked_b.select(*cols))
 
 
 def knn_predict(train: DataFrame, test: DataFrame, k: int, **kw) -> DataFrame:
