@@ -128,3 +128,19 @@ def test_plan_has_window_group_limit_and_no_python(spark):
     assert "WindowGroupLimit" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_lattice_matches_pandas_on_dense_lattice(spark):
+    """Many duplicates per lattice point: most queries resolve in round A,
+    so the carried row count must survive that round too."""
+    rng = np.random.default_rng(5)
+    train, test = _frames(rng, 800, 80, lattice=True)
+    k = 6
+    got = KNN.knn_lattice(spark.createDataFrame(train), spark.createDataFrame(test), k).toPandas()
+    pts = train.groupby(["x1", "x2"]).agg(n=("id", "size"), sum_y=("y", "sum"), pid=("id", "min")).reset_index()
+    for _, q in test.iterrows():
+        d2 = (q.x1 - pts.x1) * (q.x1 - pts.x1) + (q.x2 - pts.x2) * (q.x2 - pts.x2)
+        o = pts.assign(d2=d2).sort_values(["d2", "pid"]).head(k)
+        o = o[o.n.cumsum() - o.n < k]
+        want = o.sum_y.sum() / o.n.sum()
+        assert abs(got[got.qid == q.id].prediction.iloc[0] - want) < 1e-9
