@@ -624,3 +624,17 @@ def show_top20(spark, d):
     """What ``show()`` displays: the first 20 rows of an explicit order."""
     return T(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal").orderBy(
         F.col("c_acctbal").desc(), "c_custkey").limit(20)
+
+
+# ======================================================= A9 north/south x urban/rural
+@register("area_share", f"""SELECT half, area, count(*) AS all_count, count(*) FILTER (WHERE m) AS match_count,
+    grouping_id(half, area) AS gid,
+    CAST(count(*) FILTER (WHERE m) AS DOUBLE) * 100.0 / NULLIF(CAST(count(*) AS DOUBLE), 0) AS ratio
+    FROM (SELECT r.business_id, coalesce({_AUTH_SQL}, false) AS m FROM ({_REVIEWS_SQL}) r) r
+    JOIN (SELECT p_partkey AS business_id,
+                 CASE WHEN p_retailprice >= 950 THEN 'north' WHEN p_retailprice IS NOT NULL THEN 'south' END AS half,
+                 CASE WHEN p_type IN ('LARGE', 'MEDIUM') THEN 'urban' ELSE 'rural' END AS area FROM part) b
+    ON r.business_id = b.business_id GROUP BY CUBE (half, area)""")
+def area_share(spark, d):
+    """Stand-in: latitude <- p_retailprice (cut 950), urban cities <- types LARGE / MEDIUM."""
+    return E.area_share(S.reviews(spark, d), S.business(spark, d), 950.0, ["LARGE", "MEDIUM"], AUTH)

@@ -149,6 +149,33 @@ def e8_place_share(reviews: DataFrame, business: DataFrame,
                                                 F.col("all_count").cast("double")))
 
 
+def area_share(reviews: DataFrame, business: DataFrame, lat_cut: float,
+               urban_cities: Sequence[str], terms: Sequence[str] = ("authentic", "accent"),
+               lat_col: str = "latitude") -> DataFrame:
+    """Authenticity-language share by north/south (``latitude >= lat_cut``) x
+    urban/rural (``city`` in a list), with the cube totals.
+
+    The cut and the urban list are parameters; reviews are counted per
+    business first, then the two area labels are derived on the business
+    dimension.
+    """
+    pred = F.coalesce(contains_any("text", terms), F.lit(False))
+    per_b = reviews.groupBy("business_id").agg(F.count(F.lit(1)).alias("__all"),
+                                               F.count_if(pred).alias("__match"))
+    area = business.select(
+        "business_id",
+        F.when(F.col(lat_col) >= lat_cut, F.lit("north")).when(F.col(lat_col).isNotNull(), F.lit("south"))
+        .alias("half"),
+        F.when(F.col("city").isin(list(urban_cities)), F.lit("urban")).otherwise(F.lit("rural")).alias("area"))
+    fine = per_b.join(area, "business_id").groupBy("half", "area").agg(
+        F.sum("__all").alias("__all"), F.sum("__match").alias("__match"))
+    out = fine.cube("half", "area").agg(F.sum("__all").alias("all_count"),
+                                        F.sum("__match").alias("match_count"),
+                                        F.grouping_id().alias("gid"))
+    return out.withColumn("ratio", F.try_divide(F.col("match_count").cast("double") * 100.0,
+                                                F.col("all_count").cast("double")))
+
+
 def lexicon_predicate(kind: str, auth: Sequence[str], neg: Sequence[str]) -> Column:
     fn = {"literal": lexicon_literal, "intended": lexicon_intended,
           "complement_literal": complement_literal,

@@ -2,7 +2,7 @@
 
 * business  <- part:      business_id=p_partkey, name/categories=p_name (space
   separated tokens), state=p_brand, city=p_type, stars=p_partkey mod 5 + 1,
-  review_count=p_size
+  review_count=p_size, latitude=p_retailprice
 * review    <- documents: review_id=doc_id, business_id=doc_id mod 100, text,
   stars=doc_id mod 5 + 1, user_id=doc_id mod 37
 * user-review pairs <- lineitem join orders: user_id=o_custkey, business_id=l_partkey
@@ -33,7 +33,7 @@ def business(spark: SparkSession, d: str) -> DataFrame:
         F.col("p_partkey").alias("business_id"), F.col("p_name").alias("name"),
         F.col("p_name").alias("categories"), F.col("p_brand").alias("state"),
         F.col("p_type").alias("city"), (F.pmod("p_partkey", F.lit(5)) + 1).alias("stars"),
-        F.col("p_size").alias("review_count"))
+        F.col("p_size").alias("review_count"), F.col("p_retailprice").alias("latitude"))
 
 
 def reviews(spark: SparkSession, d: str) -> DataFrame:
