@@ -78,6 +78,7 @@ def grid_spec(train: DataFrame, test: DataFrame, features: Sequence[str], k: int
     a, b = features
     pts = train.select(_d(a).alias("a"), _d(b).alias("b"), F.lit(1).alias("t")).unionByName(
         test.select(_d(a).alias("a"), _d(b).alias("b"), F.lit(0).alias("t")))
+    pts = pts.filter(_finite("a") & _finite("b"))
     s = pts.agg(F.min("a").alias("xa"), F.max("a").alias("xb"), F.min("b").alias("ya"),
                 F.max("b").alias("yb"), F.sum("t").alias("n")).first()
     if s is None or s["xa"] is None:
@@ -89,6 +90,10 @@ def grid_spec(train: DataFrame, test: DataFrame, features: Sequence[str], k: int
     return GridSpec(float(s["xa"]), float(s["ya"]), w0, tuple(range(-FINE_LEVELS, top + 1)))
 
 
+def _finite(c: str) -> Column:
+    return F.col(c).isNotNull() & ~F.isnan(F.col(c))
+
+
 def _width(spec: GridSpec) -> Column:
     return F.lit(spec.w0) * F.pow(F.lit(2.0), F.col("lvl").cast("double"))
 
@@ -129,6 +134,10 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
                       _d(b).alias("b"), _d(y_col).alias("y"), *carry)
     te = test.select(g_te.alias("g"), F.col(test_id).alias("qid"), _d(a).alias("qa"),
                      _d(b).alias("qb"))
+    # rows without usable features can be neither neighbours nor queries
+    # (a null distance would otherwise sort first)
+    tr = tr.filter(_finite("a") & _finite("b"))
+    te = te.filter(_finite("qa") & _finite("qb"))
 
     # 1. at most k rows per exact feature point (lowest ids win ties anyway)
     wdup = Window.partitionBy("g", "a", "b").orderBy("rid")
@@ -159,12 +168,17 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
               .select(*q, "k_eff", pick.alias("lvl"))
               .select("*", *_cells(spec, "qa", "qb")))
 
+    # only the levels some query chose take part in the candidate joins; the
+    # (group, level) list is bounded by groups x levels, so it is broadcast
+    used = F.broadcast(chosen.select("g", "lvl").distinct())
+    tr_used = tr_l.join(used, ["g", "lvl"], "left_semi")
+
     def top_k(queries: DataFrame, offsets: Column) -> DataFrame:
         cand = (queries.withColumn("o", F.explode(offsets))
                 .select(*q, "k_eff", "lvl", (F.col("cx") + F.col("o.dx")).alias("ncx"),
                         (F.col("cy") + F.col("o.dy")).alias("ncy"), F.col("cx").alias("qcx"),
                         F.col("cy").alias("qcy"))
-                .join(tr_l.withColumnRenamed("cx", "ncx").withColumnRenamed("cy", "ncy"),
+                .join(tr_used.withColumnRenamed("cx", "ncx").withColumnRenamed("cy", "ncy"),
                       ["g", "lvl", "ncx", "ncy"])
                 .select(*q, "k_eff", "lvl", "qcx", "qcy", "rid", "y", *carry,
                         ((F.col("qa") - F.col("a")) * (F.col("qa") - F.col("a"))

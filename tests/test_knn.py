@@ -144,3 +144,12 @@ def test_lattice_matches_pandas_on_dense_lattice(spark):
         o = o[o.n.cumsum() - o.n < k]
         want = o.sum_y.sum() / o.n.sum()
         assert abs(got[got.qid == q.id].prediction.iloc[0] - want) < 1e-9
+
+
+def test_null_and_nan_features_are_skipped(spark):
+    train = pd.DataFrame({"id": [1, 2, 3, 4], "x1": [0.0, 1.0, None, float("nan")], "x2": [0.0, 0.0, 0.0, 0.0],
+                          "y": [1.0, 3.0, 100.0, 100.0]})
+    test = pd.DataFrame({"id": [9, 10], "x1": [0.2, None], "x2": [0.0, 0.0]})
+    got = KNN.knn_predict(spark.createDataFrame(train, "id long, x1 double, x2 double, y double"),
+                          spark.createDataFrame(test, "id long, x1 double, x2 double"), 2).collect()
+    assert [(r.qid, r.prediction) for r in got] == [(9, 2.0)]
