@@ -35,6 +35,9 @@ from pyspark.sql import functions as F
 
 EPS = 1e-9
 FINE_LEVELS = 8  # levels below w0 for dense regions (cells down to w0 / 256)
+# Prune the training side to the levels queries chose once it has more
+# exploded rows than this (below it the planner broadcasts that side anyway).
+PRUNE_MIN_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -43,6 +46,7 @@ class GridSpec:
     y0: float
     w0: float
     levels: tuple[int, ...]
+    n_train: int = 0
 
 
 def _d(c) -> Column:
@@ -82,12 +86,13 @@ def grid_spec(train: DataFrame, test: DataFrame, features: Sequence[str], k: int
     s = pts.agg(F.min("a").alias("xa"), F.max("a").alias("xb"), F.min("b").alias("ya"),
                 F.max("b").alias("yb"), F.sum("t").alias("n")).first()
     if s is None or s["xa"] is None:
-        return GridSpec(0.0, 0.0, 1.0, (0,))
+        return GridSpec(0.0, 0.0, 1.0, (0,), 0)
     extent = max(s["xb"] - s["xa"], s["yb"] - s["ya"], 1e-12)
     n = max(int(s["n"] or 0), 1)
     w0 = extent * math.sqrt(min(1.0, max(k, 1) / n))
     top = max(0, math.ceil(math.log2(extent / w0)) + 1)
-    return GridSpec(float(s["xa"]), float(s["ya"]), w0, tuple(range(-FINE_LEVELS, top + 1)))
+    return GridSpec(float(s["xa"]), float(s["ya"]), w0, tuple(range(-FINE_LEVELS, top + 1)),
+                    int(s["n"] or 0))
 
 
 def _finite(c: str) -> Column:
@@ -170,8 +175,11 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
 
     # only the levels some query chose take part in the candidate joins; the
     # (group, level) list is bounded by groups x levels, so it is broadcast
-    used = F.broadcast(chosen.select("g", "lvl").distinct())
-    tr_used = tr_l.join(used, ["g", "lvl"], "left_semi")
+    if spec.n_train * len(spec.levels) > PRUNE_MIN_ROWS:
+        used = F.broadcast(chosen.select("g", "lvl").distinct())
+        tr_used = tr_l.join(used, ["g", "lvl"], "left_semi")
+    else:
+        tr_used = tr_l
 
     def top_k(queries: DataFrame, offsets: Column) -> DataFrame:
         cand = (queries.withColumn("o", F.explode(offsets))

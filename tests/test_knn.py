@@ -57,6 +57,16 @@ def test_nearest_equals_brute_force(spark, case):
         assert list(sub.rk) == list(range(1, k + 1))
 
 
+def test_level_pruning_gives_same_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    train, test = _frames(rng, 400, 40, hot=0.34)
+    tr, te = spark.createDataFrame(train), spark.createDataFrame(test)
+    plain = KNN.nearest(tr, te, 5).toPandas().sort_values(["qid", "rk"]).rid.tolist()
+    monkeypatch.setattr(KNN, "PRUNE_MIN_ROWS", 0)
+    pruned = KNN.nearest(tr, te, 5).toPandas().sort_values(["qid", "rk"]).rid.tolist()
+    assert plain == pruned
+
+
 def test_grouped_search_and_small_groups(spark):
     rng = np.random.default_rng(3)
     train, test = _frames(rng, 90, 30)
