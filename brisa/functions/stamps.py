@@ -28,10 +28,24 @@ def stamp_to_int(text) -> Column:
     return F.regexp_replace(_c(text), "-", "").cast("bigint")
 
 
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal that does not pass through any time zone.
+
+    ``F.lit(datetime)`` builds a zoned timestamp (Python local zone, then the
+    session zone on the cast); going through the ISO text does not.
+    """
+    text = value if isinstance(value, str) else value.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp_ntz")
+
+
+_EPOCH = "1970-01-01 00:00:00"
+
+
 def stamp_epoch(text) -> Column:
-    return F.unix_timestamp(F.to_timestamp(_c(text), STAMP_PATTERN))
+    """Seconds since the epoch of a stamp read as UTC wall-clock time."""
+    return F.timestamp_diff("SECOND", ntz_lit(_EPOCH), parse_stamp(text))
 
 
 def epoch_seconds(col) -> Column:
-    """Epoch seconds -> TIMESTAMP_NTZ in UTC wall-clock time."""
-    return F.timestamp_seconds(_c(col)).cast("timestamp_ntz")
+    """Epoch seconds -> TIMESTAMP_NTZ in UTC wall-clock time (zone independent)."""
+    return ntz_lit(_EPOCH) + F.make_dt_interval(secs=_c(col).cast("decimal(18,6)"))

@@ -14,6 +14,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brisa.functions.stamps import ntz_lit
+
 
 def positive_values(df: DataFrame, col: str, threshold: float = 0.0) -> DataFrame:
     """``col > threshold``; NaN is dropped too (Spark orders NaN above numbers)."""
@@ -54,7 +56,7 @@ def resample_fill(df: DataFrame, time_col: str, value_cols: Sequence[str],
     n = int((hi - lo) / step) + 1
     spark = df.sparkSession
     grid = spark.range(n).select(
-        (F.lit(lo).cast("timestamp_ntz") + F.make_dt_interval(
+        (ntz_lit(lo) + F.make_dt_interval(
             F.lit(0), (F.col("id") * every_hours).cast("int"))).alias(out_time))
     return grid.join(means, out_time, "left")
 

@@ -9,19 +9,19 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brisa.functions.stamps import ntz_lit
+
 
 def _ts(as_of) -> Column:
     if isinstance(as_of, Column):
         return as_of
-    if isinstance(as_of, str):
-        as_of = _dt.datetime.fromisoformat(as_of)
-    return F.lit(as_of).cast("timestamp_ntz")
+    return ntz_lit(as_of)
 
 
 def _minus_days(as_of, days: int) -> Column:
     if isinstance(as_of, (str, _dt.datetime)):
         t = _dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
-        return F.lit(t - _dt.timedelta(days=days)).cast("timestamp_ntz")
+        return ntz_lit(t - _dt.timedelta(days=days))
     return _ts(as_of) - F.make_dt_interval(F.lit(days))
 
 

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisa.functions.stamps import STAMP_PATTERN, parse_stamp, stamp_text
+from brisa.functions.stamps import STAMP_PATTERN, ntz_lit, parse_stamp, stamp_text
 
 RUN_LOG_SCHEMA = ("run_id string, kind string, key string, num_value double, str_value string, "
                   "logged_at timestamp_ntz")
@@ -21,7 +21,7 @@ RUN_LOG_SCHEMA = ("run_id string, kind string, key string, num_value double, str
 def save_predictions(df: DataFrame, path: str, stamp: _dt.datetime) -> None:
     """Append predictions with their run time (``prediction_time``) and its
     un-padded text form; partitioned by ``prediction_date``."""
-    ts = F.lit(stamp).cast("timestamp_ntz")
+    ts = ntz_lit(stamp)
     (df.withColumn("prediction_time", ts)
        .withColumn("prediction_stamp", stamp_text(ts))
        .withColumn("prediction_date", F.to_date(ts))
@@ -56,7 +56,7 @@ def log_metric_frame(df: DataFrame, path: str, run_id: str, key_col: str, value_
                F.col(key_col).cast("string").alias("key"),
                F.col(value_col).cast("double").alias("num_value"),
                F.lit(None).cast("string").alias("str_value"),
-               F.lit(at).cast("timestamp_ntz").alias("logged_at"))
+               ntz_lit(at).alias("logged_at"))
        .write.mode("append").parquet(path))
 
 

@@ -48,3 +48,16 @@ def test_same_answer_for_1_and_8_shuffle_partitions(spark, name):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     eight = rows(q(spark, SF_SMALL).toPandas())
     assert one == eight
+
+
+@pytest.mark.parametrize("name", ["trailing_window", "epoch_seconds", "resample_fill", "e11_training_set",
+                                  "save_load_predictions"])
+def test_results_do_not_depend_on_session_time_zone(spark, name):
+    q = E.queries()[name]
+    utc = rows(q(spark, SF_SMALL).toPandas())
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = rows(q(spark, SF_SMALL).toPandas())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == other
