@@ -154,3 +154,14 @@ def test_run_log_search(spark):
     SK.log_run(spark, path, "r2", {"model": "KNN"}, {"Score": 0.7}, at)
     wide = {r.run_id: r for r in SK.search_runs(spark, path, ["model", "Score"]).collect()}
     assert wide["r2"].Score == "0.7" and wide["r1"].model == "KNN"
+
+
+def test_newest_source_covering_fewer_times(spark):
+    from brisa.operators.relational import newest_rows
+    rows = [(ts("2024-01-02 00:00:00"), 100, "N", 5.0), (ts("2024-01-02 03:00:00"), 100, "E", 6.0),
+            (ts("2024-01-02 06:00:00"), 100, "S", 7.0), (ts("2024-01-02 03:00:00"), 200, "W", 8.0)]
+    fc = spark.createDataFrame(rows, "time timestamp_ntz, Source_time long, Direction string, Speed double")
+    got = newest_rows(fc, "Source_time").collect()
+    assert [(r.Source_time, r.Direction) for r in got] == [(200, "W")]
+    feats = W.newest_forecast_features(fc, "2024-01-02 01:00:00").collect()
+    assert [(r.Direction, r.Angle) for r in feats] == [("W", 270.0)]
