@@ -39,25 +39,24 @@ def resample_mean(df: DataFrame, time_col: str, value_cols: Sequence[str],
 
 
 def resample_fill(df: DataFrame, time_col: str, value_cols: Sequence[str],
-                  every_hours: int = 3, out_time: str = "time") -> DataFrame:
+                  every_minutes: int = 180, out_time: str = "time") -> DataFrame:
     """Like :func:`resample_mean` but every bin between the first and the last
     is present (empty bins have null means), as pandas ``resample`` emits.
 
     The bin grid is generated with ``spark.range`` over the bin count, so it
     is distributed; only the two bounds are read on the driver.
     """
-    every = f"{every_hours} hours"
+    every = f"{every_minutes} minutes"
     means = resample_mean(df, time_col, value_cols, every, out_time)
     bounds = means.agg(F.min(out_time).alias("lo"), F.max(out_time).alias("hi")).first()
     if bounds is None or bounds["lo"] is None:
         return means
     lo, hi = bounds["lo"], bounds["hi"]
-    step = _dt.timedelta(hours=every_hours)
-    n = int((hi - lo) / step) + 1
+    n = int((hi - lo) / _dt.timedelta(minutes=every_minutes)) + 1
     spark = df.sparkSession
     grid = spark.range(n).select(
         (ntz_lit(lo) + F.make_dt_interval(
-            F.lit(0), (F.col("id") * every_hours).cast("int"))).alias(out_time))
+            F.lit(0), F.lit(0), (F.col("id") * every_minutes).cast("int"))).alias(out_time))
     return grid.join(means, out_time, "left")
 
 

@@ -33,7 +33,7 @@ def test_resample_bins_left_closed_and_gaps(spark):
     got = {r.time: r.Total for r in TS.resample_mean(g, "time", ["Total"]).collect()}
     assert got == {ts("2024-01-01 00:00:00"): 3.0, ts("2024-01-01 03:00:00"): 9.0,
                    ts("2024-01-01 09:00:00"): 5.0}
-    filled = {r.time: r.Total for r in TS.resample_fill(g, "time", ["Total"], 3).collect()}
+    filled = {r.time: r.Total for r in TS.resample_fill(g, "time", ["Total"], 180).collect()}
     assert filled[ts("2024-01-01 06:00:00")] is None and len(filled) == 4
 
 
