@@ -174,9 +174,10 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
               .select("*", *_cells(spec, "qa", "qb")))
 
     # only the levels some query chose take part in the candidate joins; the
-    # (group, level) list is bounded by groups x levels, so it is broadcast
+    # (group, level) list has at most groups x levels rows - AQE broadcasts
+    # it after checking its actual size (no hint: groups may be many)
     if spec.n_train * len(spec.levels) > PRUNE_MIN_ROWS:
-        used = F.broadcast(chosen.select("g", "lvl").distinct())
+        used = chosen.select("g", "lvl").distinct()
         tr_used = tr_l.join(used, ["g", "lvl"], "left_semi")
     else:
         tr_used = tr_l
