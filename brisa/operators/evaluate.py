@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brisa.session import checkpoint_dir
+from brisa.session import checkpoint_dir, cut_lineage
 
 
 def r2_score(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
@@ -61,10 +61,9 @@ def row_index(df: DataFrame, order: Sequence[str], key: Sequence[str] = (),
     """
     checkpoint_dir(df.sparkSession)
     keys, order = list(key), list(order)
-    s = (df.orderBy(*(keys + order))
-         .withColumn("__pid", F.spark_partition_id())
-         .withColumn("__mid", F.monotonically_increasing_id())
-         .checkpoint())
+    s = cut_lineage(df.orderBy(*(keys + order))
+                    .withColumn("__pid", F.spark_partition_id())
+                    .withColumn("__mid", F.monotonically_increasing_id()))
     pos = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
     sizes = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

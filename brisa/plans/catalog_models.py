@@ -17,7 +17,7 @@ from brisa.plans import wind as W
 from brisa.plans.catalog_series import AS_OF, E11_SQL, FC_SQL, GEN_SQL, ANGLE_SQL, training_set
 from brisa.plans.registry import register
 from brisa.plans.tables import table as T
-from brisa.session import scratch_path
+from brisa.session import cut_lineage, scratch_path
 from brisa.sources import sinks as SK
 from brisa.sources.scans import future_horizon
 
@@ -264,7 +264,7 @@ def _saved_predictions(spark, d):
     path = scratch_path(spark, "predictions")
     fut = future_horizon(S.forecasts(spark, d), "time", AS_OF).filter(
         F.col("Lead_hours") <= len(STAMPS)).withColumn("Angle", compass_angle("Direction"))
-    scored = W.score_forecasts(_model(spark, d), K, fut, "event_id").checkpoint()
+    scored = cut_lineage(W.score_forecasts(_model(spark, d), K, fut, "event_id"))
     for i, stamp in enumerate(STAMPS):
         SK.save_predictions(scored.filter(F.col("Lead_hours") == i + 1), path, stamp)
     return SK.load_predictions(spark, path)
@@ -334,13 +334,17 @@ def model_roundtrip(spark, d):
 
 
 def _e12(spark, d):
+    """Grid search on the training part, chosen k, holdout R² (E12).
+
+    The CV table is checkpointed: it feeds both the choice of k and the run
+    log, and must not be recomputed for each."""
     rows = wind_rows(spark, d)
     tr, te = rows.filter(~F.col("is_test")), rows.filter(F.col("is_test"))
-    cv = W.grid_search_cv(tr, "event_id", "Energy", K_MAX_GRID, 5, SEED)
+    cv = cut_lineage(W.grid_search_cv(tr, "event_id", "Energy", K_MAX_GRID, 5, SEED))
     best = W.best_k(cv).first()
     k = int(best["k"])
     h = W.holdout_r2(tr, te, k, "event_id")
-    return k, float(best["mean_r2"]), h
+    return k, float(best["mean_r2"]), h, cv
 
 
 @register("e12_model_selection", f"""SELECT b.k AS best_k, round(b.mean_r2, 6) AS cv_score FROM
@@ -356,13 +360,11 @@ def e12_model_selection(spark, d):
 def run_log(spark, d):
     """Log one run (parameters, CV score per k, chosen k, holdout R²) and read it back."""
     path = scratch_path(spark, "runs")
-    k, cv_score, h = _e12(spark, d)
+    k, cv_score, h, cv = _e12(spark, d)
     at = _dt.datetime(2022, 5, 19, 13, 27, 1)
     r2v = h.first()["r2"]
     SK.log_run(spark, path, "run-1", {"model": "KNN", "best_model": f"KNN(k={k})", "days": 10},
                {"KNN_neighbors": k, "CV_score": cv_score, "Score": r2v}, at)
-    rows = wind_rows(spark, d)
-    cv = W.grid_search_cv(rows.filter(~F.col("is_test")), "event_id", "Energy", K_MAX_GRID, 5, SEED)
     SK.log_metric_frame(cv.withColumn("key", F.concat(F.lit("cv_r2_k"), F.col("k").cast("string"))),
                         path, "run-1", "key", "mean_r2", at)
     return SK.read_runs(spark, path)

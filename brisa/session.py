@@ -60,3 +60,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for written tables."""
     root = checkpoint_dir(spark).rstrip("/")
     return f"{root}/brisa-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df):
+    """Reliable checkpoint that computes ``df`` once.
+
+    Writing a checkpoint re-runs the plan unless the rows are persisted, so
+    persist (memory, spilling to disk), write the checkpoint to the shared
+    folder, then release the persisted copy: later reads use the files.
+    """
+    from pyspark import StorageLevel
+    checkpoint_dir(df.sparkSession)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return out
