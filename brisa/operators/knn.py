@@ -33,6 +33,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brisa.session import cut_lineage
+
 EPS = 1e-9
 FINE_LEVELS = 8  # levels below w0 for dense regions (cells down to w0 / 256)
 # Prune the training side to the levels queries chose once it has more
@@ -132,7 +134,6 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
     than ``k`` training rows all of them are returned.
     """
     a, b = features
-    spec = spec or grid_spec(train, test, features, k)
     g_tr = F.col(group_col) if group_col else F.lit(0)
     g_te = F.col(group_col) if group_col else F.lit(0)
     tr = train.select(g_tr.alias("g"), F.col(train_id).alias("rid"), _d(a).alias("a"),
@@ -147,6 +148,12 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
     # 1. at most k rows per exact feature point (lowest ids win ties anyway)
     wdup = Window.partitionBy("g", "a", "b").orderBy("rid")
     tr = tr.withColumn("__dup", F.row_number().over(wdup)).filter(F.col("__dup") <= k).drop("__dup")
+    # Both narrow inputs are read several times below (bounds, counts, two
+    # candidate rounds): materialise them once instead of re-running the
+    # plans that produced them.
+    tr, te = cut_lineage(tr), cut_lineage(te)
+    spec = spec or grid_spec(tr.select(F.col("a").alias(a), F.col("b").alias(b)),
+                             te.select(F.col("qa").alias(a), F.col("qb").alias(b)), features, k)
 
     # 2. cell keys at every level and cell counts
     levels = F.array(*[F.lit(l) for l in spec.levels])
@@ -205,6 +212,9 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
                 .withColumn("__w", width)
                 .withColumn("__done", (F.col("__n") >= F.col("k_eff"))
                             & (F.col("__kd2") <= (F.col("__w") * (1 - EPS)) * (F.col("__w") * (1 - EPS)))))
+    # round A feeds both the finished queries and the round-B seeds, which
+    # prune different columns, so Spark would run the candidate join twice
+    ranked_a = cut_lineage(ranked_a)
     # 5. round B: the ring that contains every row within the k-th distance
     seeds = (ranked_a.filter(~F.col("__done") & (F.col("rk") == 1))
              .withColumn("R", (F.floor(F.sqrt("__kd2") / F.col("__w") * (1 + EPS)) + 1).cast("int"))
