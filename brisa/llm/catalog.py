@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brisa.llm import mixing, secrets
+from brisa.llm import mixing, phrase_index, secrets
 from brisa.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,32 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
   sha256(coalesce(b, '')) AS base_sha256, coalesce(a, '') AS spans, coalesce(n_entropy, 0)::BIGINT AS n_entropy
 FROM d LEFT JOIN agg USING (rid)
 """
+
+
+@query
+def op7_phrase_decontamination(spark, sf_dir):
+    return phrase_index.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+ORACLE["op7_phrase_decontamination"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(
+       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, coalesce(regexp_extract_all(
+       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM benchmark),
+win AS (SELECT DISTINCT item, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS p, least(len(w), 10) AS n
+        FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS p
+       FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+occ AS (SELECT rid, item, i, dw.n FROM dw JOIN win USING (p, n)),
+hit AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS pos FROM occ) GROUP BY rid),
+it AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM occ) GROUP BY rid),
+wt AS (SELECT p, list_distinct(string_split(p, ' ')) AS terms FROM (SELECT DISTINCT p FROM win)),
+cand AS (SELECT rid, p FROM (SELECT DISTINCT rid, unnest(w) AS t FROM d) JOIN (SELECT p, len(terms) AS k, unnest(terms) AS t FROM wt) USING (t)
+         GROUP BY rid, p, k HAVING count(*) = k),
+near AS (SELECT rid, count(DISTINCT item) AS n_near FROM (
+  SELECT DISTINCT rid, p FROM (SELECT rid, p, w, terms, unnest(range(1, greatest(len(w) - 13, 2))) AS s FROM cand JOIN d USING (rid) JOIN wt USING (p))
+  WHERE list_has_all(w[s:s + 14], terms)) JOIN win USING (p) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid) LEFT JOIN near USING (rid)
+"""
