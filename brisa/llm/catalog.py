@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brisa.llm import mixing, phrase_index, secrets
+from brisa.llm import mixing, ordinal, phrase_index, secrets
 from brisa.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,8 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid) LEFT JOIN near USING (rid)
 """
+
+
+@query
+def op4_quality_grades(spark, sf_dir):
+    return ordinal.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
