@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brisa.llm import mixing, ordinal, phrase_index, secrets
+from brisa.llm import mixing, ordinal, phrase_index, secrets, toxicity
 from brisa.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,8 @@ FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid) LEFT JOIN near USING (
 @query
 def op4_quality_grades(spark, sf_dir):
     return ordinal.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    return toxicity.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
