@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brisa.llm import mixing, ordinal, phrase_index, secrets, toxicity
+from brisa.llm import chosen_path, mixing, ordinal, phrase_index, secrets, toxicity
 from brisa.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,30 @@ def op4_quality_grades(spark, sf_dir):
 @query
 def op9_toxicity(spark, sf_dir):
     return toxicity.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op6_shingle_jaccard_join(spark, sf_dir):
+    return chosen_path.join(documents(spark, sf_dir))
+
+
+ORACLE["op6_shingle_jaccard_join"] = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(
+       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT rid, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS t
+      FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+sets AS (SELECT rid, md5(string_agg(t, '|' ORDER BY t)) AS k, count(*) AS n FROM s GROUP BY rid),
+reps AS (SELECT k, min(rid) AS rid, any_value(n) AS n FROM sets GROUP BY k),
+rs AS (SELECT rid, t FROM s SEMI JOIN reps USING (rid)),
+both_in AS (SELECT x.rid AS a, y.rid AS b, count(*) AS c FROM rs x JOIN rs y ON x.t = y.t AND x.rid < y.rid GROUP BY 1, 2),
+near AS (SELECT a, b FROM both_in JOIN reps p ON p.rid = a JOIN reps q ON q.rid = b WHERE 5 * c >= 4 * (p.n + q.n - c)),
+sym AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near UNION ALL SELECT rid, rid FROM reps),
+reach(a, b) AS (SELECT a, b FROM sym UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a),
+root AS (SELECT a AS rep, min(b) AS root FROM reach GROUP BY a),
+m AS (SELECT d.rid, doc_id, r.rid AS rep FROM d JOIN sets USING (rid) JOIN reps r USING (k)),
+copies AS (SELECT rep, count(*) AS n FROM m GROUP BY rep),
+cls AS (SELECT root, min(doc_id) AS class_id FROM m JOIN root USING (rep) GROUP BY root),
+lk AS (SELECT sym.a AS rep, sum(n) - 1 AS n_links FROM sym JOIN copies ON copies.rep = sym.b GROUP BY sym.a)
+SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(lk.n_links, 0)::BIGINT AS n_links, coalesce(copies.n - 1, 0)::BIGINT AS n_copies
+FROM d LEFT JOIN m USING (rid) LEFT JOIN root ON root.rep = m.rep LEFT JOIN cls USING (root) LEFT JOIN lk ON lk.rep = m.rep LEFT JOIN copies ON copies.rep = m.rep
+"""
