@@ -44,12 +44,15 @@ l AS (SELECT max((total - c) / (tw - cw)) AS fill FROM (
   FROM r WINDOW b AS (ORDER BY level, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))),
 g AS (SELECT source, source_size, least(most, fill * weight) AS target FROM r, l),
 e AS (SELECT *, coalesce(least(3, floor(target / nullif(source_size, 0))), 0) AS epochs FROM g),
-o AS (SELECT doc_id, d.source, size, source_size, target, epochs, target - epochs * source_size AS rest,
-        coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY -ln(u) / w, doc_id NULLS LAST, size
-          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-      FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
-SELECT doc_id, source, size, source_size, target,
-       (size * (epochs + CASE WHEN start + size / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM o
+o0 AS (SELECT row_number() OVER () AS rid, doc_id, d.source, size, source_size, target, epochs, target - epochs * source_size AS rest, -ln(u) / w AS k, 0 AS x
+      FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
+""" + "".join(f"""o{i} AS (SELECT * EXCLUDE (x, l, s, f), CASE WHEN x = 1 OR (f AND s + size <= l) THEN 1 ELSE 0 END AS x FROM (
+      SELECT *, coalesce(sum(size) FILTER (f) OVER (PARTITION BY source ORDER BY k, doc_id NULLS LAST, size
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM (
+      SELECT *, x = 0 AND size > 0 AND size <= l AS f FROM (
+      SELECT *, rest - coalesce(sum(size * x) OVER (PARTITION BY source), 0) AS l FROM o{i - 1})))),
+""" for i in (1, 2, 3)) + r"""z AS (SELECT 1)
+SELECT doc_id, source, size, source_size, target, (size * (epochs + x))::BIGINT AS taken FROM o3
 """
 
 

@@ -13,7 +13,9 @@ size, and what that cuts off is shared among the other sources by weight.
 The order within a source is found without sorting the source: keys fall into
 a fixed number of ordered buckets, bucket sums are added up in Spark, and only
 the one bucket of each source in which its budget ends is sorted.  So a source
-with a third of all rows costs no more in any task than the others.
+with a third of all rows costs no more in any task than the others.  What the
+last document that fits leaves open is filled in further passes, in the same
+order, by documents small enough for it; a budget is never exceeded.
 
 Defined results: null text, or one without words, has size 0 and is never
 taken; null source is a source of its own; rows that repeat an id and a text
@@ -33,6 +35,8 @@ BUCKETS = 1024
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 SEED = "mix-1"
+#: Passes over the documents of a source that go on filling its budget with what still fits.
+ROUNDS = 3
 
 
 def word_count(text: str = "text") -> Column:
@@ -72,42 +76,55 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX
     return w.select("source", "source_size", F.least("most", F.col("fill") * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, weight: Column | None = None, weights: tuple[int, ...] = WEIGHTS,
-        cap: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken for every document."""
+def _fill(rows: DataFrame, left: DataFrame) -> DataFrame:
+    """Take, in key order, documents not taken yet that fit what is left of their source's budget.
+
+    ``rows``: doc_id, source, size, key, bucket, extra (0 or 1); ``left``: source, left.  Returns ``rows`` with
+    ``extra`` set where taken.
+    """
+    r, g = rows.alias("r"), left.alias("g")
+    opened = (F.col("extra") == 0) & (F.col("size") > 0) & (F.col("size") <= F.col("left"))
+    own = r.join(g, F.col("r.source").eqNullSafe(F.col("g.source"))).where(opened)
     # a third of the words may sit in one source: (source, bucket) sums are made before the shuffle
-    narrow = docs.select("doc_id", "source", word_count().alias("size"),
-                         (-F.log(uniform(F.col("doc_id"), seed)) / (quality_weight() if weight is None else weight)).alias("key"))
-    narrow = narrow.withColumn("bucket", F.least(F.lit(BUCKETS - 1), F.floor(BUCKETS * (1 - F.exp(-F.col("key"))))).cast("int"))
-    narrow = stored(narrow, "mix")
-    sums = narrow.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    sums = stored(sums, "mix-sums")
-    goal = targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, cap)
-    goal = goal.withColumn("epochs", F.coalesce(F.least(F.lit(cap), F.floor(F.col("target") / F.nullif("source_size", F.lit(0)))), F.lit(0)).cast("long"))
-    goal = goal.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+    sums = own.groupBy("r.source", "bucket", "left").agg(F.sum("size").alias("words"))
     run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    filled = sums.withColumn("before", F.coalesce(F.sum("words").over(run), F.lit(0)))
-    # the bucket in which the rest of the budget ends; whole buckets before it are taken once more
-    g, f = goal.alias("g"), filled.alias("f")
-    cut = g.join(f, F.col("g.source").eqNullSafe(F.col("f.source")), "left").groupBy(
-        F.col("g.source").alias("source"), "source_size", "target", "epochs", "rest").agg(
-        F.max(F.when((F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest")), F.struct("bucket", "before"))).alias("cut"),
-        F.max(F.when((F.col("before") + F.col("words") <= F.col("rest")) & (F.col("words") > 0), F.col("bucket"))).alias("whole"))
-    cut = stored(cut, "mix-cut")
-    d, c = narrow.alias("d"), cut.alias("c")
-    rows = d.join(c, F.col("d.source").eqNullSafe(F.col("c.source"))).select(
-        "doc_id", "d.source", "size", "key", "bucket", "source_size", "target", "epochs", "rest", "cut", "whole")
-    at_cut = F.coalesce(F.col("cut.bucket") == F.col("bucket"), F.lit(False))
-    plain = rows.where(~at_cut).withColumn(
-        "extra", F.coalesce((F.col("bucket") <= F.col("whole")).cast("int"), F.lit(0)))
-    same = ["source", "bucket", "key", "doc_id", "size", "source_size", "target", "epochs", "rest"]
-    edge = rows.where(at_cut).groupBy(*same, F.col("cut.before").alias("start")).agg(F.count("*").alias("n"))
+    sums = sums.withColumn("before", F.coalesce(F.sum("words").over(run), F.lit(0)))
+    end = F.col("before") + F.col("words")
+    # the bucket in which the budget ends, and the last one that is taken whole
+    cut = stored(sums.groupBy("source", "left").agg(
+        F.max(F.when((F.col("before") < F.col("left")) & (end > F.col("left")), F.struct("bucket", "before"))).alias("cut"),
+        F.max(F.when(end <= F.col("left"), F.col("bucket"))).alias("whole")), "mix-cut")
+    c = cut.alias("c")
+    met = r.join(c, F.col("r.source").eqNullSafe(F.col("c.source")), "left").select("r.*", "left", "cut", "whole")
+    edge = F.coalesce(opened & (F.col("cut.bucket") == F.col("bucket")), F.lit(False))
+    plain = met.where(~edge).withColumn("extra", F.greatest("extra", F.coalesce((opened & (F.col("bucket") <= F.col("whole"))).cast("int"), F.lit(0))))
+    same = ["doc_id", "source", "size", "key", "bucket"]
+    at = met.where(edge).groupBy(*same, "left", F.col("cut.before").alias("start")).agg(F.count("*").alias("n"))
     order = Window.partitionBy("source", "bucket").orderBy("key", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
-    edge = edge.withColumn("start", F.col("start") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(order), F.lit(0)))
-    # a document is taken if the middle of its words lies within the budget
-    fits = F.floor((F.col("rest") - F.col("start")) / F.nullif("size", F.lit(0)) + 0.5)
-    edge = edge.withColumn("fits", F.coalesce(F.greatest(F.lit(0), F.least("n", fits)), F.lit(0)))
-    edge = edge.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("i")).withColumn(
-        "extra", (F.col("i") <= F.col("fits")).cast("int"))
-    cols = ["doc_id", "source", "size", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("extra"))).cast("long").alias("taken")]
-    return plain.select(cols).unionByName(edge.select(cols))
+    at = at.withColumn("start", F.col("start") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(order), F.lit(0)))
+    fits = F.greatest(F.lit(0), F.least("n", F.floor((F.col("left") - F.col("start")) / F.col("size"))))
+    at = at.withColumn("fits", fits).select("*", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("i"))
+    at = at.withColumn("extra", (F.col("i") <= F.col("fits")).cast("int"))
+    cols = [*same, "extra"]
+    return stored(plain.select(cols).unionByName(at.select(cols)), "mix")
+
+
+def mix(docs: DataFrame, weight: Column | None = None, weights: tuple[int, ...] = WEIGHTS,
+        cap: int = MAX_EPOCHS, seed: str = SEED, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken for every document."""
+    rows = docs.select("doc_id", "source", word_count().alias("size"),
+                       (-F.log(uniform(F.col("doc_id"), seed)) / (quality_weight() if weight is None else weight)).alias("key"))
+    rows = rows.withColumn("bucket", F.least(F.lit(BUCKETS - 1), F.floor(BUCKETS * (1 - F.exp(-F.col("key"))))).cast("int"))
+    rows = stored(rows.withColumn("extra", F.lit(0)), "mix")
+    goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
+    goal = goal.withColumn("epochs", F.coalesce(F.least(F.lit(cap), F.floor(F.col("target") / F.nullif("source_size", F.lit(0)))), F.lit(0)).cast("long"))
+    goal = stored(goal.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-goal")
+    left = goal.select("source", F.col("rest").alias("left"))
+    for k in range(rounds):
+        rows = _fill(rows, left)
+        if k + 1 < rounds:
+            used, g = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("extra")).alias("used")).alias("u"), goal.alias("g")
+            left = g.join(used, F.col("g.source").eqNullSafe(F.col("u.source"))).select("g.source", (F.col("rest") - F.col("used")).alias("left"))
+    r, g = rows.alias("r"), goal.alias("g")
+    return r.join(g, F.col("r.source").eqNullSafe(F.col("g.source"))).select(
+        "doc_id", "r.source", "size", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("extra"))).cast("long").alias("taken"))

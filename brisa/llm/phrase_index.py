@@ -48,7 +48,12 @@ def digest(text: str = "text") -> Column:
 
 
 def word_count(text: str = "text") -> Column:
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long")
+    """Words of a text (in bytes through Arrow: several times cheaper than counting matches of a pattern)."""
+
+    def count(column: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([np.zeros(0, np.int64)] + [np.diff(words(LOWER[data], offsets, ALNUM)[2]) for _, _, data, offsets in chunks(column)]))
+
+    return F.arrow_udf(count, "bigint")(F.col(text))
 
 
 def hashed(column: pa.Array, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
