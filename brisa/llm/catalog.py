@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brisa.llm import chosen_path, mixing, ordinal, phrase_index, secrets, toxicity
+from brisa.llm import chosen_path, context_tree, mixing, ordinal, phrase_index, secrets, toxicity
 from brisa.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,8 @@ lk AS (SELECT sym.a AS rep, sum(n) - 1 AS n_links FROM sym JOIN copies ON copies
 SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(lk.n_links, 0)::BIGINT AS n_links, coalesce(copies.n - 1, 0)::BIGINT AS n_copies
 FROM d LEFT JOIN m USING (rid) LEFT JOIN root ON root.rep = m.rep LEFT JOIN cls USING (root) LEFT JOIN lk ON lk.rep = m.rep LEFT JOIN copies ON copies.rep = m.rep
 """
+
+
+@query
+def op2_context_tree_score(spark, sf_dir):
+    return context_tree.report(documents(spark, sf_dir))
