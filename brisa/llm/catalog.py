@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brisa.llm import chosen_path, context_tree, mixing, ordinal, phrase_index, secrets, toxicity
+from brisa.llm import chosen_path, context_tree, mixing, nn_descent, ordinal, phrase_index, secrets, toxicity
 from brisa.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +158,8 @@ FROM d LEFT JOIN m USING (rid) LEFT JOIN root ON root.rep = m.rep LEFT JOIN cls
 @query
 def op2_context_tree_score(spark, sf_dir):
     return context_tree.report(documents(spark, sf_dir))
+
+
+@query
+def op10_nn_descent(spark, sf_dir):
+    return nn_descent.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)

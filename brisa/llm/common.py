@@ -125,6 +125,39 @@ def shingle_hashes(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray
     return out, at
 
 
+def whole_groups(batches, *keys: str) -> Iterator[pa.Table]:
+    """Tables in which every run of equal keys is complete, from batches sorted by those columns.
+
+    Memory holds one batch and the last run.
+    """
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = (table if held is None else pa.concat_tables([held, table])).combine_chunks()
+        if not held.num_rows:
+            continue
+        last = np.ones(held.num_rows, bool)
+        for k in keys:
+            col = held.column(k).to_numpy()
+            last &= col == col[-1]
+        cut = int(np.argmax(last))  # keys are sorted: the last run begins at its first row
+        if cut:
+            yield held.slice(0, cut)
+            held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def group_starts(*columns: np.ndarray) -> np.ndarray:
+    """First row of every run of equal values, and the number of rows at the end."""
+    n = len(columns[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.append(np.flatnonzero(new), n)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: lineage ends there, and the
     work is done once however often the result is used."""
