@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisa.llm import chosen_path, context_tree, mixing, nn_descent, ordinal, phrase_index, secrets, toxicity
+from brisa.llm import chosen_path, context_tree, mixing, nn_descent, ordinal, phrase_index, secrets, toxicity, url_rules
 from brisa.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,39 @@ def op2_context_tree_score(spark, sf_dir):
 @query
 def op10_nn_descent(spark, sf_dir):
     return nn_descent.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op8_url_rules(spark, sf_dir):
+    return url_rules.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def _duck_rules() -> str:
+    """CASE arms of the rule table, longest rule first."""
+    arms = sorted(url_rules.RULES, key=lambda r: (len(r[0] + r[1]), r), reverse=True)
+    fits = "WHEN (host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '{1}') THEN "
+    return ("CASE " + " ".join(fits.format(h, p) + f"'{h}{p}'" for h, p, _ in arms) + " END AS rule, CASE "
+            + " ".join(fits.format(h, p) + f"'{v}'" for h, p, v in arms) + " END AS v")
+
+
+ORACLE["op8_url_rules"] = r"""
+WITH u AS (SELECT row_number() OVER () AS rid, page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+s AS (SELECT rid, page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(r, '^[^?#]*\?([^#]*)', 1) AS q FROM u),
+t AS (SELECT rid, page_id, host, path, """ + _duck_rules() + r""", list_sort(list_distinct(list_concat(list_concat(
+        list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'h:' || x),
+        list_transform(list_filter(string_split_regex(translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+'), lambda x: x <> ''),
+                       lambda x: 'p:' || regexp_replace(x, '^[0-9]+$', '#'))),
+        list_transform(list_filter(string_split_regex(q, '[&=]'), lambda x, i: i % 2 = 1 AND x <> ''), lambda x: 'q:' || x)))) AS tokens FROM s),
+lab AS (SELECT rid, tokens, v FROM t WHERE rule IS NOT NULL AND len(tokens) > 0),
+need AS (SELECT ceil(0.005 * count(*)) AS least, count(*) AS n FROM lab),
+it AS (SELECT rid, v, unnest(tokens) AS a FROM lab),
+ante AS (SELECT [a] AS x, rid, v FROM it UNION ALL SELECT [i.a, j.a], i.rid, i.v FROM it i JOIN it j ON i.rid = j.rid AND i.a < j.a
+  UNION ALL SELECT [i.a, j.a, k.a], i.rid, i.v FROM it i JOIN it j ON i.rid = j.rid AND i.a < j.a JOIN it k ON k.rid = i.rid AND j.a < k.a),
+both_n AS (SELECT x, v, count(*) AS c FROM ante GROUP BY x, v), one_n AS (SELECT x, count(*) AS c FROM ante GROUP BY x),
+ru AS (SELECT x, v, b.c::DOUBLE / o.c AS conf, b.c::DOUBLE / n AS sup FROM both_n b JOIN one_n o USING (x), need WHERE b.c >= least AND b.c::DOUBLE / o.c >= 0.6),
+kept AS (SELECT * FROM ru s WHERE NOT EXISTS (SELECT 1 FROM ru g WHERE g.v = s.v AND len(g.x) < len(s.x) AND g.conf >= s.conf AND list_has_all(s.x, g.x))),
+best AS (SELECT rid, max(struct_pack(c := conf, s := sup, x := array_to_string(x, ' '), v := kept.v)) AS b
+         FROM t JOIN kept ON list_has_all(tokens, x) WHERE rule IS NULL GROUP BY rid)
+SELECT page_id, host, path, rule, coalesce(t.v, b.v, 'allow') AS verdict, CASE WHEN rule IS NULL THEN b.x END AS mined_rule FROM t LEFT JOIN best USING (rid)
+"""
