@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisa.llm import chosen_path, context_tree, mixing, nn_descent, ordinal, phrase_index, secrets, toxicity, url_rules
+from brisa.llm import chosen_path, context_tree, licences, mixing, nn_descent, ordinal, phrase_index, secrets, toxicity, url_rules
 from brisa.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +199,29 @@ best AS (SELECT rid, max(struct_pack(c := conf, s := sup, x := array_to_string(x
          FROM t JOIN kept ON list_has_all(tokens, x) WHERE rule IS NULL GROUP BY rid)
 SELECT page_id, host, path, rule, coalesce(t.v, b.v, 'allow') AS verdict, CASE WHEN rule IS NULL THEN b.x END AS mined_rule FROM t LEFT JOIN best USING (rid)
 """
+
+
+@query
+def op3_licence_digests(spark, sf_dir):
+    return licences.scan(documents(spark, sf_dir), licences.known(spark))
+
+
+def _duck_licences() -> str:
+    """Canonical form in SQL: lines, claims dropped, spaces, spellings."""
+    marks = "".join(licences.TYPOGRAPHIC)
+    same = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in licences.SAME.items()) + "}"
+    words = (f"list_transform(list_filter(string_split(regexp_replace(translate(l, '{marks}', '{' ' * len(marks)}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]', ' ', 'g'), ' '), "
+             f"lambda w: w <> ''), lambda w: coalesce({same}[w], w))")
+    lines = ("list_filter(string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)), "
+             "lambda l: NOT regexp_matches(l, '^[\\x20\\x09-\\x0D]*(copyright|\\(c\\)|\u00a9|all rights reserved)'))")
+    return f"list_filter(list_transform({lines}, lambda l: array_to_string({words}, ' ')), lambda c: c <> '')"
+
+
+ORACLE["op3_licence_digests"] = f"""
+WITH k(name, text) AS (VALUES {", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licences.KNOWN)}),
+kd AS (SELECT sha256(array_to_string({_duck_licences()}, ' ')) AS digest, min(name) AS name FROM k GROUP BY 1),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_duck_licences()} AS lines FROM documents),
+w AS (SELECT rid, doc_id, sha256(array_to_string(lines, ' ')) AS digest FROM d),
+n AS (SELECT rid, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FROM (SELECT rid, sha256(l) AS digest FROM (SELECT rid, unnest(lines) AS l FROM d)) JOIN kd USING (digest) GROUP BY rid)
+SELECT doc_id, digest, name AS licence, coalesce(notices, '') AS notices FROM w LEFT JOIN kd USING (digest) LEFT JOIN n USING (rid)
+"""
