@@ -52,8 +52,10 @@ o0 AS (SELECT row_number() OVER () AS rid, doc_id, d.source, size, source_size,
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM (
       SELECT *, x = 0 AND size > 0 AND size <= l AS f FROM (
       SELECT *, rest - coalesce(sum(size * x) OVER (PARTITION BY source), 0) AS l FROM o{i - 1})))),
-""" for i in (1, 2, 3)) + r"""z AS (SELECT 1)
-SELECT doc_id, source, size, source_size, target, (size * (epochs + x))::BIGINT AS taken FROM o3
+""" for i in (1, 2, 3)) + r"""o4 AS (SELECT * EXCLUDE (l, q, x), CASE WHEN q = 1 THEN 1 ELSE x END AS x FROM (
+  SELECT *, CASE WHEN x = 0 AND size > l AND size < 2 * l THEN row_number() OVER (PARTITION BY source, x = 0 AND size > l AND size < 2 * l
+    ORDER BY size, k, doc_id NULLS LAST) END AS q FROM (SELECT *, rest - coalesce(sum(size * x) OVER (PARTITION BY source), 0) AS l FROM o3)))
+SELECT doc_id, source, size, source_size, target, (size * (epochs + x))::BIGINT AS taken FROM o4
 """
 
 

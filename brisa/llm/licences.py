@@ -39,7 +39,7 @@ SAME = {
     "licence": "license", "licenced": "licensed", "licences": "licenses", "licencing": "licensing", "maximise": "maximize",
     "modelled": "modeled", "modelling": "modeling", "offence": "offense", "optimise": "optimize", "organisation": "organization",
     "organise": "organize", "owner": "holder", "owners": "holders", "practise": "practice", "programme": "program",
-    "realise": "realize", "recognise": "recognize", "signalling": "signaling", "utilisation": "utilization", "whilst": "while", "wilful": "willful",
+    "realise": "realize", "recognise": "recognize", "signalling": "signaling", "sublicence": "sublicense", "sublicences": "sublicenses", "sublicenced": "sublicensed", "utilisation": "utilization", "whilst": "while", "wilful": "willful",
 }
 
 # Known licence texts and one-line notices.

@@ -15,7 +15,8 @@ a fixed number of ordered buckets, bucket sums are added up in Spark, and only
 the one bucket of each source in which its budget ends is sorted.  So a source
 with a third of all rows costs no more in any task than the others.  What the
 last document that fits leaves open is filled in further passes, in the same
-order, by documents small enough for it; a budget is never exceeded.
+order, by documents small enough for it; at last the smallest document that
+does not fit is taken if its excess is less than what is still open.
 
 Defined results: null text, or one without words, has size 0 and is never
 taken; null source is a source of its own; rows that repeat an id and a text
@@ -79,23 +80,23 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX
 def _fill(rows: DataFrame, left: DataFrame) -> DataFrame:
     """Take, in key order, documents not taken yet that fit what is left of their source's budget.
 
-    ``rows``: doc_id, source, size, key, bucket, extra (0 or 1); ``left``: source, left.  Returns ``rows`` with
-    ``extra`` set where taken.
+    ``rows``: doc_id, source, size, key, bucket, extra (0 or 1); ``left``: source, left, only (a key; if not null,
+    only documents with it are looked at).  Returns ``rows`` with ``extra`` set where taken.
     """
     r, g = rows.alias("r"), left.alias("g")
-    opened = (F.col("extra") == 0) & (F.col("size") > 0) & (F.col("size") <= F.col("left"))
+    opened = (F.col("extra") == 0) & (F.col("size") > 0) & (F.col("size") <= F.col("left")) & F.coalesce(F.col("key") == F.col("only"), F.lit(True))
     own = r.join(g, F.col("r.source").eqNullSafe(F.col("g.source"))).where(opened)
     # a third of the words may sit in one source: (source, bucket) sums are made before the shuffle
-    sums = own.groupBy("r.source", "bucket", "left").agg(F.sum("size").alias("words"))
+    sums = own.groupBy("r.source", "bucket", "left", "only").agg(F.sum("size").alias("words"))
     run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("words").over(run), F.lit(0)))
     end = F.col("before") + F.col("words")
     # the bucket in which the budget ends, and the last one that is taken whole
-    cut = stored(sums.groupBy("source", "left").agg(
+    cut = stored(sums.groupBy("source", "left", "only").agg(
         F.max(F.when((F.col("before") < F.col("left")) & (end > F.col("left")), F.struct("bucket", "before"))).alias("cut"),
         F.max(F.when(end <= F.col("left"), F.col("bucket"))).alias("whole")), "mix-cut")
     c = cut.alias("c")
-    met = r.join(c, F.col("r.source").eqNullSafe(F.col("c.source")), "left").select("r.*", "left", "cut", "whole")
+    met = r.join(c, F.col("r.source").eqNullSafe(F.col("c.source")), "left").select("r.*", "left", "only", "cut", "whole")
     edge = F.coalesce(opened & (F.col("cut.bucket") == F.col("bucket")), F.lit(False))
     plain = met.where(~edge).withColumn("extra", F.greatest("extra", F.coalesce((opened & (F.col("bucket") <= F.col("whole"))).cast("int"), F.lit(0))))
     same = ["doc_id", "source", "size", "key", "bucket"]
@@ -119,12 +120,16 @@ def mix(docs: DataFrame, weight: Column | None = None, weights: tuple[int, ...]
     goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     goal = goal.withColumn("epochs", F.coalesce(F.least(F.lit(cap), F.floor(F.col("target") / F.nullif("source_size", F.lit(0)))), F.lit(0)).cast("long"))
     goal = stored(goal.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-goal")
-    left = goal.select("source", F.col("rest").alias("left"))
-    for k in range(rounds):
-        rows = _fill(rows, left)
-        if k + 1 < rounds:
-            used, g = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("extra")).alias("used")).alias("u"), goal.alias("g")
-            left = g.join(used, F.col("g.source").eqNullSafe(F.col("u.source"))).select("g.source", (F.col("rest") - F.col("used")).alias("left"))
+    def left() -> DataFrame:
+        used, g = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("extra")).alias("used")).alias("u"), goal.alias("g")
+        return g.join(used, F.col("g.source").eqNullSafe(F.col("u.source"))).select("g.source", (F.col("rest") - F.col("used")).alias("left"))
+
+    for _ in range(rounds):
+        rows = _fill(rows, left().withColumn("only", F.lit(None).cast("double")))
+    r, g = rows.where("extra = 0").alias("r"), left().alias("g")
+    over = r.join(g, F.col("r.source").eqNullSafe(F.col("g.source"))).where((F.col("size") > F.col("left")) & (F.col("size") < 2 * F.col("left")))
+    over = over.groupBy("r.source").agg(F.min(F.struct("size", "key")).alias("next"))
+    rows = _fill(rows, over.select("source", F.col("next.size").cast("double").alias("left"), F.col("next.key").alias("only")))
     r, g = rows.alias("r"), goal.alias("g")
     return r.join(g, F.col("r.source").eqNullSafe(F.col("g.source"))).select(
         "doc_id", "r.source", "size", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("extra"))).cast("long").alias("taken"))
