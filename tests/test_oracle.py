@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from brisa.plans import catalog
 from tests.conftest import SF_SMALL
 from tests.helpers import duck, rows
 
-SQL = E.oracle_sql()
-NAMES = sorted(E.queries())
+SQL = catalog.ORACLE
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
