@@ -9,7 +9,7 @@ every one of them gets the best it met; lists are merged by node.
 
 Search: a query starts from its own node's list and in each hop joins its best
 ``EXPAND`` unexpanded nodes to the graph, whose rows carry the neighbours'
-vectors (8-bit codes), and keeps the best ``POOL``.  At the end the best
+vectors (16-bit codes), and keeps the best ``POOL``.  At the end the best
 ``RERANK`` are scored in double precision on the original vectors.
 
 No step compares all with all: buckets larger than twice ``LEAF`` are dealt
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from brisa.llm.common import group_starts, stored, whole_groups
 
 TOP = 5
-K = 30
+K = 26
 TREES = 8
 LEAF = 400
 ITERATIONS = 3
@@ -46,7 +46,7 @@ GIVE = 10
 POOL = 240
 EXPAND = 60
 HOPS = 10
-RERANK = 40
+RERANK = 80
 
 _LIST = "node bigint, ids binary, sims binary"
 
@@ -74,17 +74,17 @@ def _unit(raw: list[bytes]) -> np.ndarray:
 
 
 def _encode(raw: list[bytes]) -> list[bytes]:
-    """8-bit code of the unit vector, then its scale."""
+    """16-bit code of the unit vector, then its scale (similarities are off by about 1e-5)."""
     x = _unit(raw)
     top = np.abs(x).max(axis=1, keepdims=True)
-    code = np.rint(x / top * 127).astype(np.int8)
-    scale = (top / 127).astype("<f4")
+    code = np.rint(x / top * 32767).astype("<i2")
+    scale = (top / 32767).astype("<f4")
     return [c.tobytes() + s.tobytes() for c, s in zip(code, scale)]
 
 
 def _decode(raw: bytes, n: int) -> np.ndarray:
     a = np.frombuffer(raw, np.uint8).reshape(n, -1)
-    return a[:, :-4].view(np.int8).astype(np.float32) * np.ascontiguousarray(a[:, -4:]).view("<f4")
+    return np.ascontiguousarray(a[:, :-4]).view("<i2").astype(np.float32) * np.ascontiguousarray(a[:, -4:]).view("<f4")
 
 
 def _lists(node, ids: list, sims: list) -> pa.RecordBatch:
