@@ -167,5 +167,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, limit: int = 16 << 20) -> None:
+    """Keep Arrow batches small: texts are long, and a task holds a few copies of a batch."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= limit:
+        spark.conf.set(key, str(limit))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -49,9 +49,10 @@ NODES = 1 << 21
 HEAD = 100_000
 END = 10
 _HALF = math.log(0.5)
-_FLUSH = 1 << 21
+_FLUSH = 1 << 20
 _SLOTS = 22
-_CACHE = 21
+_CACHE = 22
+_GRAM_BITS = 8 * (DEPTH + 1)
 
 
 def streams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +149,7 @@ def count_grams(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(key[lo:lo + (1 << 18)].view(np.int64)), pa.array(n[lo:lo + (1 << 18)])], ["gram", "n"])
 
         for batch in batches:
-            for _, _, data, offsets in chunks(batch.column("text"), 2 << 20):
+            for _, _, data, offsets in chunks(batch.column("text"), 1 << 20):
                 held.append(np.unique(grams(*streams(data, offsets), depth), return_counts=True))
                 size += len(held[-1][0])
                 if size > _FLUSH:
@@ -205,7 +206,7 @@ class Model:
             free = self.table[slot] < 0
             self.table[slot[free]] = left[free]  # one of several wins; the others go on
             left, probe = left[self.table[slot] != left], probe + 1
-        self.cache_key = np.full(1 << _CACHE, np.iinfo(np.uint64).max, np.uint64)
+        self.cache_tag = np.full(1 << _CACHE, np.iinfo(np.uint32).max, np.uint32)
         self.cache = np.zeros(1 << _CACHE, np.float32)
 
     def __getstate__(self):
@@ -248,19 +249,28 @@ class Model:
         """``log2`` through a cache of grams seen before in this process."""
         if self.table is None:
             self._build()
-        slot = (mix(key) >> np.uint64(64 - _CACHE)).astype(np.int64)
+        slot, tag = _place(key)
         out = self.cache[slot].astype(np.float64)
-        miss = np.flatnonzero(self.cache_key[slot] != key)
+        miss = np.flatnonzero(self.cache_tag[slot] != tag)
         if len(miss):
             new, inv = np.unique(key[miss], return_inverse=True)
-            value = self.log2(new)
+            value = np.concatenate([self.log2(new[lo:lo + (1 << 16)]) for lo in range(0, len(new), 1 << 16)])
             out[miss] = value[inv]
-            at = (mix(new) >> np.uint64(64 - _CACHE)).astype(np.int64)
+            at, tag = _place(new)
             at, pick = np.unique(at, return_index=True)
-            self.cache_key[at], self.cache[at] = new[pick], value[pick]
+            self.cache_tag[at], self.cache[at] = tag[pick], value[pick]
         return out
 
 
+def _place(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cache slot and tag of a gram; together they are a one-to-one image of it."""
+    low = np.uint64((1 << _GRAM_BITS) - 1)
+    h = (key * np.uint64(0x9E3779B97F4A7C15)) & low
+    h ^= h >> np.uint64(_GRAM_BITS // 2)
+    h = (h * np.uint64(0xD6E8FEB86659FD93)) & low
+    return (h >> np.uint64(_GRAM_BITS - _CACHE)).astype(np.int64), (h & np.uint64((1 << (_GRAM_BITS - _CACHE)) - 1)).astype(np.uint32)
+
+
 def train(texts: DataFrame, nodes: int = NODES, depth: int = DEPTH) -> Model:
     """The model of a column of texts."""
     tree = stored(trees(stored(count_grams(texts, depth), "ctw-grams"), depth), "ctw-nodes")
@@ -297,7 +307,7 @@ def count_tokens(texts: DataFrame) -> DataFrame:
                 raw = text.as_buffer()
                 if raw is not None:
                     held.update(raw.to_pybytes().lower().split())
-                if len(held) > 500_000:
+                if len(held) > 250_000:
                     yield from rows()
                     held.clear()
         yield from rows()
@@ -327,7 +337,7 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
         get = known.get
         for batch in batches:
             text, ids, held = batch.column("text"), batch.column("doc_id"), batch.column("held_out")
-            for lo, hi, data, offsets in chunks(text, 2 << 20):
+            for lo, hi, data, offsets in chunks(text, 1 << 20):
                 out, at = streams(data, offsets)
                 bits = m.cached(grams(out, at, depth))
                 log10 = np.add.reduceat(bits, at[:-1]) * math.log10(2)

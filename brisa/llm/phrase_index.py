@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.common import ALNUM, LOWER, chunks, stored, word_hashes, words
+from brisa.llm.common import ALNUM, LOWER, chunks, small_batches, stored, word_hashes, words
 
 LENGTH = 10
 SPAN = 15
@@ -115,6 +115,8 @@ def _unpack(r: dict) -> Shard:
 def build(docs: DataFrame, chunk_bytes: int = 4 << 20) -> DataFrame:
     """The stored index: one row for each shard (a chunk of documents)."""
 
+    small_batches(docs.sparkSession)
+
     def index(batches):
         for batch in batches:
             keys = batch.column("digest")
