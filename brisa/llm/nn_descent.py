@@ -44,7 +44,7 @@ ITERATIONS = 3
 MEET = 40
 GIVE = 10
 POOL = 240
-EXPAND = 60
+EXPAND = 80
 HOPS = 10
 RERANK = 80
 
@@ -104,14 +104,22 @@ def _meet(keys: list[str], give: int):
         for table in whole_groups(batches, *keys):
             cut = group_starts(*(table.column(k).to_numpy() for k in keys))
             node, code = table.column("node").to_numpy(), table.column("code").to_pylist()
+            out: list = [[], [], []]
             for a, b in zip(cut[:-1], cut[1:]):
-                if b - a < 2:
+                mine, at = np.unique(node[a:b], return_index=True)
+                if len(mine) < 2:
                     continue
-                x = _decode(b"".join(code[a:b]), b - a)
+                x = _decode(b"".join([code[a + i] for i in at]), len(mine))
                 sim = x @ x.T
                 np.fill_diagonal(sim, -2)
-                pick = _best(sim, min(give, b - a - 1))
-                yield _lists(node[a:b], list(node[a:b][pick]), list(np.take_along_axis(sim, pick, axis=1)))
+                pick = _best(sim, min(give, len(mine) - 1))
+                for to, part in zip(out, (mine, mine[pick], np.take_along_axis(sim, pick, axis=1))):
+                    to.extend(part)
+                if len(out[0]) > 5000:
+                    yield _lists(*out)
+                    out = [[], [], []]
+            if out[0]:
+                yield _lists(*out)
 
     return go
 
@@ -160,7 +168,7 @@ def _around(lists: DataFrame, codes: DataFrame, forward: int, reverse: int, salt
     """v, node, code: up to so many neighbours of each node in either direction, by a hash where there are more."""
     order = Window.partitionBy("v", "back").orderBy(F.xxhash64(F.lit(salt), "v", "node"))
     edges = _edges(lists).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(forward, reverse))
-    edges = edges.where(F.col("rank") <= F.when(F.col("back") == 0, forward).otherwise(reverse)).select("v", "node").distinct()
+    edges = edges.where(F.col("rank") <= F.when(F.col("back") == 0, forward).otherwise(reverse)).select("v", "node")
     return edges.join(codes, "node")
 
 
@@ -207,12 +215,15 @@ def search(lists: DataFrame, codes: DataFrame, queries: DataFrame) -> DataFrame:
 
     def whole(batches):
         for table in whole_groups(batches, "v"):
-            cut = group_starts(table.column("v").to_numpy())
-            node, code = table.column("node").to_numpy(), table.column("code").to_pylist()
+            v, node, code = table.column("v").to_numpy(), table.column("node").to_numpy(), table.column("code").to_pylist()
+            first = group_starts(*(x[order] for order in [np.lexsort((node, v))] for x in (v, node)))[:-1]
+            keep = np.lexsort((node, v))[first]  # a neighbour in both directions counts once
+            v, node, code = v[keep], node[keep], [code[i] for i in keep]
+            cut = group_starts(v)
             for lo in range(0, len(cut) - 1, 256):
                 part = cut[lo:lo + 257]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(table.column("v").to_numpy()[part[:-1]]), pa.array([node[a:b].astype("<i8").tobytes() for a, b in zip(part, part[1:])], pa.binary()),
+                    pa.array(v[part[:-1]]), pa.array([node[a:b].astype("<i8").tobytes() for a, b in zip(part, part[1:])], pa.binary()),
                     pa.array([b"".join(code[a:b]) for a, b in zip(part, part[1:])], pa.binary())], ["node", "near", "codes"])
 
     around = _around(lists, codes, K, K, -1).repartition("v").sortWithinPartitions("v")
@@ -254,7 +265,7 @@ def search(lists: DataFrame, codes: DataFrame, queries: DataFrame) -> DataFrame:
         for table in whole_groups(batches, "q"):
             q, code, raw = table.column("q").to_numpy(), table.column("code").to_pylist(), table.column("pool").to_pylist()
             cut = group_starts(q)
-            codes_, pools = [], []
+            codes_, pools, more = [], [], []
             for a, b in zip(cut[:-1], cut[1:]):
                 own = next(i for i in range(a, b) if code[i] is not None)
                 old = np.frombuffer(raw[own], _ENTRY).copy()
@@ -262,18 +273,21 @@ def search(lists: DataFrame, codes: DataFrame, queries: DataFrame) -> DataFrame:
                 pool = np.concatenate([old] + [np.frombuffer(raw[i], _ENTRY) for i in range(a, b) if i != own])
                 pool = pool[np.lexsort((-pool["done"], pool["id"]))]
                 pool = pool[group_starts(pool["id"])[:-1]] if len(pool) else pool
-                pools.append(pool[np.lexsort((pool["id"], -pool["sim"]))][:POOL].tobytes())
+                pool = pool[np.lexsort((pool["id"], -pool["sim"]))][:POOL]
+                pools.append(pool.tobytes())
                 codes_.append(code[own])
-            yield pa.RecordBatch.from_arrays([pa.array(q[cut[:-1]]), pa.array(codes_, pa.binary()), pa.array(pools, pa.binary())], ["q", "code", "pool"])
+                more.append(bool((pool["done"] == 0).any()))
+            yield pa.RecordBatch.from_arrays([pa.array(q[cut[:-1]]), pa.array(codes_, pa.binary()), pa.array(pools, pa.binary()), pa.array(more)], ["q", "code", "pool", "open"])
 
+    schema = "q bigint, code binary, pool binary"
     schema = "q bigint, code binary, pool binary"
     state = stored(queries.select("node").distinct().join(lists, "node").join(codes, "node").mapInArrow(begin, schema), "nnd-search")
     for _ in range(HOPS):
-        edge = stored(state.mapInArrow(frontier, "q bigint, code binary, node bigint"), "nnd-frontier")
-        if edge.limit(1).count() == 0:
+        met = state.mapInArrow(frontier, "q bigint, code binary, node bigint").join(graph, "node").select("q", "code", "near", "codes").mapInArrow(look, schema)
+        step = stored(state.unionByName(met).repartition("q").sortWithinPartitions("q").mapInArrow(settle, f"{schema}, open boolean"), "nnd-search")
+        state = step.drop("open")
+        if step.where("open").limit(1).count() == 0:
             break
-        met = edge.join(graph, "node").select("q", "code", "near", "codes").mapInArrow(look, schema)
-        state = stored(state.unionByName(met).repartition("q").sortWithinPartitions("q").mapInArrow(settle, schema), "nnd-search")
     graph.unpersist()
 
     def end(batches):
