@@ -1,33 +1,33 @@
 """Exact k-nearest-neighbour regression built from equi-joins.
 
-No cross join and no all-pairs step: candidates come from a multi-level
-square grid.
+No cross join and no all-pairs step: candidates come from leaves of about
+equal counts.
 
 1. Training rows are deduplicated per exact feature point down to ``k``
    rows (lowest ids) - rows past the k-th at one point can never be among
    the k nearest.  ``row_number() <= k`` plans as a ``WindowGroupLimit``
    that trims map-side, so a point holding a third of all rows is cut
    before the shuffle.
-2. Every training row gets a cell key at each level ``w_l = w0 * 2**l``;
-   cell counts per level are a small aggregate.
-3. Each query point picks the finest level whose 3x3 block holds at least
-   ``k`` rows (dense regions use fine cells, sparse regions coarse ones).
-4. Round A joins the query with the 3x3 block (equi-join on the cell key)
-   and keeps the k closest by ``(distance, id)``.  If the k-th distance is
-   within one cell width every closer row is inside the block: done.
-5. Round B re-queries the rest with the ring ``R = floor(d_k / w) + 1``,
-   which provably contains all rows within ``d_k``.
+2. Quantiles of the first feature cut the rows into strips, quantiles of the
+   second cut each strip into leaves.  Leaves follow the counts, so dense
+   spots get small leaves and an outlier costs nothing.  There are at most
+   ``SIDE * SIDE`` leaves in a group; each is known by its bounding box and
+   row counts, and a group's leaves are one row, joined to its queries.
+3. A query takes the least radius r for which the boxes that lie wholly
+   within r hold ``k`` rows.  All of the k nearest lie within r, hence in
+   leaves whose box comes within r: these (few) leaves are its candidates.
+4. One equi-join on the leaf and one ranking by ``(distance, id)``.
 
 Ties are broken by training id, so the result is deterministic and equals
 a brute-force ranking by ``(squared distance, id)``.  ``group`` columns
-(e.g. the CV fold) restrict neighbours to the same group, so all folds
-run in one job.
+restrict neighbours to the same group.  ``admit`` relates a tag of the
+query to a tag of the training row (few different values, e.g. CV folds):
+``"other"`` takes rows with another tag, ``"upto"`` rows with a tag of at
+most the query's.  So all folds share one index, and every row is in it once.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,19 +36,11 @@ from pyspark.sql import functions as F
 from brisa.session import cut_lineage
 
 EPS = 1e-9
-FINE_LEVELS = 8  # levels below w0 for dense regions (cells down to w0 / 256)
-# Prune the training side to the levels queries chose once it has more
-# exploded rows than this (below it the planner broadcasts that side anyway).
-PRUNE_MIN_ROWS = 2_000_000
-
-
-@dataclass(frozen=True)
-class GridSpec:
-    x0: float
-    y0: float
-    w0: float
-    levels: tuple[int, ...]
-    n_train: int = 0
+#: Most strips of a group, and most leaves of a strip (powers of two).
+SIDE = 64
+#: Rows of a leaf, as a multiple of k, as long as a group has fewer than SIDE * SIDE leaves.
+LEAF_ROWS = 4
+ADMIT = {None: "true", "other": "{t} <> {q}", "upto": "{t} <= {q}"}
 
 
 def _d(c) -> Column:
@@ -75,153 +67,83 @@ def hash_fold(df: DataFrame, key_col: str, n_folds: int = 5, seed: str = "420",
     return df.withColumn(out_col, F.pmod(hash_bucket(key_col, seed, 2, 4), F.lit(n_folds)))
 
 
-def grid_spec(train: DataFrame, test: DataFrame, features: Sequence[str], k: int) -> GridSpec:
-    """Grid origin and base width from one small aggregate over both inputs.
-
-    ``w0`` makes an average cell hold about ``k`` training rows if they
-    were spread evenly; the top level covers the whole extent.
-    """
-    a, b = features
-    pts = train.select(_d(a).alias("a"), _d(b).alias("b"), F.lit(1).alias("t")).unionByName(
-        test.select(_d(a).alias("a"), _d(b).alias("b"), F.lit(0).alias("t")))
-    pts = pts.filter(_finite("a") & _finite("b"))
-    s = pts.agg(F.min("a").alias("xa"), F.max("a").alias("xb"), F.min("b").alias("ya"),
-                F.max("b").alias("yb"), F.sum("t").alias("n")).first()
-    if s is None or s["xa"] is None:
-        return GridSpec(0.0, 0.0, 1.0, (0,), 0)
-    extent = max(s["xb"] - s["xa"], s["yb"] - s["ya"], 1e-12)
-    n = max(int(s["n"] or 0), 1)
-    w0 = extent * math.sqrt(min(1.0, max(k, 1) / n))
-    top = max(0, math.ceil(math.log2(extent / w0)) + 1)
-    return GridSpec(float(s["xa"]), float(s["ya"]), w0, tuple(range(-FINE_LEVELS, top + 1)),
-                    int(s["n"] or 0))
-
-
 def _finite(c: str) -> Column:
-    return F.col(c).isNotNull() & ~F.isnan(F.col(c))
-
-
-def _width(spec: GridSpec) -> Column:
-    return F.lit(spec.w0) * F.pow(F.lit(2.0), F.col("lvl").cast("double"))
-
+    return F.col(c).isNotNull() & ~F.isnan(F.col(c)) & (F.abs(F.col(c)) < F.lit(float("inf")))
 
-def _cells(spec: GridSpec, a: str, b: str) -> list[Column]:
-    w = _width(spec)
-    return [F.floor((F.col(a) - F.lit(spec.x0)) / w).alias("cx"),
-            F.floor((F.col(b) - F.lit(spec.y0)) / w).alias("cy")]
 
+def _cut(value: str, cuts: str) -> Column:
+    """How many of the ascending ``cuts`` lie below ``value``."""
+    return F.expr(f"size(filter({cuts}, c -> c < {value}))")
 
-def _block3() -> Column:
-    """The 3x3 block of cell offsets around a cell."""
-    return F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                     for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
 
+def _leaves(tr: DataFrame, k: int, one_group: bool = True) -> DataFrame:
+    """``tr`` (g, a, b, ...) with ``leaf``, a number within its group."""
+    small = F.broadcast if one_group else lambda df: df  # one group: at most SIDE rows
+    every = F.array(*[F.lit(i / SIDE) for i in range(1, SIDE)])
 
-def _ring(r: Column) -> Column:
-    s = F.sequence(-r, r)
-    return F.flatten(F.transform(s, lambda dx: F.transform(s, lambda dy: F.struct(dx.alias("dx"),
-                                                                                    dy.alias("dy")))))
+    total = F.count(F.lit(1))
+    # strips = leaves of a strip = 2 ** ceil(log4(rows / leaf rows))
+    side = F.least(F.lit(SIDE), F.pow(F.lit(2), F.ceil(F.log2(F.greatest(total / (LEAF_ROWS * k), F.lit(1.0))) / 2))).cast("int")
+    strips = tr.groupBy("g").agg(F.percentile_approx("a", every).alias("q"), side.alias("side"))
+    every_nth = f"array_distinct(filter(q, (x, i) -> (i + 1) % ({SIDE} DIV side) = 0))"
+    strips = strips.select("g", "side", F.expr(every_nth).alias("xs"))
+    dealt = tr.join(small(strips), "g").withColumn("strip", _cut("a", "xs")).drop("xs")
+    inner = dealt.groupBy("g", "strip").agg(F.percentile_approx("b", every).alias("q"), F.max("side").alias("side"))
+    inner = inner.select("g", "strip", F.expr(every_nth).alias("ys"))
+    out = dealt.drop("side").join(small(inner), ["g", "strip"])
+    return out.withColumn("leaf", F.col("strip") * SIDE + _cut("b", "ys")).drop("strip", "ys")
 
 
 def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] = ("x1", "x2"),
             train_id: str = "id", test_id: str = "id", y_col: str = "y",
             group_col: str | None = None, carry: Sequence[str] = (),
-            spec: GridSpec | None = None) -> DataFrame:
+            tag_col: str | None = None, admit: str | None = None) -> DataFrame:
     """The ``k`` nearest training rows of every test row.
 
     Returns ``(g, qid, rk, rid, y, d2, *carry)``: rank 1..k by
-    ``(squared Euclidean distance, training id)``.  When a group holds fewer
-    than ``k`` training rows all of them are returned.
+    ``(squared Euclidean distance, training id)``.  When fewer than ``k``
+    training rows may be taken all of them are returned.  With ``admit``,
+    ``g`` is the query's tag.  Rows whose features are null, NaN or infinite
+    are neither neighbours nor queries; an id may be asked once for each
+    group or tag.
     """
     a, b = features
-    g_tr = F.col(group_col) if group_col else F.lit(0)
-    g_te = F.col(group_col) if group_col else F.lit(0)
-    tr = train.select(g_tr.alias("g"), F.col(train_id).alias("rid"), _d(a).alias("a"),
-                      _d(b).alias("b"), _d(y_col).alias("y"), *carry)
-    te = test.select(g_te.alias("g"), F.col(test_id).alias("qid"), _d(a).alias("qa"),
-                     _d(b).alias("qb"))
-    # rows without usable features can be neither neighbours nor queries
-    # (a null distance would otherwise sort first)
-    tr = tr.filter(_finite("a") & _finite("b"))
-    te = te.filter(_finite("qa") & _finite("qb"))
-
-    # 1. at most k rows per exact feature point (lowest ids win ties anyway)
-    wdup = Window.partitionBy("g", "a", "b").orderBy("rid")
-    tr = tr.withColumn("__dup", F.row_number().over(wdup)).filter(F.col("__dup") <= k).drop("__dup")
-    # Both narrow inputs are read several times below (bounds, counts, two
-    # candidate rounds): materialise them once instead of re-running the
-    # plans that produced them.
-    tr, te = cut_lineage(tr), cut_lineage(te)
-    spec = spec or grid_spec(tr.select(F.col("a").alias(a), F.col("b").alias(b)),
-                             te.select(F.col("qa").alias(a), F.col("qb").alias(b)), features, k)
-
-    # 2. cell keys at every level and cell counts
-    levels = F.array(*[F.lit(l) for l in spec.levels])
-    tr_l = tr.withColumn("lvl", F.explode(levels)).select("*", *_cells(spec, "a", "b"))
-    counts = tr_l.groupBy("g", "lvl", "cx", "cy").agg(F.count(F.lit(1)).alias("c"))
-
-    # 3. finest level whose 3x3 block holds k rows, in ONE aggregate per
-    #    query: one conditional sum per level.  The top level's block holds
-    #    the whole group, so k_eff = min(k, that count) handles small groups.
-    #    The query's coordinates ride along as grouping keys (no join back).
-    q = ["g", "qid", "qa", "qb"]
-    te_l = te.withColumn("lvl", F.explode(levels)).select("*", *_cells(spec, "qa", "qb"))
-    hits = (te_l.withColumn("o", F.explode(_block3()))
-            .select(*q, "lvl", (F.col("cx") + F.col("o.dx")).alias("cx"),
-                    (F.col("cy") + F.col("o.dy")).alias("cy"))
-            .join(counts, ["g", "lvl", "cx", "cy"]))
-    per_level = hits.groupBy(*q).agg(
-        *[F.sum(F.when(F.col("lvl") == l, F.col("c"))).alias(f"c{i}") for i, l in enumerate(spec.levels)])
-    top = f"c{len(spec.levels) - 1}"
-    k_eff = F.least(F.lit(k), F.coalesce(F.col(top), F.lit(0)))
-    pick = F.coalesce(*[F.when(F.col(f"c{i}") >= F.col("k_eff"), F.lit(l))
-                        for i, l in enumerate(spec.levels)])
-    chosen = (per_level.withColumn("k_eff", k_eff).filter(F.col("k_eff") > 0)
-              .select(*q, "k_eff", pick.alias("lvl"))
-              .select("*", *_cells(spec, "qa", "qb")))
-
-    # only the levels some query chose take part in the candidate joins; the
-    # (group, level) list has at most groups x levels rows - AQE broadcasts
-    # it after checking its actual size (no hint: groups may be many)
-    if spec.n_train * len(spec.levels) > PRUNE_MIN_ROWS:
-        used = chosen.select("g", "lvl").distinct()
-        tr_used = tr_l.join(used, ["g", "lvl"], "left_semi")
-    else:
-        tr_used = tr_l
-
-    def top_k(queries: DataFrame, offsets: Column) -> DataFrame:
-        cand = (queries.withColumn("o", F.explode(offsets))
-                .select(*q, "k_eff", "lvl", (F.col("cx") + F.col("o.dx")).alias("ncx"),
-                        (F.col("cy") + F.col("o.dy")).alias("ncy"), F.col("cx").alias("qcx"),
-                        F.col("cy").alias("qcy"))
-                .join(tr_used.withColumnRenamed("cx", "ncx").withColumnRenamed("cy", "ncy"),
-                      ["g", "lvl", "ncx", "ncy"])
-                .select(*q, "k_eff", "lvl", "qcx", "qcy", "rid", "y", *carry,
-                        ((F.col("qa") - F.col("a")) * (F.col("qa") - F.col("a"))
-                         + (F.col("qb") - F.col("b")) * (F.col("qb") - F.col("b"))).alias("d2")))
-        w = Window.partitionBy("g", "qid").orderBy("d2", "rid")
-        return cand.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
-
-    # 4. round A: the 3x3 block; per-query stats come from window aggregates
-    #    over the same partitioning (no extra shuffle)
-    wq = Window.partitionBy("g", "qid")
-    width = _width(spec)
-    ranked_a = (top_k(chosen, _block3())
-                .withColumn("__n", F.count(F.lit(1)).over(wq))
-                .withColumn("__kd2", F.max("d2").over(wq))
-                .withColumn("__w", width)
-                .withColumn("__done", (F.col("__n") >= F.col("k_eff"))
-                            & (F.col("__kd2") <= (F.col("__w") * (1 - EPS)) * (F.col("__w") * (1 - EPS)))))
-    # round A feeds both the finished queries and the round-B seeds, which
-    # prune different columns, so Spark would run the candidate join twice
-    ranked_a = cut_lineage(ranked_a)
-    # 5. round B: the ring that contains every row within the k-th distance
-    seeds = (ranked_a.filter(~F.col("__done") & (F.col("rk") == 1))
-             .withColumn("R", (F.floor(F.sqrt("__kd2") / F.col("__w") * (1 + EPS)) + 1).cast("int"))
-             .select(*q, "k_eff", "lvl", F.col("qcx").alias("cx"), F.col("qcy").alias("cy"), "R"))
-    ranked_b = top_k(seeds, _ring(F.col("R")))
-    cols = ["g", "qid", "rk", "rid", "y", "d2", *carry]
-    return ranked_a.filter(F.col("__done")).select(*cols).unionByName(ranked_b.select(*cols))
+    group = F.col(group_col) if group_col else F.lit(0)
+    tag = F.col(tag_col).cast("int") if admit else F.lit(0)
+    tr = train.select(group.alias("g"), tag.alias("t"), F.col(train_id).alias("rid"), _d(a).alias("a"),
+                      _d(b).alias("b"), _d(y_col).alias("y"), *carry).filter(_finite("a") & _finite("b"))
+    te = test.select(group.alias("g"), tag.alias("t"), F.col(test_id).alias("qid"), _d(a).alias("qa"),
+                     _d(b).alias("qb")).filter(_finite("qa") & _finite("qb"))
+    # at most k rows per exact feature point and tag (lowest ids win ties anyway)
+    same = Window.partitionBy("g", "t", "a", "b").orderBy("rid")
+    tr = tr.withColumn("__dup", F.row_number().over(same)).filter(F.col("__dup") <= k).drop("__dup")
+    # read for the quantiles, the boxes and the candidates: worked out once
+    tr = cut_lineage(_leaves(cut_lineage(tr), k, group_col is None))
+    boxes = tr.groupBy("g", "leaf", "t").agg(
+        F.min("a").alias("x0"), F.max("a").alias("x1"), F.min("b").alias("y0"), F.max("b").alias("y1"), F.count(F.lit(1)).alias("n"))
+    boxes = boxes.groupBy("g", "leaf").agg(
+        F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"),
+        F.collect_list(F.struct("t", "n")).alias("tags"))
+    # at most SIDE * SIDE structs for each group
+    boxes = boxes.groupBy("g").agg(F.collect_list(F.struct("leaf", "x0", "x1", "y0", "y1", "tags")).alias("boxes"))
+    may = ADMIT[admit]
+    near = """transform(boxes, b -> named_struct(
+        'far', pow(greatest(abs(qa - b.x0), abs(qa - b.x1)), 2) + pow(greatest(abs(qb - b.y0), abs(qb - b.y1)), 2),
+        'n', aggregate(b.tags, 0L, (s, e) -> s + IF({may}, e.n, 0L)), 'leaf', b.leaf,
+        'near', pow(greatest(b.x0 - qa, qa - b.x1, 0D), 2) + pow(greatest(b.y0 - qb, qb - b.y1, 0D), 2)))""".format(may=may.format(t="e.t", q="t"))
+    reach = f"""aggregate(array_sort(seen), named_struct('n', 0L, 'r', 0D), (s, x) ->
+        IF(s.n >= {int(k)}, s, named_struct('n', s.n + x.n, 'r', x.far)), s -> s.r)"""
+    asked = te.join(boxes if group_col else F.broadcast(boxes), "g").withColumn("seen", F.expr(near)).drop("boxes")
+    asked = asked.withColumn("seen", F.expr("filter(seen, x -> x.n > 0)")).withColumn("r", F.expr(reach))
+    leaf = F.explode(F.expr(f"transform(filter(seen, x -> x.near <= r * (1 + {EPS})), x -> x.leaf)")).alias("leaf")
+    asked = asked.select("g", F.col("t").alias("qt"), "qid", "qa", "qb", leaf)
+    met = asked.join(tr, ["g", "leaf"]).filter(F.expr(may.format(t="t", q="qt")))
+    d2 = ((F.col("qa") - F.col("a")) * (F.col("qa") - F.col("a"))
+          + (F.col("qb") - F.col("b")) * (F.col("qb") - F.col("b")))
+    met = met.select((F.col("qt") if admit else F.col("g")).alias("g"), "qid", "rid", "y", d2.alias("d2"), *carry)
+    order = Window.partitionBy("g", "qid").orderBy("d2", "rid")
+    ranked = met.withColumn("rk", F.row_number().over(order)).filter(F.col("rk") <= k)
+    return ranked.select("g", "qid", "rk", "rid", "y", "d2", *carry)
 
 
 def knn_predict(train: DataFrame, test: DataFrame, k: int, **kw) -> DataFrame:

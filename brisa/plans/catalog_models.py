@@ -9,12 +9,13 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from brisa.functions.compass import compass_angle
+from brisa.functions.stamps import ntz_lit
 from brisa.operators import evaluate as EV
 from brisa.operators.timeseries import latest_per_key
 from brisa.operators import knn as KNN
 from brisa.plans import standins as S
 from brisa.plans import wind as W
-from brisa.plans.catalog_series import AS_OF, E11_SQL, FC_SQL, GEN_SQL, ANGLE_SQL, training_set
+from brisa.plans.catalog_series import AS_OF, E11_SQL, HISTORY_DAYS, FC_SQL, GEN_SQL, ANGLE_SQL, training_set
 from brisa.plans.registry import register
 from brisa.plans.tables import table as T
 from brisa.session import cut_lineage, scratch_path
@@ -22,13 +23,12 @@ from brisa.sources import sinks as SK
 from brisa.sources.scans import future_horizon
 
 SEED = "420"
+XY = ("x1", "x2")
 K = 5
-K_MAX_EMB = 20
-K_MAX_GRID = 99  # the original grid: k = 1..99
-# Run stamps of three saved prediction runs (text order differs from time order).
-STAMPS = [_dt.datetime(2022, 5, 15, 17, 59, 31), _dt.datetime(2022, 5, 15, 18, 0, 1),
-          _dt.datetime(2022, 5, 15, 18, 13, 58)]
-STAMP_TEXT = ["2022-5-15-17-59-31", "2022-5-15-18-0-1", "2022-5-15-18-13-58"]
+K_MAX = 99  # the original grid: k = 1..99
+# Run stamps whose text order differs from their time order.
+STAMPS = [_dt.datetime(2024, 1, 9, 23, 59, 5), _dt.datetime(2024, 1, 10, 0, 0, 7), _dt.datetime(2024, 1, 10, 11, 2, 30)]
+STAMP_TEXT = ["2024-1-9-23-59-5", "2024-1-10-0-0-7", "2024-1-10-11-2-30"]
 
 
 # ------------------------------------------------------------------ SQL helpers
@@ -41,8 +41,6 @@ def _split_cols(col):
             f"('0x' || substr({_md5(col)}, 2, 4))::INTEGER % 5 AS fold")
 
 
-EMB_SQL = f"""SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x1, CAST(embedding[2] AS DOUBLE) AS x2,
-    CAST(label AS DOUBLE) AS y, {_split_cols('vec_id')} FROM embeddings"""
 WIND_SQL = f"""SELECT event_id AS id, Speed AS x1, Angle AS x2, Energy AS y, time, {_split_cols('event_id')}
     FROM ({E11_SQL})"""
 
@@ -83,26 +81,28 @@ def holdout_sql(base: str, k: int) -> str:
     return r2_sql(f"SELECT b.y, a.p FROM ({pred}) a JOIN ({base}) b ON b.id = a.qid", "")
 
 
-def best_k_sql(base: str, k_max: int) -> str:
-    return f"SELECT k, mean_r2 FROM ({grid_cv_sql(base, k_max)}) ORDER BY mean_r2 DESC, k LIMIT 1"
+def holdout_all_sql(base: str, k_max: int) -> str:
+    """k, r2, n of the holdout for every k."""
+    nb = knn_sql(f"SELECT * FROM ({base}) WHERE NOT is_test", f"SELECT * FROM ({base}) WHERE is_test", k_max)
+    allk = f"""SELECT qid, rk AS k, avg(y) OVER (PARTITION BY qid ORDER BY rk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p FROM ({nb})"""
+    return r2_sql(f"SELECT a.k, b.y, a.p FROM ({allk}) a JOIN ({base}) b ON b.id = a.qid", "k")
 
 
-# ------------------------------------------------------------------ Spark helpers
-def embeddings(spark, d):
-    e = T(spark, d, "embeddings").select(
-        F.col("vec_id").alias("id"), F.col("embedding")[0].cast("double").alias("x1"),
-        F.col("embedding")[1].cast("double").alias("x2"), F.col("label").cast("double").alias("y"))
-    return KNN.hash_fold(KNN.hash_split(e, "id", SEED), "id", 5, SEED)
+def best_k_sql(base: str, k_max: int) -> str:
+    return f"SELECT k, mean_r2 FROM ({grid_cv_sql(base, k_max)}) WHERE folds = 5 ORDER BY mean_r2 DESC, k LIMIT 1"
 
 
-def _emb_parts(spark, d):
-    e = embeddings(spark, d)
-    return e.filter(~F.col("is_test")), e.filter(F.col("is_test"))
+# ------------------------------------------------------------------ Spark helpers
+def wind_rows(spark, d):
+    """The wind training set as (id, x1 = Speed, x2 = Angle, y = Energy) with its split."""
+    t = training_set(spark, d).select(F.col("event_id").alias("id"), F.col("Speed").alias("x1"), F.col("Angle").alias("x2"),
+                                      F.col("Energy").alias("y"))
+    return KNN.hash_split(t, "id", SEED)
 
 
-def wind_rows(spark, d):
-    t = training_set(spark, d)
-    return KNN.hash_split(t, "event_id", SEED)
+def _parts(spark, d):
+    rows = wind_rows(spark, d)
+    return rows.filter(~F.col("is_test")), rows.filter(F.col("is_test"))
 
 
 def _r6(c):
@@ -110,63 +110,62 @@ def _r6(c):
 
 
 # ------------------------------------------------------------------ M1-M5
-@register("hash_split", f"SELECT id AS vec_id, is_test FROM ({EMB_SQL})")
+@register("hash_split", f"SELECT vec_id, {_split_cols('vec_id').split(', (')[0]} FROM embeddings")
 def hash_split(spark, d):
     return KNN.hash_split(T(spark, d, "embeddings"), "vec_id", SEED).select("vec_id", "is_test")
 
 
 @register("knn_predict", f"""SELECT qid AS test_id, round(avg(y), 6) AS prediction FROM
-    ({knn_sql(f"SELECT * FROM ({EMB_SQL}) WHERE NOT is_test", f"SELECT * FROM ({EMB_SQL}) WHERE is_test", K)})
+    ({knn_sql(f"SELECT * FROM ({WIND_SQL}) WHERE NOT is_test", f"SELECT * FROM ({WIND_SQL}) WHERE is_test", K)})
     GROUP BY qid""")
 def knn_predict(spark, d):
-    tr, te = _emb_parts(spark, d)
+    tr, te = _parts(spark, d)
     p = KNN.knn_predict(tr, te, K)
     return p.select(F.col("qid").alias("test_id"), F.round("prediction", 6).alias("prediction"))
 
 
 @register("knn_all_k", f"""SELECT qid AS test_id, rk AS k, round(avg(y) OVER (PARTITION BY qid ORDER BY rk
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS prediction FROM
-    ({knn_sql(f"SELECT * FROM ({EMB_SQL}) WHERE NOT is_test", f"SELECT * FROM ({EMB_SQL}) WHERE is_test", K_MAX_EMB)})""")
+    ({knn_sql(f"SELECT * FROM ({WIND_SQL}) WHERE NOT is_test", f"SELECT * FROM ({WIND_SQL}) WHERE is_test", K_MAX)})""")
 def knn_all_k(spark, d):
-    tr, te = _emb_parts(spark, d)
-    p = KNN.knn_all_k(tr, te, K_MAX_EMB)
+    tr, te = _parts(spark, d)
+    p = KNN.knn_all_k(tr, te, K_MAX)
     return p.select(F.col("qid").alias("test_id"), F.col("k").cast("bigint").alias("k"),
                     F.round("prediction", 6).alias("prediction"))
 
 
-@register("knn_grid_cv", f"SELECT k, round(mean_r2, 6) AS mean_r2, folds FROM ({grid_cv_sql(EMB_SQL, K_MAX_EMB)})")
+@register("knn_grid_cv", f"SELECT k, round(mean_r2, 6) AS mean_r2, folds FROM ({grid_cv_sql(WIND_SQL, K_MAX)})")
 def knn_grid_cv(spark, d):
-    tr, _ = _emb_parts(spark, d)
-    cv = W.grid_search_cv(tr, "id", "y", K_MAX_EMB, 5, SEED, features=("x1", "x2"))
+    tr, _ = _parts(spark, d)
+    cv = W.grid_search_cv(tr, "id", "y", K_MAX, 5, SEED, XY)
     return cv.select(F.col("k").cast("bigint").alias("k"), _r6("mean_r2"), "folds")
 
 
 def _holdout(spark, d, k):
-    tr, te = _emb_parts(spark, d)
+    tr, te = _parts(spark, d)
     p = KNN.knn_predict(tr, te, k)
     truth = te.select(F.col("id").alias("qid"), "y")
     return EV.r2_score(p.join(truth, "qid"), "y", "prediction")
 
 
-@register("r2", f"SELECT round(r2, 6) AS r2, n FROM ({holdout_sql(EMB_SQL, K)})")
+@register("r2", f"SELECT round(r2, 6) AS r2, n FROM ({holdout_sql(WIND_SQL, K)})")
 def r2(spark, d):
     return _holdout(spark, d, K).select(_r6("r2"), "n")
 
 
-@register("knn_refit", f"""SELECT b.k AS best_k, round(h.r2, 6) AS r2, h.n FROM ({best_k_sql(EMB_SQL, K_MAX_EMB)}) b
-    JOIN ({{REFIT}}) h ON h.k = b.k""".replace("{REFIT}", " UNION ALL ".join(
-        f"SELECT {k} AS k, r2, n FROM ({holdout_sql(EMB_SQL, k)})" for k in range(1, K_MAX_EMB + 1))))
+@register("knn_refit", f"""SELECT b.k AS best_k, round(h.r2, 6) AS r2, h.n FROM ({best_k_sql(WIND_SQL, K_MAX)}) b
+    JOIN ({holdout_all_sql(WIND_SQL, K_MAX)}) h ON h.k = b.k""")
 def knn_refit(spark, d):
-    tr, _ = _emb_parts(spark, d)
-    cv = W.grid_search_cv(tr, "id", "y", K_MAX_EMB, 5, SEED, features=("x1", "x2"))
+    tr, _ = _parts(spark, d)
+    cv = W.grid_search_cv(tr, "id", "y", K_MAX, 5, SEED, XY)
     k = int(W.best_k(cv).first()["k"])
     return _holdout(spark, d, k).select(F.lit(k).cast("bigint").alias("best_k"), _r6("r2"), "n")
 
 
-_LAT = "SELECT id, floor(x1 * 20) / 20 AS x1, floor(x2 * 20) / 20 AS x2, y, is_test FROM ({})"
+_LAT = "SELECT id, floor(x1 * 2) / 2 AS x1, x2, y, is_test FROM ({})"
 
 
-@register("knn_lattice", f"""WITH b AS ({_LAT.format(EMB_SQL)}),
+@register("knn_lattice", f"""WITH b AS ({_LAT.format(WIND_SQL)}),
     pts AS (SELECT x1, x2, count(*) AS n, sum(y) AS sum_y, min(id) AS pid FROM b WHERE NOT is_test GROUP BY x1, x2),
     pr AS (SELECT q.id AS qid, p.n, p.sum_y, row_number() OVER (PARTITION BY q.id ORDER BY
              (q.x1 - p.x1) * (q.x1 - p.x1) + (q.x2 - p.x2) * (q.x2 - p.x2), p.pid) AS rk
@@ -175,9 +174,7 @@ _LAT = "SELECT id, floor(x1 * 20) / 20 AS x1, floor(x2 * 20) / 20 AS x2, y, is_t
           FROM pr WHERE rk <= {K})
     SELECT qid AS test_id, round(sum(sum_y) / sum(n), 6) AS prediction FROM c WHERE cum - n < {K} GROUP BY qid""")
 def knn_lattice(spark, d):
-    e = embeddings(spark, d).select(
-        "id", (F.floor(F.col("x1") * 20) / 20).alias("x1"), (F.floor(F.col("x2") * 20) / 20).alias("x2"),
-        "y", "is_test")
+    e = wind_rows(spark, d).withColumn("x1", F.floor(F.col("x1") * 2) / 2)
     p = KNN.knn_lattice(e.filter(~F.col("is_test")), e.filter(F.col("is_test")), K)
     return p.select(F.col("qid").alias("test_id"), F.round("prediction", 6).alias("prediction"))
 
@@ -254,27 +251,28 @@ def score_newest(spark, d):
     return out.select("event_id", "time", "Direction", "Speed", "Angle", _r6("prediction"))
 
 
+RUN_K = (3, K, 7)  # neighbours of the three runs
+
+
 def _saved_predictions(spark, d):
-    """Three runs, each saving the scored future forecasts of one lead time
-    under its own run stamp, appended to one prediction table; read back.
+    """Three runs, each saving the scores of the whole future horizon under its own run stamp; read back.
 
-    The forecasts are scored in one neighbour search and checkpointed, so
-    the three appends reuse it instead of searching three times.
+    The runs differ in k, so one neighbour search serves all of them, and one write appends the runs.
     """
     path = scratch_path(spark, "predictions")
-    fut = future_horizon(S.forecasts(spark, d), "time", AS_OF).filter(
-        F.col("Lead_hours") <= len(STAMPS)).withColumn("Angle", compass_angle("Direction"))
-    scored = cut_lineage(W.score_forecasts(_model(spark, d), K, fut, "event_id"))
-    for i, stamp in enumerate(STAMPS):
-        SK.save_predictions(scored.filter(F.col("Lead_hours") == i + 1), path, stamp)
+    fut = future_horizon(S.forecasts(spark, d), "time", AS_OF).withColumn("Angle", compass_angle("Direction"))
+    every = KNN.knn_all_k(_model(spark, d), fut, max(RUN_K), features=W.FEATURES, train_id="event_id", test_id="event_id", y_col="Energy")
+    stamp = F.coalesce(*[F.when(F.col("k") == k, ntz_lit(t)) for k, t in zip(RUN_K, STAMPS)])
+    runs = every.filter(F.col("k").isin(*RUN_K)).select(F.col("qid").alias("event_id"), "prediction", stamp.alias("prediction_time"))
+    SK.save_predictions(fut.join(runs, "event_id"), path, F.col("prediction_time"))
     return SK.load_predictions(spark, path)
 
 
-_SAVED_SQL = f"""SELECT s.*, CASE Lead_hours WHEN 1 THEN TIMESTAMP '2022-05-15 17:59:31'
-      WHEN 2 THEN TIMESTAMP '2022-05-15 18:00:01' ELSE TIMESTAMP '2022-05-15 18:13:58' END AS prediction_time,
-    CASE Lead_hours WHEN 1 THEN '{STAMP_TEXT[0]}' WHEN 2 THEN '{STAMP_TEXT[1]}' ELSE '{STAMP_TEXT[2]}' END
-      AS prediction_stamp
-    FROM ({_score_sql(f"SELECT * FROM ({_FUTURE_SQL}) WHERE Lead_hours IN (1, 2, 3)")}) s"""
+_SAVED_SQL = f"""SELECT f.*, p.prediction, r.prediction_time, r.prediction_stamp FROM ({_FUTURE_SQL}) f
+    JOIN (SELECT qid, k, avg(y) FILTER (rk <= k) AS prediction FROM ({knn_sql(_MODEL_SQL,
+        f"SELECT event_id AS id, Speed AS x1, Angle AS x2 FROM ({_FUTURE_SQL})", max(RUN_K))}), (SELECT unnest({list(RUN_K)}) AS k) GROUP BY qid, k) p
+      ON p.qid = f.event_id
+    JOIN (VALUES {", ".join(f"({k}, TIMESTAMP '{t}', '{x}')" for k, t, x in zip(RUN_K, STAMPS, STAMP_TEXT))}) r(k, prediction_time, prediction_stamp) ON r.k = p.k"""
 
 
 @register("save_load_predictions", f"""SELECT event_id, time, round(prediction, 6) AS prediction, prediction_time,
@@ -302,9 +300,7 @@ _BACK_SQL = f"""SELECT l.time, l.event_id, l.prediction, a.Total, l.prediction -
 
 
 def _backcheck(spark, d):
-    saved = _saved_predictions(spark, d)
-    latest = latest_per_key(saved, "time", "prediction_time", tie="event_id")
-    return W.e15_backcheck(latest, S.generation(spark, d))
+    return W.e15_backcheck(_saved_predictions(spark, d), S.generation(spark, d), tie="event_id")
 
 
 @register("backcheck", f"""SELECT time, event_id, round(prediction, 6) AS prediction, round(Total, 6) AS Total,
@@ -322,9 +318,9 @@ def e15_backcheck(spark, d):
     return summary.select(_r6("mae"), _r6("r2"), "n")
 
 
-@register("model_roundtrip", f"SELECT round(r2, 6) AS r2, n FROM ({holdout_sql(EMB_SQL, K)})")
+@register("model_roundtrip", f"SELECT round(r2, 6) AS r2, n FROM ({holdout_sql(WIND_SQL, K)})")
 def model_roundtrip(spark, d):
-    tr, te = _emb_parts(spark, d)
+    tr, te = _parts(spark, d)
     path = scratch_path(spark, "model")
     SK.save_model(tr.select("id", "x1", "x2", "y"), K, path)
     rows, k = SK.load_model(spark, path)
@@ -340,45 +336,69 @@ def _e12(spark, d):
     log, and must not be recomputed for each."""
     rows = wind_rows(spark, d)
     tr, te = rows.filter(~F.col("is_test")), rows.filter(F.col("is_test"))
-    cv = cut_lineage(W.grid_search_cv(tr, "event_id", "Energy", K_MAX_GRID, 5, SEED))
+    cv = cut_lineage(W.grid_search_cv(tr, "id", "y", K_MAX, 5, SEED, XY))
     best = W.best_k(cv).first()
     k = int(best["k"])
-    h = W.holdout_r2(tr, te, k, "event_id")
+    h = W.holdout_r2(tr, te, k, "id", "y", XY)
     return k, float(best["mean_r2"]), h, cv
 
 
 @register("e12_model_selection", f"""SELECT b.k AS best_k, round(b.mean_r2, 6) AS cv_score FROM
-    ({best_k_sql(WIND_SQL, K_MAX_GRID)}) b""")
+    ({best_k_sql(WIND_SQL, K_MAX)}) b""")
 def e12_model_selection(spark, d):
     rows = wind_rows(spark, d)
-    cv = W.grid_search_cv(rows.filter(~F.col("is_test")), "event_id", "Energy", K_MAX_GRID, 5, SEED)
+    cv = W.grid_search_cv(rows.filter(~F.col("is_test")), "id", "y", K_MAX, 5, SEED, XY)
     return W.best_k(cv).select(F.col("k").cast("bigint").alias("best_k"),
                                F.round("mean_r2", 6).alias("cv_score"))
 
 
-@register("run_log")
+RUN_AT = _dt.datetime(2024, 1, 11, 8, 30, 1)
+_LOG_ROW = "SELECT 'run-1' AS run_id, '{kind}' AS kind, {key} AS key, {num} AS num_value, {text} AS str_value, TIMESTAMP '" + str(RUN_AT) + "' AS logged_at FROM {src}"
+
+
+def _log_sql() -> str:
+    best, hold = best_k_sql(WIND_SQL, K_MAX), holdout_all_sql(WIND_SQL, K_MAX)
+    mae = f"SELECT avg(mae) AS v FROM (SELECT avg(abs(truth - prediction)) AS mae FROM ({_TVP_SQL}) GROUP BY fold)"
+    param = lambda k, v, src="(SELECT 1)": _LOG_ROW.format(kind="param", key=f"'{k}'", num="CAST(NULL AS DOUBLE)", text=v, src=src)
+    metric = lambda k, v, src: _LOG_ROW.format(kind="metric", key=k, num=f"round(CAST({v} AS DOUBLE), 6)", text="CAST(NULL AS VARCHAR)", src=src)
+    return " UNION ALL ".join([
+        param("model", "'KNN'"), param("Model method", "'grid search over k'"), param("days", f"'{HISTORY_DAYS}'"),
+        param("prediction_time", f"'{STAMP_TEXT[-1]}'"), param("best_model", "'KNN(k=' || k || ')'", f"({best})"),
+        metric("'KNN_neighbors'", "k", f"({best})"), metric("'CV_score'", "mean_r2", f"({best})"),
+        metric("'Score'", "h.r2", f"({best}) b JOIN ({hold}) h ON h.k = b.k"), metric("'mean_MAE'", "v", f"({mae})"),
+        metric("'cv_r2_k' || k", "mean_r2", f"({grid_cv_sql(WIND_SQL, K_MAX)})")])
+
+
+@register("run_log", _log_sql())
 def run_log(spark, d):
-    """Log one run (parameters, CV score per k, chosen k, holdout R²) and read it back."""
+    """Log one run (parameters, CV score per k, chosen k, holdout R², mean MAE) and read it back."""
     path = scratch_path(spark, "runs")
     k, cv_score, h, cv = _e12(spark, d)
-    at = _dt.datetime(2022, 5, 19, 13, 27, 1)
-    r2v = h.first()["r2"]
-    SK.log_run(spark, path, "run-1", {"model": "KNN", "best_model": f"KNN(k={k})", "days": 10},
-               {"KNN_neighbors": k, "CV_score": cv_score, "Score": r2v}, at)
+    _, mean, _ = _cv_report(spark, d)
+    SK.log_run(spark, path, "run-1", {"model": "KNN", "Model method": "grid search over k", "best_model": f"KNN(k={k})", "days": HISTORY_DAYS,
+                                      "prediction_time": STAMP_TEXT[-1]},
+               {"KNN_neighbors": k, "CV_score": cv_score, "Score": h.first()["r2"], "mean_MAE": mean.first()["mean_MAE"]}, RUN_AT)
     SK.log_metric_frame(cv.withColumn("key", F.concat(F.lit("cv_r2_k"), F.col("k").cast("string"))),
-                        path, "run-1", "key", "mean_r2", at)
-    return SK.read_runs(spark, path)
+                        path, "run-1", "key", "mean_r2", RUN_AT)
+    return SK.read_runs(spark, path).withColumn("num_value", F.round("num_value", 6))
+
 
+SEARCH_K = (1, K, 15)
 
-@register("run_search")
+
+@register("run_search", f"""SELECT 'run-' || (list_position({list(SEARCH_K)}, k) - 1) AS run_id, 'KNN' AS model, CAST(k AS DOUBLE) AS KNN_neighbors,
+    round(r2, 6) AS Score FROM ({holdout_all_sql(WIND_SQL, max(SEARCH_K))}) WHERE list_contains({list(SEARCH_K)}, k)""")
 def run_search(spark, d):
+    """Three runs, one of them logged twice (the later value counts), as one row each."""
     path = scratch_path(spark, "runs")
-    at = _dt.datetime(2022, 5, 19, 13, 27, 1)
-    for i, k in enumerate((1, K, 15)):
-        _, te = _emb_parts(spark, d)
-        r2v = _holdout(spark, d, k).first()["r2"]
-        SK.log_run(spark, path, f"run-{i}", {"model": "KNN"}, {"KNN_neighbors": k, "Score": r2v}, at)
-    return SK.search_runs(spark, path, ["model", "KNN_neighbors", "Score"])
+    tr, te = _parts(spark, d)
+    truth = te.select(F.col("id").alias("qid"), "y")
+    every = EV.r2_score(KNN.knn_all_k(tr, te, max(SEARCH_K)).join(truth, "qid"), "y", "prediction", ["k"])
+    score = {r["k"]: r["r2"] for r in every.filter(F.col("k").isin(*SEARCH_K)).collect()}
+    SK.log_run(spark, path, "run-1", {"model": "old"}, {"Score": -1.0}, RUN_AT - _dt.timedelta(days=1))
+    for i, k in enumerate(SEARCH_K):
+        SK.log_run(spark, path, f"run-{i}", {"model": "KNN"}, {"KNN_neighbors": k, "Score": score[k]}, RUN_AT)
+    return SK.search_runs(spark, path, params=["model"], metrics=["KNN_neighbors", "Score"]).withColumn("Score", F.round("Score", 6))
 
 
 # ------------------------------------------------------------------ streaming re-run, CSV history

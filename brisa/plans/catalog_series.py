@@ -17,7 +17,7 @@ from brisa.sources import scans as SC
 
 # Stand-in parameters: the analysis time ("now" of the original queries) is explicit.
 AS_OF = "2024-01-25 00:00:00"
-HISTORY_DAYS = 10
+HISTORY_DAYS = 365
 
 _POINTS = "[" + ", ".join(f"'{p}'" for p in COMPASS_POINTS) + "]"
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
@@ -28,8 +28,8 @@ FC_SQL = f"""SELECT event_id, time_bucket(INTERVAL 3 HOUR, ts) AS time,
 ANGLE_SQL = f"(list_position({_POINTS}, Direction) - 1) * CAST(22.5 AS DOUBLE)"
 E11_SQL = f"""WITH gen AS ({GEN_SQL}), fc AS ({FC_SQL}),
     energy AS (SELECT time_bucket(INTERVAL 3 HOUR, time) AS time, avg(Total) AS Total FROM gen
-               WHERE time > TIMESTAMP '2024-01-15 00:00:00' AND Total > 0 AND NOT isnan(Total) GROUP BY 1),
-    wind AS (SELECT *, {ANGLE_SQL} AS Angle FROM fc WHERE time > TIMESTAMP '2024-01-15 00:00:00'
+               WHERE time > TIMESTAMP '2023-01-25 00:00:00' AND Total > 0 AND NOT isnan(Total) GROUP BY 1),
+    wind AS (SELECT *, {ANGLE_SQL} AS Angle FROM fc WHERE time > TIMESTAMP '2023-01-25 00:00:00'
              AND time <= TIMESTAMP '2024-01-25 00:00:00' AND Lead_hours = 1)
     SELECT e.time, e.Total AS Energy, w.event_id, w.Direction, w.Lead_hours, w.Source_time, w.Speed, w.Angle
     FROM energy e JOIN wind w ON e.time = w.time"""
@@ -50,7 +50,7 @@ def trailing_window(spark, d):
     return SC.trailing_window(S.generation(spark, d), "time", AS_OF, 3)
 
 
-@register("bounded_history", f"""SELECT event_id, time FROM ({FC_SQL}) WHERE time > TIMESTAMP '2024-01-15 00:00:00'
+@register("bounded_history", f"""SELECT event_id, time FROM ({FC_SQL}) WHERE time > TIMESTAMP '2023-01-25 00:00:00'
     AND time <= TIMESTAMP '2024-01-25 00:00:00' AND Lead_hours = 1""")
 def bounded_history(spark, d):
     return SC.bounded_history(S.forecasts(spark, d), "time", AS_OF, HISTORY_DAYS, "Lead_hours", 1) \

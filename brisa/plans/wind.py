@@ -27,6 +27,7 @@ from brisa.operators.timeseries import (
     resample_mean,
     time_join,
 )
+from brisa.session import cut_lineage
 from brisa.sources.scans import bounded_history, future_horizon, trailing_window
 
 FEATURES = ("Speed", "Angle")
@@ -59,11 +60,26 @@ def newest_forecast_features(forecasts: DataFrame, as_of) -> DataFrame:
 
 
 def score_forecasts(model_rows: DataFrame, k: int, forecast_rows: DataFrame, id_col: str,
-                    target: str = "Energy") -> DataFrame:
-    """Attach ``prediction`` (KNN mean of ``target``) to each forecast row."""
+                    target: str = "Energy", strict: bool = False) -> DataFrame:
+    """Attach ``prediction`` (KNN mean of ``target``) to each forecast row.
+
+    Every row stays: one whose features are missing (an unknown compass
+    point, a null speed) has a null prediction.  ``strict`` raises instead,
+    when the plan runs.
+    """
+    if strict:
+        bad = F.expr(" OR ".join(f"{c} IS NULL" for c in FEATURES))
+        forecast_rows = forecast_rows.withColumn(FEATURES[0], F.when(bad, F.raise_error(F.lit("forecast without usable features"))
+                                                                     .cast("double")).otherwise(F.col(FEATURES[0])))
     pred = KNN.knn_predict(model_rows, forecast_rows, k, features=FEATURES, train_id=id_col,
                            test_id=id_col, y_col=target)
-    return forecast_rows.join(pred.select(F.col("qid").alias(id_col), "prediction"), id_col)
+    return forecast_rows.join(pred.select(F.col("qid").alias(id_col), "prediction"), id_col, "left")
+
+
+def unusable_forecasts(forecast_rows: DataFrame) -> DataFrame:
+    """``n``: forecast rows that no model can score (a feature is missing)."""
+    missing = F.expr(" OR ".join(f"{c} IS NULL OR isnan({c})" for c in FEATURES))
+    return forecast_rows.agg(F.count_if(missing).alias("n"))
 
 
 def grid_search_cv(train: DataFrame, id_col: str, target: str = "Energy", k_max: int = 99,
@@ -71,30 +87,28 @@ def grid_search_cv(train: DataFrame, id_col: str, target: str = "Energy", k_max:
                    features: Sequence[str] = FEATURES) -> DataFrame:
     """Mean R² over ``n_folds`` hash folds for every k in 1..k_max, one job.
 
-    Each row is a query in its own fold and a training row in every other
-    fold (``group_col`` keeps folds apart), so the neighbour search runs
-    once for all folds and all k.  Output ``(k, mean_r2, folds)``.
+    Each row is a query in its own fold and may take rows of every other
+    fold; the rows are indexed once and the neighbour search runs once for
+    all folds and all k.  Output ``(k, mean_r2, folds)``; a k larger than
+    the training part of a fold has no score there (see ``folds``).
     """
     f = KNN.hash_fold(train, id_col, n_folds, seed)
-    others = F.filter(F.array(*[F.lit(i) for i in range(n_folds)]), lambda x: x != F.col("fold"))
-    train_side = f.withColumn("g", F.explode(others))
-    test_side = f.withColumn("g", F.col("fold"))
-    preds = KNN.knn_all_k(train_side, test_side, k_max, features=features, train_id=id_col,
-                          test_id=id_col, y_col=target, group_col="g")
+    preds = KNN.knn_all_k(f, f, k_max, features=features, train_id=id_col, test_id=id_col, y_col=target,
+                          tag_col="fold", admit="other")
     truth = f.select(F.col(id_col).alias("qid"), F.col(target).cast("double").alias("y"))
     scored = preds.join(truth, "qid")
     per_fold = EV.r2_score(scored, "y", "prediction", ["g", "k"])
     return per_fold.groupBy("k").agg(F.avg("r2").alias("mean_r2"), F.count(F.lit(1)).alias("folds"))
 
 
-def best_k(cv: DataFrame) -> DataFrame:
-    """Highest mean score; the smaller k wins a tie."""
-    return cv.orderBy(F.col("mean_r2").desc(), F.col("k").asc()).limit(1)
+def best_k(cv: DataFrame, n_folds: int = 5) -> DataFrame:
+    """Highest mean score among the k scored on every fold; the smaller k wins a tie."""
+    return cv.filter(F.col("folds") == n_folds).orderBy(F.col("mean_r2").desc(), F.col("k").asc()).limit(1)
 
 
 def holdout_r2(train: DataFrame, test: DataFrame, k: int, id_col: str,
-               target: str = "Energy") -> DataFrame:
-    pred = KNN.knn_predict(train, test, k, features=FEATURES, train_id=id_col, test_id=id_col,
+               target: str = "Energy", features: Sequence[str] = FEATURES) -> DataFrame:
+    pred = KNN.knn_predict(train, test, k, features=features, train_id=id_col, test_id=id_col,
                            y_col=target)
     truth = test.select(F.col(id_col).alias("qid"), F.col(target).cast("double").alias("y"))
     return EV.r2_score(pred.join(truth, "qid"), "y", "prediction")
@@ -103,11 +117,12 @@ def holdout_r2(train: DataFrame, test: DataFrame, k: int, id_col: str,
 def e14_cv_report(series: DataFrame, order: Sequence[str], id_col: str, k: int,
                   target: str = "Energy", n_splits: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Expanding-window CV of KNN(k): (per-fold MAE, mean MAE, truth vs prediction)."""
-    folds = EV.expanding_folds(series, order, n_splits)
-    tr = folds.filter(F.col("role") == "train")
+    folds = cut_lineage(EV.expanding_folds(series, order, n_splits))
+    # a row trains in every fold from its first one on, so one copy with that fold's number serves all
+    tr = folds.filter(F.col("role") == "train").groupBy(id_col, *FEATURES, target).agg(F.min("fold").alias("fold"))
     te = folds.filter(F.col("role") == "test")
     pred = KNN.knn_predict(tr, te, k, features=FEATURES, train_id=id_col, test_id=id_col,
-                           y_col=target, group_col="fold")
+                           y_col=target, tag_col="fold", admit="upto")
     truth = te.select(F.col("fold").alias("g"), F.col(id_col).alias("qid"), "time",
                       F.col(target).cast("double").alias("truth"))
     tvp = truth.join(pred, ["g", "qid"]).withColumnRenamed("g", "fold")
@@ -116,16 +131,16 @@ def e14_cv_report(series: DataFrame, order: Sequence[str], id_col: str, k: int,
     return per_fold, mean, tvp
 
 
-def latest_predictions(saved: DataFrame, key: str = "time") -> DataFrame:
-    """Newest saved prediction per valid time (by ``prediction_time``)."""
-    return latest_per_key(saved, key, "prediction_time")
+def latest_predictions(saved: DataFrame, key: str = "time", tie: str | None = None) -> DataFrame:
+    """Newest saved prediction per valid time (by ``prediction_time``, then the greatest ``tie``)."""
+    return latest_per_key(saved, key, "prediction_time", tie=tie)
 
 
-def e15_backcheck(saved: DataFrame, generation: DataFrame, every: str = "3 hours"
-                  ) -> tuple[DataFrame, DataFrame]:
+def e15_backcheck(saved: DataFrame, generation: DataFrame, every: str = "3 hours",
+                  tie: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Latest prediction per valid time vs the 3-hour actual mean:
     (row-level errors, summary MAE / R²)."""
-    latest = latest_predictions(saved)
+    latest = latest_predictions(saved, tie=tie)
     actual = resample_mean(positive_values(generation, "Total").select("time", "Total"), "time",
                            ["Total"], every)
     rows = EV.error_columns(latest.join(actual, "time"), "Total", "prediction")

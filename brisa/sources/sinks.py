@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brisa.functions.stamps import STAMP_PATTERN, ntz_lit, parse_stamp, stamp_text
@@ -18,10 +18,10 @@ RUN_LOG_SCHEMA = ("run_id string, kind string, key string, num_value double, str
                   "logged_at timestamp_ntz")
 
 
-def save_predictions(df: DataFrame, path: str, stamp: _dt.datetime) -> None:
-    """Append predictions with their run time (``prediction_time``) and its
-    un-padded text form; partitioned by ``prediction_date``."""
-    ts = ntz_lit(stamp)
+def save_predictions(df: DataFrame, path: str, stamp: _dt.datetime | Column) -> None:
+    """Append predictions with their run time (``prediction_time``; one stamp, or a
+    column of ``df``) and its un-padded text form; partitioned by ``prediction_date``."""
+    ts = stamp if isinstance(stamp, Column) else ntz_lit(stamp)
     (df.withColumn("prediction_time", ts)
        .withColumn("prediction_stamp", stamp_text(ts))
        .withColumn("prediction_date", F.to_date(ts))
@@ -64,15 +64,16 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
 
 
-def search_runs(spark: SparkSession, path: str, keys: list[str] | None = None) -> DataFrame:
-    """One row per run, one column per logged key (metric value or param text).
+def search_runs(spark: SparkSession, path: str, params: list[str] = (), metrics: list[str] = ()) -> DataFrame:
+    """One row per run: a text column for each of ``params``, a number for each of ``metrics``.
 
-    Pass ``keys`` to pivot on a known list (no extra distinct pass)."""
-    runs = read_runs(spark, path)
-    value = F.coalesce(F.col("num_value").cast("string"), F.col("str_value"))
-    g = runs.groupBy("run_id")
-    p = g.pivot("key", keys) if keys else g.pivot("key")
-    return p.agg(F.first(value))
+    A key logged more than once has its latest value."""
+    def latest(kind: str, key: str, value: str) -> Column:
+        mine = (F.col("kind") == kind) & (F.col("key") == key)
+        return F.max_by(value, F.when(mine, F.col("logged_at"))).alias(key)
+
+    cols = [latest("param", k, "str_value") for k in params] + [latest("metric", k, "num_value") for k in metrics]
+    return read_runs(spark, path).groupBy("run_id").agg(*cols)
 
 
 def save_model(rows: DataFrame, k: int, path: str, mode: str = "overwrite") -> None:

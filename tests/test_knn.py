@@ -57,14 +57,41 @@ def test_nearest_equals_brute_force(spark, case):
         assert list(sub.rk) == list(range(1, k + 1))
 
 
-def test_level_pruning_gives_same_neighbours(spark, monkeypatch):
+def test_outliers_neither_grow_leaves_nor_candidates(spark):
+    """A dense cluster and one far row: leaves stay O(k), and a query joins a few of them."""
     rng = np.random.default_rng(9)
-    train, test = _frames(rng, 400, 40, hot=0.34)
-    tr, te = spark.createDataFrame(train), spark.createDataFrame(test)
-    plain = KNN.nearest(tr, te, 5).toPandas().sort_values(["qid", "rk"]).rid.tolist()
-    monkeypatch.setattr(KNN, "PRUNE_MIN_ROWS", 0)
-    pruned = KNN.nearest(tr, te, 5).toPandas().sort_values(["qid", "rk"]).rid.tolist()
-    assert plain == pruned
+    k = 5
+    x = rng.random((20_000, 2))
+    x[0] = [1e6, 1e6]
+    tr = spark.createDataFrame(pd.DataFrame({"g": 0, "rid": np.arange(len(x)), "a": x[:, 0], "b": x[:, 1]}))
+    sizes = KNN._leaves(tr, k).groupBy("leaf").count().toPandas()["count"]
+    assert sizes.sum() == len(x) and sizes.max() <= 3 * KNN.LEAF_ROWS * k
+    train = pd.DataFrame({"id": np.arange(len(x)), "x1": x[:, 0], "x2": x[:, 1], "y": 1.0, "g": 0})
+    test = pd.DataFrame({"id": np.arange(40), "x1": np.append(rng.random(39), 5e5), "x2": np.append(rng.random(39), 0.5), "g": 0})
+    df = KNN.nearest(spark.createDataFrame(train), spark.createDataFrame(test), k)
+    got = df.toPandas()
+    for (g, qid), (ids, _) in brute(train, test, k).items():
+        assert list(got[got.qid == qid].sort_values("rk").rid) == ids
+
+
+def test_infinite_and_null_features_take_no_part(spark):
+    inf = float("inf")
+    tr = spark.createDataFrame([(1, 0.0, 0.0, 1.0), (2, inf, 0.0, 9.0), (3, None, 0.0, 9.0), (4, float("nan"), 0.0, 9.0), (5, -inf, 1.0, 9.0)],
+                               "id long, x1 double, x2 double, y double")
+    te = spark.createDataFrame([(1, 0.5, 0.5), (2, inf, 0.0), (3, None, 1.0)], "id long, x1 double, x2 double")
+    assert [tuple(r) for r in KNN.knn_predict(tr, te, 3).select("qid", "prediction").collect()] == [(1, 1.0)]
+    assert KNN.knn_predict(tr.limit(0), te, 3).count() == 0 and KNN.knn_predict(tr, te.limit(0), 3).count() == 0
+
+
+@pytest.mark.parametrize("admit", ["other", "upto"])
+def test_tags_admit_rows(spark, admit):
+    rng = np.random.default_rng(1)
+    train, test = _frames(rng, 300, 45, hot=0.34)
+    got = KNN.nearest(spark.createDataFrame(train), spark.createDataFrame(test), 6, tag_col="g", admit=admit).toPandas()
+    for q in test.itertuples():
+        t = train[train.g != q.g] if admit == "other" else train[train.g <= q.g]
+        want = brute(t.assign(g=0), test[test.id == q.id].assign(g=0), 6)
+        assert list(got[(got.qid == q.id) & (got.g == q.g)].sort_values("rk").rid) == list(want.values())[0][0]
 
 
 def test_grouped_search_and_small_groups(spark):
