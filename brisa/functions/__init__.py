@@ -6,7 +6,6 @@ from brisa.functions.text import (
     ci_contains,
     complement_intended,
     complement_literal,
-    contains_all,
     contains_any,
     lexicon_intended,
     lexicon_literal,
@@ -17,7 +16,7 @@ from brisa.functions.text import (
 __all__ = [
     "COMPASS_DEGREES", "compass_angle", "compass_point",
     "epoch_seconds", "parse_stamp", "stamp_text", "stamp_to_int",
-    "ci_contains", "complement_intended", "complement_literal", "contains_all",
+    "ci_contains", "complement_intended", "complement_literal",
     "contains_any", "lexicon_intended", "lexicon_literal", "split_tokens",
     "variant_match",
 ]

@@ -5,7 +5,6 @@ FIXED VALUES - these must stay exactly as the analyses define them
 """
 
 # Authenticity words, in the order the analyses list them.
-AUTHENTICITY_WORDS = ["authentic", "legitimate", "accent"]
 
 # Negative words paired with authenticity language.
 NEGATIVE_WORDS = ["dirty", "cheap", "kitsch", "rude", "simple", "bad"]

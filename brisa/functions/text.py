@@ -30,14 +30,6 @@ def contains_any(col, terms: Iterable[str]) -> Column:
     return reduce(lambda a, b: a | b, parts)
 
 
-def contains_all(col, terms: Iterable[str]) -> Column:
-    c = _col(col)
-    parts = [c.contains(t) for t in terms]
-    if not parts:
-        return F.lit(True)
-    return reduce(lambda a, b: a & b, parts)
-
-
 def lexicon_literal(col, auth: list[str], neg: list[str]) -> Column:
     """The predicate as the SQL text is written: ``a1 OR ... OR an AND (n1 OR ...)``.
 

@@ -64,6 +64,8 @@ def row_index(df: DataFrame, order: Sequence[str], key: Sequence[str] = (),
     s = cut_lineage(df.orderBy(*(keys + order))
                     .withColumn("__pid", F.spark_partition_id())
                     .withColumn("__mid", F.monotonically_increasing_id()))
+    if keys:
+        return _keyed_index(s, keys, out_col, count_col)
     pos = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
     sizes = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -71,18 +73,27 @@ def row_index(df: DataFrame, order: Sequence[str], key: Sequence[str] = (),
     offsets = sizes.select("__pid", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"),
                            F.sum("__c").over(every).alias("__total"))
     out = s.join(F.broadcast(offsets), "__pid").withColumn(out_col, F.col("__off") + pos)
-    if keys:
-        per_key = out.groupBy(*keys).agg(F.min(out_col).alias("__first"),
-                                         F.count(F.lit(1)).alias("__n"))
-        out = out.join(per_key, keys).withColumn(out_col, F.col(out_col) - F.col("__first"))
-        if count_col:
-            out = out.withColumn(count_col, F.col("__n"))
-        out = out.drop("__first", "__n")
-    elif count_col:
+    if count_col:
         out = out.withColumn(count_col, F.col("__total"))
     return out.drop("__pid", "__mid", "__off", "__total")
 
 
+def _keyed_index(s: DataFrame, keys: list[str], out_col: str, count_col: str | None) -> DataFrame:
+    """Positions within each key from counts per (partition, key): a hot key's rows stay in their partitions."""
+    parts = s.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__c"), F.min("__mid").alias("__first"))
+    of_key = Window.partitionBy(*keys)
+    before = of_key.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0))).withColumn("__n", F.sum("__c").over(of_key))
+    on = s["__pid"] == parts["__pid"]
+    for k in keys:
+        on &= s[k].eqNullSafe(parts[k])
+    out = s.join(parts, on).select(s["*"], "__off", "__first", "__n")
+    out = out.withColumn(out_col, F.col("__off") + F.col("__mid") - F.col("__first"))
+    if count_col:
+        out = out.withColumn(count_col, F.col("__n"))
+    return out.drop("__pid", "__mid", "__off", "__first", "__n") if count_col != "__n" else out.drop("__pid", "__mid", "__off", "__first")
+
+
 def expanding_folds(df: DataFrame, order: Sequence[str], n_splits: int = 5,
                     key: Sequence[str] = (), idx_col: str = "idx") -> DataFrame:
     """Expanding-window time-series folds (``TimeSeriesSplit`` arithmetic).
@@ -105,7 +116,3 @@ def expanding_folds(df: DataFrame, order: Sequence[str], n_splits: int = 5,
 
 def error_columns(df: DataFrame, y: str, p: str) -> DataFrame:
     return df.withColumn("error", F.col(p) - F.col(y)).withColumn("abs_error", F.abs(F.col("error")))
-
-
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -20,10 +20,6 @@ from pyspark.sql import functions as F
 from brisa.functions.text import split_tokens
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 # ----------------------------------------------------------------- joins
 def merge_suffixed(left: DataFrame, right: DataFrame, on: Sequence[str],
                    how: str = "inner", suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:

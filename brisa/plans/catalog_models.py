@@ -9,16 +9,17 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from brisa.functions.compass import compass_angle
-from brisa.functions.stamps import ntz_lit
+from brisa.functions.stamps import ntz_lit, stamp_text
 from brisa.operators import evaluate as EV
 from brisa.operators.timeseries import latest_per_key
 from brisa.operators import knn as KNN
 from brisa.plans import standins as S
 from brisa.plans import wind as W
 from brisa.plans.catalog_series import AS_OF, E11_SQL, HISTORY_DAYS, FC_SQL, GEN_SQL, ANGLE_SQL, training_set
-from brisa.plans.registry import register
+from brisa.plans.registry import ORACLE, register
 from brisa.plans.tables import table as T
 from brisa.session import cut_lineage, scratch_path
+from brisa.sources import files as FS
 from brisa.sources import sinks as SK
 from brisa.sources.scans import future_horizon
 
@@ -393,8 +394,8 @@ def run_search(spark, d):
     path = scratch_path(spark, "runs")
     tr, te = _parts(spark, d)
     truth = te.select(F.col("id").alias("qid"), "y")
-    every = EV.r2_score(KNN.knn_all_k(tr, te, max(SEARCH_K)).join(truth, "qid"), "y", "prediction", ["k"])
-    score = {r["k"]: r["r2"] for r in every.filter(F.col("k").isin(*SEARCH_K)).collect()}
+    every = cut_lineage(EV.r2_score(KNN.knn_all_k(tr, te, max(SEARCH_K)).join(truth, "qid"), "y", "prediction", ["k"]))
+    score = {k: every.filter(F.col("k") == k).first()["r2"] for k in SEARCH_K}
     SK.log_run(spark, path, "run-1", {"model": "old"}, {"Score": -1.0}, RUN_AT - _dt.timedelta(days=1))
     for i, k in enumerate(SEARCH_K):
         SK.log_run(spark, path, f"run-{i}", {"model": "KNN"}, {"KNN_neighbors": k, "Score": score[k]}, RUN_AT)
@@ -405,32 +406,52 @@ def run_search(spark, d):
 @register("stream_score_forecasts", f"""SELECT event_id, time, Lead_hours, round(prediction, 6) AS prediction
     FROM ({_score_sql(_FUTURE_SQL)})""")
 def stream_score_forecasts(spark, d):
-    """Future forecasts land in three files (one per lead-time pair); one
-    availableNow streaming run scores all that landed and appends them."""
+    """Future forecasts land in three files; the run is repeated after two, after the third, and once more with nothing new."""
     from brisa.streaming import score_new_forecasts
-    landing = scratch_path(spark, "landing")
+    landing, ckpt, out = (scratch_path(spark, x) for x in ("landing", "stream-ckpt", "stream-predictions"))
     fut = future_horizon(S.forecasts(spark, d), "time", AS_OF)
-    for lo in (1, 3, 5):
-        fut.filter(F.col("Lead_hours").between(lo, lo + 1)).write.mode("append").parquet(landing)
     model_path = scratch_path(spark, "model")
     SK.save_model(_model(spark, d).select("event_id", "Speed", "Angle", "Energy"), K, model_path)
-    out = scratch_path(spark, "stream-predictions")
-    score_new_forecasts(spark, landing, fut.schema, model_path, out,
-                        run_time=STAMPS[0])
+    for i, files in enumerate(((1, 3), (5,), ())):
+        for lo in files:
+            fut.filter(F.col("Lead_hours").between(lo, lo + 1)).coalesce(1).write.mode("append").parquet(landing)
+        score_new_forecasts(spark, landing, fut.schema, model_path, out, ckpt, run_time=STAMPS[i])
     return SK.load_predictions(spark, out).select("event_id", "time", "Lead_hours", _r6("prediction"))
 
 
-@register("load_prediction_csv", f"""SELECT event_id, time, round(prediction, 6) AS prediction, prediction_time
-    FROM ({_SAVED_SQL})""")
-def load_prediction_csv(spark, d):
-    """The original history format: one CSV per run with an un-padded stamp column."""
-    from brisa.functions.stamps import stamp_text
-    from brisa.sources import files as FS
+def _history(spark, d):
+    """The saved runs as CSV files under their own column name, with an un-padded stamp; read back for the back-check."""
     path = scratch_path(spark, "prediction-csv")
     saved = _saved_predictions(spark, d)
-    FS.write_csv(saved.select("event_id", F.col("time").cast("string").alias("time"), "prediction",
+    FS.write_csv(saved.select("event_id", F.col("time").cast("string").alias("time"), "Direction",
+                              F.col("prediction").alias("Generated Power Prediction"),
                               stamp_text("prediction_time").alias("prediction_time")), path)
-    back = SK.load_prediction_csvs(spark, path, "event_id long, time string, prediction double, "
-                                                "prediction_time string")
-    return back.select("event_id", F.to_timestamp_ntz("time").alias("time"), _r6("prediction"),
-                       "prediction_time")
+    return SK.load_prediction_csvs(spark, path, "event_id long, time string, Direction string, `Generated Power Prediction` double, "
+                                   "prediction_time string", {"Generated Power Prediction": "prediction"})
+
+
+@register("load_prediction_csv", f"""SELECT event_id, time, Direction, round(prediction, 6) AS prediction, prediction_time
+    FROM ({_SAVED_SQL})""")
+def load_prediction_csv(spark, d):
+    return _history(spark, d).select("event_id", "time", "Direction", _r6("prediction"), "prediction_time")
+
+
+@register("history_backcheck", ORACLE["e15_backcheck"])
+def history_backcheck(spark, d):
+    """The back-check fed from the CSV history."""
+    _, summary = W.e15_backcheck(_history(spark, d), S.generation(spark, d), tie="event_id")
+    return summary.select(_r6("mae"), _r6("r2"), "n")
+
+
+_HOLES_SQL = f"""SELECT event_id, time, CASE WHEN event_id % 7 = 0 THEN 'XX' WHEN event_id % 11 = 0 THEN NULL ELSE Direction END AS Direction, Speed
+    FROM ({_FUTURE_SQL})"""
+
+
+@register("score_keeps_all", f"""SELECT h.event_id, h.Direction, round(s.prediction, 6) AS prediction FROM ({_HOLES_SQL}) h
+    LEFT JOIN ({_score_sql(_FUTURE_SQL)}) s ON s.event_id = h.event_id AND coalesce(h.Direction, 'XX') <> 'XX'""")
+def score_keeps_all(spark, d):
+    """Forecasts with unknown and missing compass points keep their rows, without a prediction."""
+    point = F.when(F.col("event_id") % 7 == 0, F.lit("XX")).when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("Direction"))
+    fut = future_horizon(S.forecasts(spark, d), "time", AS_OF).withColumn("Direction", point)
+    out = W.score_forecasts(_model(spark, d), K, fut.withColumn("Angle", compass_angle("Direction")), "event_id")
+    return out.select("event_id", "Direction", _r6("prediction"))

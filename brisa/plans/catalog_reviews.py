@@ -33,7 +33,7 @@ _AUTH_SQL = "(text LIKE '%whou%' OR text LIKE '%eaux%')"
 _NEG_SQL = "(text LIKE '%ouen%' OR text LIKE '%licen%')"
 _BUSINESS_SQL = """SELECT p_partkey AS business_id, p_name AS name, p_name AS categories,
     p_brand AS state, p_type AS city, p_partkey % 5 + 1 AS stars, p_size AS review_count FROM part"""
-_REVIEWS_SQL = """SELECT doc_id AS review_id, doc_id % 100 AS business_id, doc_id % 37 AS user_id,
+_REVIEWS_SQL = """SELECT doc_id AS review_id, (doc_id * 7919) % (SELECT count(*) FROM part) AS business_id, doc_id % 37 AS user_id,
     text, doc_id % 5 + 1 AS stars FROM documents"""
 _INFLUENCERS_SQL = """SELECT c_custkey AS user_id FROM customer
     JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) o ON o.o_custkey = c_custkey
@@ -575,6 +575,12 @@ register("e9_nonnegative_literal", _e9_sql(_CLIT))(_e9("complement_literal"))
 register("e9_nonnegative_intended", _e9_sql(_CINT))(_e9("complement_intended"))
 
 
+for _kind, _pred in (("negative", _LIT), ("nonnegative", _CLIT)):
+    register(f"e9_top_{_kind}", f"SELECT * FROM ({_e9_sql(_pred)}) ORDER BY n DESC, category LIMIT 40")(
+        lambda spark, d, kind={"negative": "literal", "nonnegative": "complement_literal"}[_kind]: E.e9_top_categories(
+            S.reviews(spark, d), S.business(spark, d), kind, 40, auth=AUTH, neg=NEG, marker="gear", drop=("gear",), sep=SEP))
+
+
 def _ratio_sql(bad: str, good: str) -> str:
     return f"""WITH g(region, token) AS (VALUES ('warm','hot'),('warm','red'),('warm','Soul'),
         ('cool','cold'),('cool','blue'),('cool','new'),('cool','old')),
@@ -638,3 +644,11 @@ def show_top20(spark, d):
 def area_share(spark, d):
     """Stand-in: latitude <- p_retailprice (cut 950), urban cities <- types LARGE / MEDIUM."""
     return E.area_share(S.reviews(spark, d), S.business(spark, d), 950.0, ["LARGE", "MEDIUM"], AUTH)
+
+
+@register("column_names", "SELECT 'documents' AS table_name, column_name FROM (DESCRIBE documents) UNION ALL "
+          "SELECT 'part' AS table_name, column_name FROM (DESCRIBE part)")
+def column_names(spark, d):
+    """The columns of two tables, from their schemas (no row is read)."""
+    rows = [(t, c) for t in ("documents", "part") for c in T(spark, d, t).columns]
+    return spark.createDataFrame(rows, "table_name string, column_name string")

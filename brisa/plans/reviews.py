@@ -31,7 +31,6 @@ from brisa.operators.relational import (
     cube_share,
     distinct_count_having,
     explode_tokens,
-    grouped_set_ratio,
     having_count,
     share_percent,
     top_k,
@@ -198,15 +197,32 @@ def e9_category_table(reviews: DataFrame, business: DataFrame, kind: str,
 
 
 def e9_region_ratio(reviews: DataFrame, business: DataFrame, literal: bool = True,
-                    groups: dict | None = None, **kw) -> DataFrame:
+                    groups: dict | None = None, auth: Sequence[str] = ("authentic", "legitimate"),
+                    neg: Sequence[str] = tuple(LX.NEGATIVE_WORDS), marker: str = LX.RESTAURANT_MARKER,
+                    drop: Sequence[str] = (LX.DROPPED_CATEGORY,), sep: str = LX.CATEGORY_SEPARATOR) -> DataFrame:
     """Negative / non-negative review counts per cuisine region of origin."""
     groups = groups or {"south_america_south_asia": LX.SOUTH_AMERICA + LX.SOUTH_ASIA,
                         "europe": LX.EUROPE}
-    bad = e9_category_table(reviews, business, "literal" if literal else "intended", **kw)
-    good = e9_category_table(reviews, business,
-                             "complement_literal" if literal else "complement_intended", **kw)
-    return grouped_set_ratio(bad.withColumnRenamed("category", "token"),
-                             good.withColumnRenamed("category", "token"), groups)
+    bad = lexicon_predicate("literal" if literal else "intended", auth, neg)
+    good = lexicon_predicate("complement_literal" if literal else "complement_intended", auth, neg)
+    # both predicates in one pass over the texts, counted per business before the join
+    per_b = reviews.groupBy("business_id").agg(F.count_if(F.coalesce(bad, F.lit(False))).alias("numerator"),
+                                               F.count_if(F.coalesce(good, F.lit(False))).alias("denominator"))
+    cats = explode_tokens(business.filter(ci_contains("categories", marker)), "categories", sep, "category", keep=["business_id"])
+    cats = cats.filter(~F.col("category").isin(list(drop)))
+    # the sets are literals of a fixed size; every set appears even when none of its names occur
+    mapping = reviews.sparkSession.createDataFrame([(g, t) for g, toks in groups.items() for t in toks],
+                                                   "region string, category string")
+    zero = F.lit(0).cast("bigint")
+    counted = cats.join(F.broadcast(mapping), "category").join(per_b, "business_id").select("region", "numerator", "denominator")
+    out = counted.unionByName(mapping.select("region", zero.alias("numerator"), zero.alias("denominator"))).groupBy("region").agg(
+        F.sum("numerator").alias("numerator"), F.sum("denominator").alias("denominator"))
+    return out.withColumn("ratio", F.try_divide(F.col("numerator").cast("double"), F.col("denominator").cast("double")))
+
+
+def e9_top_categories(reviews: DataFrame, business: DataFrame, kind: str, k: int = 40, **kw) -> DataFrame:
+    """The ``k`` most frequent categories of ``e9_category_table``, most frequent first."""
+    return top_k(e9_category_table(reviews, business, kind, **kw), k, "n", "category")
 
 
 def e10_good_reviews(reviews: DataFrame, business: DataFrame, state: str, cuisine_regex: str,

@@ -3,7 +3,7 @@
 * business  <- part:      business_id=p_partkey, name/categories=p_name (space
   separated tokens), state=p_brand, city=p_type, stars=p_partkey mod 5 + 1,
   review_count=p_size, latitude=p_retailprice
-* review    <- documents: review_id=doc_id, business_id=doc_id mod 100, text,
+* review    <- documents: review_id=doc_id, business_id=doc_id * 7919 mod (rows of part), text,
   stars=doc_id mod 5 + 1, user_id=doc_id mod 37
 * user-review pairs <- lineitem join orders: user_id=o_custkey, business_id=l_partkey
 * user      <- customer:  user_id=c_custkey, average_stars=c_acctbal,
@@ -37,8 +37,9 @@ def business(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "part").count()
     return table(spark, d, "documents").select(
-        F.col("doc_id").alias("review_id"), F.pmod("doc_id", F.lit(100)).alias("business_id"),
+        F.col("doc_id").alias("review_id"), F.pmod(F.col("doc_id") * 7919, F.lit(max(n, 1))).alias("business_id"),
         F.pmod("doc_id", F.lit(37)).alias("user_id"), "text",
         (F.pmod("doc_id", F.lit(5)) + 1).alias("stars"))
 

@@ -80,13 +80,9 @@ def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None
     The JSON text is produced by ``to_json`` in the JVM; Python only adds the
     brackets and commas while streaming batches (bounded memory per task).
     """
-    import sys
-
-    from pyspark import cloudpickle
-    # ship the batch function by value: executors need not have this package installed
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
-    lines.mapInPandas(_array_lines, "value string").write.mode(mode).text(path)
+    # one array is one file: no limit on a file's rows may cut it
+    lines.mapInPandas(_array_lines, "value string").write.mode(mode).option("maxRecordsPerFile", 0).text(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brisa.functions.stamps import STAMP_PATTERN, ntz_lit, parse_stamp, stamp_text
+from brisa.sources.files import read_csv
 
 RUN_LOG_SCHEMA = ("run_id string, kind string, key string, num_value double, str_value string, "
                   "logged_at timestamp_ntz")
@@ -33,9 +34,19 @@ def load_predictions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def load_prediction_csvs(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Prediction CSV files (one per run) with ``prediction_time`` as stamp text."""
-    df = spark.read.schema(schema).option("header", "true").csv(path)
+def load_prediction_csvs(spark: SparkSession, path: str, schema: str, rename: dict[str, str] | None = None,
+                         time_col: str = "time") -> DataFrame:
+    """Prediction CSV files (one per run) with ``prediction_time`` as stamp text.
+
+    Read as they are written (``files.write_csv``: quoted, nulls marked); a header that differs from the
+    schema or a bad value fails.  ``rename`` maps file columns to the names the back-check takes
+    (``prediction``); ``time_col`` is parsed if it is text.
+    """
+    df = read_csv(spark, path, schema, enforceSchema="false")
+    for old, new in (rename or {}).items():
+        df = df.withColumnRenamed(old, new)
+    if dict(df.dtypes).get(time_col) == "string":
+        df = df.withColumn(time_col, F.to_timestamp_ntz(time_col))
     return df.withColumn("prediction_time", parse_stamp("prediction_time"))
 
 

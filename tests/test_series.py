@@ -81,14 +81,14 @@ def test_latest_prediction_per_time(spark, tmp_dir):
 
 
 def test_prediction_csv_reader(spark, tmp_dir):
-    p = f"{tmp_dir}/predictions2022-5-15-18-0-1.csv"
+    p = f"{tmp_dir}/run-1.csv"
     with open(p, "w") as f:
         f.write("time,Direction,Lead_hours,Source_time,Speed,Angle,Generated Power Prediction,prediction_time\n")
-        f.write("2022-05-15 18:00:00,SE,4,1652616000,8.04672,135.0,18.38,2022-5-15-18-0-1\n")
+        f.write("2021-03-04 06:00:00,W,2,1614800000,7.25,270.0,11.5,2021-3-4-5-6-7\n")
     schema = ("time string, Direction string, Lead_hours int, Source_time long, Speed double, Angle double, "
               "`Generated Power Prediction` double, prediction_time string")
     r = SK.load_prediction_csvs(spark, tmp_dir, schema).first()
-    assert r.prediction_time == ts("2022-05-15 18:00:01") and r.Lead_hours == 4
+    assert r.prediction_time == ts("2021-03-04 05:06:07") and r.Lead_hours == 2
 
 
 def test_expanding_folds_arithmetic(spark):
@@ -152,8 +152,8 @@ def test_run_log_search(spark):
     at = ts("2022-05-19 13:27:01")
     SK.log_run(spark, path, "r1", {"model": "KNN"}, {"Score": 0.5}, at)
     SK.log_run(spark, path, "r2", {"model": "KNN"}, {"Score": 0.7}, at)
-    wide = {r.run_id: r for r in SK.search_runs(spark, path, ["model", "Score"]).collect()}
-    assert wide["r2"].Score == "0.7" and wide["r1"].model == "KNN"
+    wide = {r.run_id: r for r in SK.search_runs(spark, path, ["model"], ["Score"]).collect()}
+    assert wide["r2"].Score == 0.7 and wide["r1"].model == "KNN"
 
 
 def test_newest_source_covering_fewer_times(spark):
@@ -165,3 +165,106 @@ def test_newest_source_covering_fewer_times(spark):
     assert [(r.Source_time, r.Direction) for r in got] == [(200, "W")]
     feats = W.newest_forecast_features(fc, "2024-01-02 01:00:00").collect()
     assert [(r.Direction, r.Angle) for r in feats] == [("W", 270.0)]
+
+
+# --- storage, session and scratch folders
+
+def test_json_arrays_survive_a_row_limit_on_files(spark, tmp_dir):
+    from brisa.sources.files import read_json_multiline, write_json_arrays
+    df = spark.range(10).selectExpr("id", "IF(id % 3 = 0, NULL, concat('t', id)) AS t").repartition(2)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 3)
+    try:
+        write_json_arrays(df, f"{tmp_dir}/a")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    back = read_json_multiline(spark, f"{tmp_dir}/a", df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_history_csv_keeps_nulls_and_checks_the_header(spark, tmp_dir):
+    from brisa.sources.files import write_csv
+    from brisa.sources.sinks import load_prediction_csvs
+    rows = [(1, "2024-01-05 03:00:00", None, 1.5, "2024-1-9-1-2-3"), (2, None, "", None, "2024-1-9-1-2-3")]
+    write_csv(spark.createDataFrame(rows, "event_id long, time string, Direction string, p double, prediction_time string"), f"{tmp_dir}/h")
+    got = load_prediction_csvs(spark, f"{tmp_dir}/h", "event_id long, time string, Direction string, p double, prediction_time string", {"p": "prediction"})
+    assert dict(got.dtypes)["time"] == "timestamp_ntz" and "prediction" in got.columns
+    assert sorted((r.event_id, r.Direction, r.prediction) for r in got.collect()) == [(1, None, 1.5), (2, "", None)]
+    with pytest.raises(Exception):
+        load_prediction_csvs(spark, f"{tmp_dir}/h", "event_id long, other string, Direction string, p double, prediction_time string").collect()
+
+
+def test_replayed_stream_batch_adds_no_rows(spark, tmp_dir):
+    import shutil
+    from brisa.sources import sinks as SK
+    from brisa.streaming import score_new_forecasts
+    model = spark.createDataFrame([(1, 5.0, 0.0, 10.0), (2, 6.0, 22.5, 20.0)], "event_id long, Speed double, Angle double, Energy double")
+    SK.save_model(model, 1, f"{tmp_dir}/m")
+    fc = spark.createDataFrame([(7, "N", 5.1, 1), (8, "XX", 5.0, 2), (9, None, 6.0, 2)], "event_id long, Direction string, Speed double, Source_time long")
+    fc.coalesce(1).write.parquet(f"{tmp_dir}/in")
+    args = (spark, f"{tmp_dir}/in", fc.schema, f"{tmp_dir}/m", f"{tmp_dir}/out")
+    score_new_forecasts(*args, f"{tmp_dir}/ck1")
+    score_new_forecasts(*args, f"{tmp_dir}/ck1")
+    got = sorted((r.event_id, r.prediction) for r in SK.load_predictions(spark, f"{tmp_dir}/out").collect())
+    assert got == [(7, 10.0), (8, None), (9, None)]
+    shutil.rmtree(f"{tmp_dir}/ck1/commits")  # as if the job had died before the batch was committed
+    score_new_forecasts(*args, f"{tmp_dir}/ck1")
+    assert SK.load_predictions(spark, f"{tmp_dir}/out").count() == 3
+
+
+def test_scoring_keeps_every_forecast(spark):
+    from brisa.functions.compass import compass_angle
+    from brisa.plans import wind as W
+    model = spark.createDataFrame([(1, 5.0, 0.0, 10.0)], "id long, Speed double, Angle double, Energy double")
+    fc = spark.createDataFrame([(1, "N", 5.0), (2, "XX", 5.0), (3, None, 5.0)], "id long, Direction string, Speed double")
+    fc = fc.withColumn("Angle", compass_angle("Direction"))
+    assert sorted((r.id, r.prediction) for r in W.score_forecasts(model, 1, fc, "id").collect()) == [(1, 10.0), (2, None), (3, None)]
+    assert W.unusable_forecasts(fc).first().n == 2
+    with pytest.raises(Exception):
+        W.score_forecasts(model, 1, fc, "id", strict=True).collect()
+
+
+def test_latest_value_of_a_run_counts_and_metrics_are_numbers(spark, tmp_dir):
+    import datetime as dt
+    from brisa.sources import sinks as SK
+    SK.log_run(spark, tmp_dir + "/r", "a", {"m": "x"}, {"s": 2.0}, dt.datetime(2024, 1, 2))
+    SK.log_run(spark, tmp_dir + "/r", "a", {"m": "old"}, {"s": 1.0}, dt.datetime(2024, 1, 1))
+    assert [tuple(r) for r in SK.search_runs(spark, tmp_dir + "/r", ["m"], ["s", "none"]).collect()] == [("a", "x", 2.0, None)]
+
+
+def test_best_k_needs_every_fold(spark):
+    from brisa.plans.wind import best_k
+    cv = spark.createDataFrame([(1, 0.5, 5), (2, 0.9, 2), (3, 0.5, 5)], "k long, mean_r2 double, folds long")
+    assert best_k(cv).first()["k"] == 1
+
+
+def test_scratch_scope_leaves_nothing(spark):
+    import os
+    from brisa.session import scratch_path, scratch_scope
+    with scratch_scope(spark) as folder:
+        path = scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+        assert path.startswith(folder) and spark.read.parquet(path).count() == 3
+    assert not os.path.exists(folder.removeprefix("file:")) and "scope-" not in scratch_path(spark, "y")
+
+
+def test_no_shared_folder_on_a_cluster_raises(monkeypatch):
+    from types import SimpleNamespace
+    from brisa.session import checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: {}, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc, conf={}))
+
+
+def test_keyed_row_index_with_a_hot_key(spark):
+    from brisa.operators.evaluate import row_index
+    df = spark.range(400).selectExpr("id", "IF(id % 3 = 0, 'hot', IF(id % 50 = 1, NULL, concat('k', id % 20))) AS k", "(id * 37) % 400 AS o")
+    got = row_index(df, ["o"], ["k"], count_col="n").collect()
+    for k in {r.k for r in got}:
+        mine = sorted((r for r in got if r.k == k), key=lambda r: r.o)
+        assert [r.idx for r in mine] == list(range(len(mine))) and {r.n for r in mine} == {len(mine)}
+
+
+def test_e9_ratio_reads_the_texts_once(spark):
+    import __spark_entry__ as E
+    plan = E.queries()["e9_region_ratio_literal"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("text#") and plan.count("Relation [doc_id") == 1
