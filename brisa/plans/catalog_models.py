@@ -455,3 +455,32 @@ def score_keeps_all(spark, d):
     fut = future_horizon(S.forecasts(spark, d), "time", AS_OF).withColumn("Direction", point)
     out = W.score_forecasts(_model(spark, d), K, fut.withColumn("Angle", compass_angle("Direction")), "event_id")
     return out.select("event_id", "Direction", _r6("prediction"))
+
+
+@register("e14_metrics", f"""SELECT round(avg(a), 6) AS "mean_MAE", round(avg(b), 6) AS "mean_RMSE", round(avg(c), 6) AS "mean_MaxError" FROM
+    (SELECT avg(abs(truth - prediction)) AS a, sqrt(avg((truth - prediction) * (truth - prediction))) AS b, max(abs(truth - prediction)) AS c
+     FROM ({_TVP_SQL}) GROUP BY fold)""")
+def e14_metrics(spark, d):
+    """The report's metric list, logged and read back as a run."""
+    path = scratch_path(spark, "runs")
+    _, _, tvp = _cv_report(spark, d)
+    _, mean = W.cv_metrics(tvp)
+    W.log_cv(mean, path, "cv", RUN_AT)
+    names = [f"mean_{n}" for n in W.METRICS]
+    return SK.search_runs(spark, path, metrics=names).select(*[_r6(n) for n in names])
+
+
+@register("e12_model_job", f"""SELECT b.k AS best_k, round(b.mean_r2, 6) AS cv_score, round(h.r2, 6) AS r2, round(h.r2, 6) AS r2_reloaded,
+    (SELECT count(*) FROM ({_NEWEST_SQL})) AS scored, 'KNN(k=' || b.k || ')' AS best_model
+    FROM ({best_k_sql(WIND_SQL, K_MAX)}) b JOIN ({holdout_all_sql(WIND_SQL, K_MAX)}) h ON h.k = b.k""")
+def e12_model_job(spark, d):
+    """The whole model job; its run, predictions and model are read back from what it wrote."""
+    from brisa.plans.jobs import model_job
+    folder = scratch_path(spark, "model-job")
+    rows = training_set(spark, d).select("event_id", "Speed", "Angle", "Energy")
+    got = model_job(spark, rows, W.newest_forecast_features(S.forecasts(spark, d), AS_OF), "event_id", folder, "run-1", RUN_AT, seed=SEED)
+    runs = SK.search_runs(spark, f"{folder}/runs", ["best_model"], ["KNN_neighbors", "CV_score", "Score"])
+    scored = SK.load_predictions(spark, f"{folder}/predictions").agg(F.count(F.lit(1)).alias("scored"))
+    out = runs.withColumn("one", F.lit(1)).join(F.broadcast(scored.withColumn("one", F.lit(1))), "one")
+    return out.select(F.col("KNN_neighbors").cast("bigint").alias("best_k"), F.round("CV_score", 6).alias("cv_score"), F.round("Score", 6).alias("r2"),
+                      F.round(F.lit(got["r2_reloaded"]), 6).alias("r2_reloaded"), "scored", "best_model")

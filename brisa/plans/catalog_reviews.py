@@ -17,7 +17,7 @@ from brisa.functions.text import (
 from brisa.operators import relational as R
 from brisa.plans import reviews as E
 from brisa.plans import standins as S
-from brisa.plans.registry import register
+from brisa.plans.registry import ORACLE, register
 from brisa.plans.tables import table as T
 from brisa.session import scratch_path
 from brisa.sources import files as FS
@@ -652,3 +652,38 @@ def column_names(spark, d):
     """The columns of two tables, from their schemas (no row is read)."""
     rows = [(t, c) for t in ("documents", "part") for c in T(spark, d, t).columns]
     return spark.createDataFrame(rows, "table_name string, column_name string")
+
+
+def _job_sql() -> str:
+    pick = lambda name, key, value, src: f"SELECT '{name}' AS analysis, {key} AS key, CAST({value} AS DOUBLE) AS value FROM ({src})"
+    return " UNION ALL ".join([
+        pick("e1_total_reviews", "NULL", "total_reviews", ORACLE["e1_total_reviews"]),
+        pick("e2_top_rated", "name", "review_count", ORACLE["e2_top_rated"]),
+        pick("e6_word_share", "NULL", "round(percent, 6)", ORACLE["e6_word_share"]),
+        pick("e7_top_categories", "category", "n", ORACLE["e7_top_categories"]),
+        pick("e8_place_share", "state", "match_count", ORACLE["e8_place_share"]),
+        pick("e9_top_negative", "category", "n", ORACLE["e9_top_negative"]),
+        pick("e9_region_ratio", "region", "numerator", ORACLE["e9_region_ratio_literal"])])
+
+
+@register("review_job_from_files", _job_sql())
+def review_job_from_files(spark, d):
+    """The stand-ins written in the shapes of the original files, and the whole job run from those files."""
+    from brisa.plans import jobs as J
+    paths = {}
+    for name, df, schema in (("review", S.reviews(spark, d), J.REVIEW), ("business", S.business(spark, d), J.BUSINESS), ("user", S.users(spark, d), J.USER)):
+        paths[name] = scratch_path(spark, f"job-{name}")
+        want = spark.createDataFrame([], schema).schema
+        FS.write_jsonl(df.select([F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                                  for f in want]), paths[name])
+    out = J.review_job(spark, **paths, min_reviews=40, influencer_reviews=15, word="That", top_word="ouen", terms=AUTH, auth=AUTH, neg=NEG,
+                       marker="gear", drop=("gear",), cuisines=CUISINES, groups=REGIONS, sep=SEP, state="Brand#2", cuisine="gear|bolt")
+    parts = [("e1_total_reviews", F.lit(None), "total_reviews"), ("e2_top_rated", F.col("name"), "review_count"),
+             ("e6_word_share", F.lit(None), F.round("percent", 6)), ("e7_top_categories", F.col("category"), "n"),
+             ("e8_place_share", F.col("state"), "match_count"), ("e9_top_negative", F.col("category"), "n"), ("e9_region_ratio", F.col("region"), "numerator")]
+    frames = [out[n].select(F.lit(n).alias("analysis"), key.cast("string").alias("key"), (F.col(v) if isinstance(v, str) else v).cast("double").alias("value"))
+              for n, key, v in parts]
+    whole = frames[0]
+    for f in frames[1:]:
+        whole = whole.unionByName(f)
+    return whole

@@ -28,6 +28,7 @@ from brisa.operators.timeseries import (
     time_join,
 )
 from brisa.session import cut_lineage
+from brisa.sources.sinks import log_metric_frame
 from brisa.sources.scans import bounded_history, future_horizon, trailing_window
 
 FEATURES = ("Speed", "Angle")
@@ -114,6 +115,28 @@ def holdout_r2(train: DataFrame, test: DataFrame, k: int, id_col: str,
     return EV.r2_score(pred.join(truth, "qid"), "y", "prediction")
 
 
+# name -> aggregate over (truth, prediction) columns
+METRICS = {
+    "MAE": lambda y, p: F.avg(F.abs(y - p)),
+    "RMSE": lambda y, p: F.sqrt(F.avg((y - p) * (y - p))),
+    "MaxError": lambda y, p: F.max(F.abs(y - p)),
+}
+
+
+def cv_metrics(tvp: DataFrame, metrics: dict = METRICS) -> tuple[DataFrame, DataFrame]:
+    """Any list of metrics over (fold, truth, prediction): one row per fold, and the ``mean_<metric>`` row."""
+    y, p = F.col("truth"), F.col("prediction")
+    per_fold = tvp.groupBy("fold").agg(*[f(y, p).alias(n) for n, f in metrics.items()], F.count(F.lit(1)).alias("n"))
+    return per_fold, per_fold.agg(*[F.avg(n).alias(f"mean_{n}") for n in metrics], F.count(F.lit(1)).alias("folds"))
+
+
+def log_cv(mean: DataFrame, path: str, run_id: str, at) -> None:
+    """Append the ``mean_<metric>`` values to the run log, from the executors."""
+    names = [c for c in mean.columns if c.startswith("mean_")]
+    rows = mean.select(F.explode(F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).alias("value")) for n in names])).alias("m")).select("m.*")
+    log_metric_frame(rows, path, run_id, "key", "value", at)
+
+
 def e14_cv_report(series: DataFrame, order: Sequence[str], id_col: str, k: int,
                   target: str = "Energy", n_splits: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Expanding-window CV of KNN(k): (per-fold MAE, mean MAE, truth vs prediction)."""
