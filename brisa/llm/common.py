@@ -8,6 +8,7 @@ longest text), never the partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from brisa.session import scratch_path
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -34,6 +35,14 @@ _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
 _PIECE = 1 << 20
 _powers: dict[int, np.ndarray] = {}
+_libc = ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
+
+
+def release() -> None:
+    """Give freed memory back to the system; workers live on between tasks and share their executor's limit."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
 
 
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -55,6 +64,7 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, side="right")) - 1)
         yield lo, hi, data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
         lo = hi
+    release()
 
 
 def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

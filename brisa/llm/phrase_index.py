@@ -112,7 +112,7 @@ def _unpack(r: dict) -> Shard:
     return Shard(np.frombuffer(r["terms"], "<u8"), counts, (total - np.repeat(base, counts)).astype(np.int32), np.frombuffer(r["first"], "<i8"))
 
 
-def build(docs: DataFrame, chunk_bytes: int = 4 << 20) -> DataFrame:
+def build(docs: DataFrame, chunk_bytes: int = 2 << 20) -> DataFrame:
     """The stored index: one row for each shard (a chunk of documents)."""
 
     small_batches(docs.sparkSession)
