@@ -48,14 +48,16 @@ def having_count(df: DataFrame, keys: Sequence[str] | str, more_than: int,
 
 
 def distinct_count_having(df: DataFrame, keys: Sequence[str] | str, distinct_of: str,
-                          more_than: int, count_col: str = "count") -> DataFrame:
-    """``count(DISTINCT x) > n`` per key.
+                          more_than: int, count_col: str = "count", approx: bool = False) -> DataFrame:
+    """``count(DISTINCT x) > n`` per key (``approx``: a sketch of fixed size for each key instead).
 
     Written as two aggregations (dedupe ``(key, x)`` first, then count) so a
     hot key is pre-aggregated map-side on both steps instead of building one
     large distinct set per key.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if approx:
+        return df.groupBy(*keys).agg(F.approx_count_distinct(distinct_of).alias(count_col)).filter(F.col(count_col) > more_than)
     pairs = df.select(*keys, distinct_of).dropDuplicates(keys + [distinct_of]).filter(
         F.col(distinct_of).isNotNull())
     return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).filter(

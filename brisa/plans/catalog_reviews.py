@@ -114,6 +114,19 @@ def decode_resultset(spark, d):
     return FS.decode_resultset(raw, "values", ["time", "value", "event_type"], {"value": "double"})
 
 
+@register("decode_payload", "SELECT ts AS time, value, event_type, CAST(NULL AS VARCHAR) AS missing FROM events")
+def decode_payload(spark, d):
+    """Events as JSON results of up to 100 rows, every other one with its columns in another order."""
+    e = T(spark, d, "events").select(F.floor(F.col("event_id") / 100).alias("page"), F.col("ts").cast("string").alias("time"),
+                                     F.col("value").cast("string").alias("value"), "event_type")
+    orders = [["time", "value", "event_type"], ["event_type", "time", "value"]]
+    names = F.when(F.col("page") % 2 == 0, F.array(*map(F.lit, orders[0]))).otherwise(F.array(*map(F.lit, orders[1])))
+    row = F.when(F.col("page") % 2 == 0, F.array(*orders[0])).otherwise(F.array(*orders[1]))
+    pages = e.groupBy("page").agg(F.first(names).alias("columns"), F.collect_list(row).alias("values"))
+    raw = pages.select(F.to_json(F.struct("columns", "values")).alias("payload"))
+    return FS.decode_payload(raw, "payload", {"time": "timestamp_ntz", "value": "double", "event_type": "string", "missing": "string"})
+
+
 # ======================================================= P: predicates
 @register("filter_and", "SELECT p_partkey, p_name FROM part WHERE p_size = 5 AND p_retailprice >= 950")
 def filter_and(spark, d):

@@ -116,6 +116,22 @@ def decode_resultset(df: DataFrame, values_col: str, columns: Sequence[str],
     return df.select(*out)
 
 
+def decode_payload(df: DataFrame, payload_col: str, types: dict[str, str], time_col: str = "time") -> DataFrame:
+    """JSON results ``{"columns": [...], "values": [[...], ...]}`` -> a typed table.
+
+    Names and rows both come from the payload, so payloads may order their columns differently.  ``types``
+    names the wanted columns; one that a payload lacks is null in its rows.
+    """
+    doc = F.from_json(payload_col, "columns array<string>, values array<array<string>>")
+    rows = df.select(doc.alias("d")).select("d.columns", F.explode("d.values").alias("v"))
+    out = []
+    for name, kind in types.items():
+        at = F.array_position(F.coalesce("columns", F.array().cast("array<string>")), name).cast("int")
+        value = F.when(at > 0, F.try_element_at("v", at))
+        out.append((F.to_timestamp_ntz(value) if name == time_col else value.try_cast(kind)).alias(name))
+    return rows.select(*out)
+
+
 def inline_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A constant table (lists, lookups) - its size is fixed by the code."""
     return spark.createDataFrame(rows, schema)

@@ -268,3 +268,16 @@ def test_e9_ratio_reads_the_texts_once(spark):
     import __spark_entry__ as E
     plan = E.queries()["e9_region_ratio_literal"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("text#") and plan.count("Relation [doc_id") == 1
+
+
+def test_payload_names_and_rows_are_both_decoded(spark):
+    from brisa.sources.files import decode_payload
+    texts = ['{"columns": ["b", "time"], "values": [["1.5", "2024-01-01 00:00:00"], ["x", null]]}', '{"columns": ["time"], "values": []}', "broken", None]
+    got = decode_payload(spark.createDataFrame([(t,) for t in texts], "p string"), "p", {"time": "timestamp_ntz", "b": "double", "c": "string"})
+    assert sorted((str(r.time), r.b, r.c) for r in got.collect()) == [("2024-01-01 00:00:00", 1.5, None), ("None", None, None)]
+
+
+def test_approximate_distinct_count(spark):
+    from brisa.operators.relational import distinct_count_having
+    df = spark.range(200).selectExpr("id % 2 AS k", "id % 40 AS x")
+    assert {r.k for r in distinct_count_having(df, "k", "x", 10, approx=True).collect()} == {0, 1}
