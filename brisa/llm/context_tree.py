@@ -274,18 +274,18 @@ def _place(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def train(texts: DataFrame, nodes: int = NODES, depth: int = DEPTH) -> Model:
     """The model of a column of texts."""
     tree = stored(trees(stored(count_grams(texts, depth), "ctw-grams"), depth), "ctw-nodes")
-    seen = F.least(F.col("zeros") + F.col("ones"), F.lit(10_000.0))
-    sizes = sorted(((r[0], r[1]) for r in tree.groupBy(F.floor(seen).alias("n")).count().collect()), reverse=True)
-    least, total = 10_000, 0
-    for n, k in sizes:  # the smallest count whose nodes still fit
+    # visits on a scale of sixteenths of a power of two: some hundred classes at any size of corpus
+    level = F.floor(16 * F.log2(F.col("zeros") + F.col("ones"))).cast("int")
+    sizes = sorted(((r[0], r[1]) for r in tree.groupBy(level.alias("level")).count().collect()), reverse=True)
+    least, total = 1 << 20, 0
+    for at, k in sizes:  # the lowest class that still fits
         total += k
         if total > nodes:
             break
-        least = n
-    kept = tree.where(F.col("zeros") + F.col("ones") >= least).select(
+        least = at
+    got = tree.where(level >= least).select(
         (F.col("depth").cast("long") * F.lit(1 << 56) + F.col("code")).alias("code"),
-        ((F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)).cast("float").alias("one"), F.col("stop").cast("float").alias("stop"))
-    got = kept.limit(nodes).toArrow()
+        ((F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)).cast("float").alias("one"), F.col("stop").cast("float").alias("stop")).toArrow()
     code, one, stop = (got.column(c).to_numpy() for c in ("code", "one", "stop"))
     return Model(code.astype(np.int64).view(np.uint64), one, stop, depth)
 
