@@ -9,13 +9,17 @@ longest text), never the partition.
 from __future__ import annotations
 
 import ctypes
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+import brisa
 from brisa.session import scratch_path
 
 CHUNK_BYTES = 1 << 20
@@ -177,8 +181,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, limit: int = 16 << 20) -> None:
-    """Keep Arrow batches small: texts are long, and a task holds a few copies of a batch."""
+def prepare(spark: SparkSession, limit: int = 16 << 20) -> None:
+    """Ready a session for kernels: executors get this package, and Arrow batches stay small.
+
+    The package goes to the executors as a Spark file (as with ``--py-files``), once for each context,
+    so it need not be installed there.  Texts are long and a task holds a few copies of a batch.
+    """
+    sc = spark.sparkContext
+    if not getattr(sc, "_brisa_shipped", False):
+        root = Path(brisa.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="brisa-py-")) / "brisa-package.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(archive))
+        sc._brisa_shipped = True
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(key).rstrip("b")
     if not now.isdigit() or not 0 < int(now) <= limit:
@@ -186,5 +203,5 @@ def small_batches(spark: SparkSession, limit: int = 16 << 20) -> None:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.common import LOWER, SPACED, chunks, mix, stored, words
+from brisa.llm.common import LOWER, SPACED, chunks, mix, prepare, stored, words
 
 DEPTH = 5
 NODES = 1 << 21
@@ -273,6 +273,7 @@ def _place(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def train(texts: DataFrame, nodes: int = NODES, depth: int = DEPTH) -> Model:
     """The model of a column of texts."""
+    prepare(texts.sparkSession)
     tree = stored(trees(stored(count_grams(texts, depth), "ctw-grams"), depth), "ctw-nodes")
     # visits on a scale of sixteenths of a power of two: some hundred classes at any size of corpus
     level = F.floor(16 * F.log2(F.col("zeros") + F.col("ones"))).cast("int")
@@ -321,6 +322,7 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
     Learns from the rows where ``held_out`` is false.
     """
     spark = docs.sparkSession
+    prepare(spark)
     texts = docs.where(~held_out)
     counts = stored(count_tokens(texts), "ctw-tokens")
     n_docs = texts.count()

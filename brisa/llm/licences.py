@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisa.llm.common import stored
+from brisa.llm.common import prepare, stored
 
 # Equivalent spellings (each word on the left is read as the one on the right).
 SAME = {
@@ -100,6 +100,7 @@ def known(spark: SparkSession) -> DataFrame:
 
 def scan(docs: DataFrame, licences: DataFrame) -> DataFrame:
     """doc_id, digest, licence, notices (sorted names, comma-joined) of every document."""
+    prepare(docs.sparkSession)
     empty = hashlib.sha256(b"").hexdigest()
     kind = dict(docs.dtypes)["doc_id"]
 

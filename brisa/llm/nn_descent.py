@@ -34,7 +34,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brisa.llm.common import group_starts, stored, whole_groups
+from brisa.llm.common import group_starts, prepare, stored, whole_groups
 
 TOP = 5
 K = 26
@@ -53,6 +53,7 @@ _LIST = "node bigint, ids binary, sims binary"
 
 def nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(points: node, vec - float64 bytes; members: node, vec_id, the TOP + 1 least ids of a node)."""
+    prepare(vectors.sparkSession)
     clean = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).where(
         "vec_id IS NOT NULL AND v IS NOT NULL AND NOT exists(v, x -> x IS NULL OR isnan(x) OR abs(x) = double('infinity')) AND exists(v, x -> x <> 0)")
     clean = stored(clean.select("vec_id", F.xxhash64("v").alias("node"), "v"), "nnd-rows")

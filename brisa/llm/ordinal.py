@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.common import LOWER, SPACED, chunks, mix, word_hashes, words
+from brisa.llm.common import LOWER, SPACED, chunks, mix, prepare, word_hashes, words
 from brisa.llm.sampling import labelled_documents
 
 DIM = 1 << 16
@@ -128,6 +128,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE)
 
 def score(model: Model, docs: DataFrame, text: str = "text") -> Column:
     """Column struct<expected, tails> of a text column: expected grade, and P(grade >= j) for j = 1, 2, ..."""
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(column: pa.Array) -> pa.Array:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.common import ALNUM, LOWER, chunks, small_batches, stored, word_hashes, words
+from brisa.llm.common import ALNUM, LOWER, chunks, prepare, stored, word_hashes, words
 
 LENGTH = 10
 SPAN = 15
@@ -115,7 +115,7 @@ def _unpack(r: dict) -> Shard:
 def build(docs: DataFrame, chunk_bytes: int = 2 << 20) -> DataFrame:
     """The stored index: one row for each shard (a chunk of documents)."""
 
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def index(batches):
         for batch in batches:
@@ -284,7 +284,7 @@ def search(index: DataFrame, benchmark: DataFrame, length: int = LENGTH, span: i
 
 def report(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, span: int = SPAN) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near of every document."""
-    hits = stored(search(build(docs), benchmark, length, span), "phrase-hits")
+    hits = stored(search(build(docs), benchmark, length, span), "phrase-hits")  # build() readies the session
     rows = docs.select("doc_id", word_count().alias("n_words"), digest().alias("digest"))
     items = F.coalesce("items", F.array().cast("array<string>"))
     return rows.join(hits, "digest", "left").select(

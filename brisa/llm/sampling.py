@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.common import small_batches
+from brisa.llm.common import prepare
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame, sample: int, salt: str, where: Column | None = None) -> DataFrame:
@@ -16,7 +16,7 @@ def labelled_documents(docs: DataFrame, labels: DataFrame, sample: int, salt: st
     agree.  The chosen labels are bounded by ``sample``, which makes them safe to broadcast: the texts
     are filtered where they lie and never shuffled.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     cols = [c for c in labels.columns if c != "doc_id"]
     one = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.min(c).alias(c) for c in cols]).dropna()
     if where is not None:
