@@ -54,35 +54,35 @@ def read_json_multiline(spark: SparkSession, path: str, schema: StructType | str
     return spark.read.schema(schema).option("multiLine", "true").json(path)
 
 
-def _array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Wrap the JSON lines of one partition into one JSON array (one batch lookahead)."""
-    prev: pd.DataFrame | None = None
-    first = True
-    for b in batches:
-        if b.empty:
-            continue
-        lines = b["value"].astype(object).copy()
-        if first:
-            lines.iloc[0] = "[" + lines.iloc[0]
-            first = False
-        if prev is not None:
-            yield prev
-        prev = pd.DataFrame({"value": lines + ","})
-    if prev is not None:
-        last = prev["value"].copy()
-        last.iloc[-1] = last.iloc[-1][:-1] + "]"
-        yield pd.DataFrame({"value": last})
-
-
 def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write each partition as a file holding one JSON array.
 
     The JSON text is produced by ``to_json`` in the JVM; Python only adds the
     brackets and commas while streaming batches (bounded memory per task).
     """
+    # a nested function travels by value, so executors need not have this package
+    def array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Wrap the JSON lines of one partition into one JSON array (one batch lookahead)."""
+        prev: pd.DataFrame | None = None
+        first = True
+        for b in batches:
+            if b.empty:
+                continue
+            lines = b["value"].astype(object).copy()
+            if first:
+                lines.iloc[0] = "[" + lines.iloc[0]
+                first = False
+            if prev is not None:
+                yield prev
+            prev = pd.DataFrame({"value": lines + ","})
+        if prev is not None:
+            last = prev["value"].copy()
+            last.iloc[-1] = last.iloc[-1][:-1] + "]"
+            yield pd.DataFrame({"value": last})
+
     lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
     # one array is one file: no limit on a file's rows may cut it
-    lines.mapInPandas(_array_lines, "value string").write.mode(mode).option("maxRecordsPerFile", 0).text(path)
+    lines.mapInPandas(array_lines, "value string").write.mode(mode).option("maxRecordsPerFile", 0).text(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
