@@ -117,6 +117,8 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
     # at most k rows per exact feature point and tag (lowest ids win ties anyway)
     same = Window.partitionBy("g", "t", "a", "b").orderBy("rid")
     tr = tr.withColumn("__dup", F.row_number().over(same)).filter(F.col("__dup") <= k).drop("__dup")
+    # a constant group would fold the join with the boxes into a cross join; a checkpointed one is a plain key
+    te = cut_lineage(te)
     # read for the quantiles, the boxes and the candidates: worked out once
     tr = cut_lineage(_leaves(cut_lineage(tr), k, group_col is None))
     boxes = tr.groupBy("g", "leaf", "t").agg(

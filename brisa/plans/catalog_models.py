@@ -480,7 +480,6 @@ def e12_model_job(spark, d):
     rows = training_set(spark, d).select("event_id", "Speed", "Angle", "Energy")
     got = model_job(spark, rows, W.newest_forecast_features(S.forecasts(spark, d), AS_OF), "event_id", folder, "run-1", RUN_AT, seed=SEED)
     runs = SK.search_runs(spark, f"{folder}/runs", ["best_model"], ["KNN_neighbors", "CV_score", "Score"])
-    scored = SK.load_predictions(spark, f"{folder}/predictions").agg(F.count(F.lit(1)).alias("scored"))
-    out = runs.withColumn("one", F.lit(1)).join(F.broadcast(scored.withColumn("one", F.lit(1))), "one")
-    return out.select(F.col("KNN_neighbors").cast("bigint").alias("best_k"), F.round("CV_score", 6).alias("cv_score"), F.round("Score", 6).alias("r2"),
-                      F.round(F.lit(got["r2_reloaded"]), 6).alias("r2_reloaded"), "scored", "best_model")
+    scored = F.lit(SK.load_predictions(spark, f"{folder}/predictions").count()).alias("scored")
+    return runs.select(F.col("KNN_neighbors").cast("bigint").alias("best_k"), F.round("CV_score", 6).alias("cv_score"), F.round("Score", 6).alias("r2"),
+                      F.round(F.lit(got["r2_reloaded"]), 6).alias("r2_reloaded"), scored, "best_model")

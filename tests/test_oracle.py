@@ -16,31 +16,44 @@ def con():
     return duck(SF_SMALL)
 
 
-def test_every_query_has_sql_or_is_rows_only():
-    rows_only = set(NAMES) - set(SQL)
-    assert rows_only <= {"run_log", "run_search"}, rows_only
-    assert set(SQL) <= set(NAMES)
+def test_every_query_has_sql():
+    assert set(SQL) == set(NAMES)
 
 
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
+             "MapInArrow", "FlatMapGroups")
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
-def test_matches_duckdb(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+def assert_plain(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [f for f in FORBIDDEN if f in plan], "cross join or Python evaluation in the plan"
+
+
+@pytest.fixture
+def cuts(monkeypatch):
+    """Every plan that ends in a checkpoint is looked at too."""
+    from brisa import session
+    from brisa.operators import evaluate, knn
+    from brisa.plans import catalog_models, jobs, wind
+
+    def checked(df):
+        assert_plain(df)
+        return session.cut_lineage(df)
+
+    for module in (evaluate, knn, catalog_models, jobs, wind):
+        monkeypatch.setattr(module, "cut_lineage", checked)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_matches_duckdb(spark, con, cuts, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    assert_plain(df)
     got = df.toPandas()
     want = con.sql(SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", ["run_log", "run_search"])
-def test_rows_only_queries_run(spark, name):
-    assert E.queries()[name](spark, SF_SMALL).count() > 0
-
-
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["lang", "source", "flag", "n", "gid"]
