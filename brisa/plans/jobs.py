@@ -26,7 +26,7 @@ from brisa.sources import sinks as SK
 REVIEW = "review_id string, user_id string, business_id string, stars double, useful long, funny long, cool long, text string, date string"
 BUSINESS = ("business_id string, name string, address string, city string, state string, postal_code string, latitude double, "
             "longitude double, stars double, review_count long, is_open long, categories string")
-USER = "user_id string, name string, review_count long, yelping_since string, useful long, funny long, cool long, fans long, average_stars double"
+USER = "user_id string, name string, review_count long, average_stars double"
 GENERATION = "time timestamp_ntz, ANM double, `Non-ANM` double, Total double"
 FORECASTS = "time timestamp_ntz, Direction string, Lead_hours int, Source_time long, Speed double"
 PREDICTIONS = ("time string, Direction string, Lead_hours int, Source_time long, Speed double, Angle double, "
