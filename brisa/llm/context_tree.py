@@ -13,11 +13,15 @@ each task before the shuffle; what is gathered grows with the corpus.  Trees
 are worked out bottom-up where the counts lie: partitions by the two newest
 context bytes hold whole subtrees of depths 2 to ``DEPTH``, then by one byte,
 and only the 255 nodes of depth 0 and those of depth 1 (fixed by the alphabet)
-meet in a few rows.
-
-The scoring model is the ``NODES`` most visited nodes at most, found through a
-table of counts (bounded, so it can be broadcast); a context that is not there
-is scored by its longest suffix that is.  Probabilities of the 256 next bytes
+meet on the driver.
+
+Scoring uses every tree node.  All distinct (context, next byte) pairs of the
+texts to score go through the same partitions (with a count of 0 if training
+has none), where their decisions are mixed over depths ``DEPTH`` to 2; depths 1
+and 0 are broadcast and complete them.  Costs of the ``HEAD_GRAMS`` most
+frequent pairs are broadcast, all others go through a join on the pair, so the
+result does not depend on that number.  A context that training never had is
+scored by its longest suffix that it had.  Probabilities of the 256 next bytes
 add up to 1 in every context.
 
 The base score needs the training count of every token of every text.  Counts
@@ -42,17 +46,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.common import LOWER, SPACED, chunks, mix, prepare, stored, words
+from brisa.llm.common import LOWER, SPACED, chunks, group_starts, mix, prepare, stored, words
 
 DEPTH = 5
-NODES = 1 << 21
+HEAD_GRAMS = 1 << 21
 HEAD = 100_000
 END = 10
 _HALF = math.log(0.5)
 _FLUSH = 1 << 20
-_SLOTS = 22
-_CACHE = 22
-_GRAM_BITS = 8 * (DEPTH + 1)
+_SUBTREES = 1 << 16
+_FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def streams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +91,8 @@ def grams(out: np.ndarray, at: np.ndarray, depth: int = DEPTH) -> np.ndarray:
 
 def _log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov block probability of a zeros and b ones."""
-    return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1.0) - math.log(math.pi)
+    out = _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1.0) - math.log(math.pi)
+    return np.where(a + b > 0, out, 0.0)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -101,32 +105,47 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z ** 3) + 1 / (1260 * z ** 5) - shift
 
 
-def leaves(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Deepest tree nodes of (context, byte) counts: node (context << 8 | decision), zeros, ones."""
+def leaves(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Deepest tree nodes of (context, byte) counts: node (context << 8 | decision), zeros, ones; the node of each pair's 8 decisions."""
     byte, context = key & np.uint64(255), key >> np.uint64(8) << np.uint64(8)
     code = np.concatenate([context | np.uint64(1 << t) | (byte >> np.uint64(8 - t)) for t in range(8)])
-    bit = np.concatenate([(byte >> np.uint64(7 - t)) & np.uint64(1) for t in range(8)]).astype(np.int64)
+    bit = _decisions(byte).ravel()
     code, inv = np.unique(code, return_inverse=True)
     n = np.tile(n, 8)
-    return code, np.bincount(inv, n * (1 - bit), minlength=len(code)), np.bincount(inv, n * bit, minlength=len(code))
+    return code, np.bincount(inv, n * (1 - bit), minlength=len(code)), np.bincount(inv, n * bit, minlength=len(code)), inv.reshape(8, -1)
+
+
+def _decisions(byte: np.ndarray) -> np.ndarray:
+    """The eight decisions (rows) of each byte."""
+    return np.stack([(byte >> np.uint64(7 - t)) & np.uint64(1) for t in range(8)]).astype(np.int64)
 
 
 def parents(code: np.ndarray, zeros: np.ndarray, ones: np.ndarray, log_w: np.ndarray, depth: int):
-    """Nodes of contexts one byte shorter (``depth`` bytes): node, zeros, ones, log P_w, weight of stopping there."""
+    """Nodes of contexts one byte shorter (``depth`` bytes): node, zeros, ones, log P_w, weight of stopping there; the parent of each node."""
     up = code & np.uint64((1 << (8 * depth + 8)) - 1)
     up, inv = np.unique(up, return_inverse=True)
     a, b, below = (np.bincount(inv, x, minlength=len(up)) for x in (zeros, ones, log_w))
     stop = _HALF + _log_kt(a, b)
     total = np.logaddexp(stop, _HALF + below)
-    return up, a, b, total, np.exp(stop - total)
+    return up, a, b, total, np.exp(stop - total), inv
+
 
+def _one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Krichevsky-Trofimov estimate of a one; NaN for a node that training never visited."""
+    return np.where(zeros + ones > 0, (ones + 0.5) / (zeros + ones + 1), np.nan)
 
-_NODE = "depth int, code bigint, zeros double, ones double, log_w double, stop double"
 
+def _mixed(here: np.ndarray, stop: np.ndarray, deeper: np.ndarray) -> np.ndarray:
+    """Probability at a depth from its own estimate and that of the depths below (NaN: not visited)."""
+    return np.where(np.isnan(here), deeper, np.where(np.isnan(deeper), here, stop * here + (1 - stop) * deeper))
 
-def _frame(depth, code, zeros, ones, log_w, stop) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(code), depth, np.int32)), pa.array(code.view(np.int64)), pa.array(zeros), pa.array(ones),
-                                       pa.array(log_w), pa.array(stop)], ["depth", "code", "zeros", "ones", "log_w", "stop"])
+
+_NODE = "code bigint, zeros double, ones double, log_w double"
+_DEEP = f"gram bigint, n bigint, chances binary, {_NODE}"
+
+
+def _nodes(code, zeros, ones, log_w) -> dict:
+    return {"code": pa.array(code.view(np.int64)), "zeros": pa.array(zeros), "ones": pa.array(ones), "log_w": pa.array(log_w)}
 
 
 def _columns(batches, *names):
@@ -134,8 +153,8 @@ def _columns(batches, *names):
     return [np.concatenate(x) if parts else np.zeros(0) for x in (zip(*parts) if parts else [()] * len(names))]
 
 
-def count_grams(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """gram, n: how often each byte follows each context, over all texts."""
+def _pairs(texts: DataFrame, depth: int) -> DataFrame:
+    """gram, n: how often each byte follows each context, summed up within tasks."""
 
     def go(batches):
         held, size = [], 0
@@ -161,134 +180,191 @@ def count_grams(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
         if held:
             yield from rows(*merged())
 
-    return texts.select("text").mapInArrow(go, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def trees(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """All tree nodes (depth, code, zeros, ones, log_w, stop) from the table of gram counts."""
+    return texts.select("text").mapInArrow(go, "gram bigint, n bigint")
+
+
+def count_grams(texts: DataFrame, depth: int = DEPTH, asked: DataFrame | None = None) -> DataFrame:
+    """gram, n: how often each byte follows each context, over all texts; grams that only the texts ``asked`` have count 0."""
+    found = _pairs(texts, depth)
+    if asked is not None:
+        found = found.unionByName(_pairs(asked, depth).withColumn("n", F.lit(0).cast("long")))
+    return found.groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def _subtrees(batches):
+    """(gram, n) of whole subtrees of depth 2, at least ``_SUBTREES`` grams at a time, from batches sorted by the two newest context bytes."""
+    held, size, need = [], 0, _SUBTREES
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < need:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        newest = table.column("gram").to_numpy() >> 8 & 0xFFFF
+        cut = int(np.argmax(newest == newest[-1]))  # sorted: the last subtree begins at its first row
+        if cut:
+            yield _columns([table.slice(0, cut)], "gram", "n")
+        held = table.slice(cut).to_batches()
+        size -= cut
+        need = max(_SUBTREES, 2 * size)
+    if size:
+        yield _columns(held, "gram", "n")
+
+
+def gram_bits(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """gram, n, bits (log2 P(byte | context) by the tree of all counts) of every row of the table of gram counts."""
+    spark = counts.sparkSession
 
     def deep(batches):
-        key, n = _columns(list(batches), "gram", "n")
-        if not len(key):
-            return
-        code, a, b = leaves(key.astype(np.int64).view(np.uint64), n.astype(np.float64))
-        w, stop = _log_kt(a, b), np.ones(len(code))
-        yield _frame(depth, code, a, b, w, stop)
-        for d in range(depth - 1, 1, -1):
-            code, a, b, w, stop = parents(code, a, b, w, d)
-            yield _frame(d, code, a, b, w, stop)
-
-    def up(to):
-        def go(batches):
-            code, a, b, w = _columns(list(batches), "code", "zeros", "ones", "log_w")
-            if len(code):
-                yield _frame(to, *parents(code.astype(np.int64).view(np.uint64), a, b, w, to))
-        return go
+        for key, n in _subtrees(batches):
+            key = key.astype(np.int64).view(np.uint64)
+            code, a, b, at = leaves(key, n.astype(np.float64))
+            w, one, up = _log_kt(a, b), _one(a, b), np.arange(len(code))
+            for d in range(depth - 1, 1, -1):
+                code, a, b, w, stop, to = parents(code, a, b, w, d)
+                up = to[up]
+                one = _mixed(_one(a, b)[up], stop[up], one)
+            p = np.where(_decisions(key & np.uint64(255)) == 1, one[at], 1 - one[at]).T.astype("<f4")
+            raw = pa.py_buffer(np.ascontiguousarray(p))
+            chances = pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(np.arange(0, 32 * len(key) + 1, 32, dtype=np.int32)), raw])
+            yield from _padded({"gram": pa.array(key.view(np.int64)), "n": pa.array(n.astype(np.int64)), "chances": chances})
+            seen = a + b > 0
+            yield from _padded(_nodes(code[seen], a[seen], b[seen], w[seen]))
+
+    def _padded(have):
+        size = len(next(iter(have.values())))
+        kinds = {"gram": pa.int64(), "n": pa.int64(), "chances": pa.binary(), "code": pa.int64(), "zeros": pa.float64(), "ones": pa.float64(), "log_w": pa.float64()}
+        if size:
+            yield pa.RecordBatch.from_arrays([have.get(k, pa.nulls(size, t)) for k, t in kinds.items()], list(kinds))
+
+    def up(batches):
+        code, a, b, w = _columns(list(batches), "code", "zeros", "ones", "log_w")
+        if len(code):
+            code, a, b, w, stop, _ = parents(code.astype(np.int64).view(np.uint64), a, b, w, 1)
+            have = _nodes(code, a, b, w) | {"stop": pa.array(stop)}
+            yield pa.RecordBatch.from_arrays(list(have.values()), list(have))
 
     newest = lambda c, k: F.shiftright(F.col(c), 8).bitwiseAND(F.lit((1 << (8 * k)) - 1))
-    low = stored(counts.repartition(newest("gram", 2)).mapInArrow(deep, _NODE), "ctw-deep")
-    one = stored(low.where("depth = 2").repartition(newest("code", 1)).mapInArrow(up(1), _NODE), "ctw-one")
-    top = one.coalesce(1).mapInArrow(up(0), _NODE)  # at most 256 * 255 rows
-    return low.unionByName(one).unionByName(top)
+    low = counts.withColumn("newest", newest("gram", 2)).repartition("newest").sortWithinPartitions("newest").select("gram", "n")
+    low = stored(low.mapInArrow(deep, _DEEP), "ctw-deep")
+    nodes = low.where("gram IS NULL").select("code", "zeros", "ones", "log_w")
+    one = nodes.repartition(newest("code", 1)).mapInArrow(up, f"{_NODE}, stop double").toArrow()  # at most 256 * 255 rows
+    code, a, b, w, stop = (one.column(c).to_numpy() for c in ("code", "zeros", "ones", "log_w", "stop"))
+    code = code.astype(np.int64).view(np.uint64)
+    top = []
+    for size in (256, 1):  # depths 1 and 0 as tables of context and decision
+        table = np.full((2, size * 256), np.nan)
+        table[:, code.astype(np.int64)] = _one(a, b), stop
+        top.append(table)
+        code, a, b, w, stop, _ = parents(code, a, b, w, 0)
+    shared = spark.sparkContext.broadcast(top)
+
+    def complete(batches):
+        for batch in batches:
+            key = batch.column("gram").to_numpy().view(np.uint64)
+            byte = key & np.uint64(255)
+            p = np.frombuffer(b"".join(batch.column("chances").to_pylist()), "<f4").reshape(-1, 8).T.astype(np.float64)
+            bit = _decisions(byte)
+            node = np.stack([np.uint64(1 << t) | (byte >> np.uint64(8 - t)) for t in range(8)])
+            for d, (one, stop) in zip((1, 0), shared.value):
+                at = ((key & np.uint64((1 << (8 * d + 8)) - 256)) | node).astype(np.int64)
+                p = _mixed(np.where(bit == 1, one[at], 1 - one[at]), stop[at], p)
+            bits = np.log2(np.where(np.isnan(p), 0.5, p)).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([batch.column("gram"), batch.column("n"), pa.array(bits)], ["gram", "n", "bits"])
+
+    found = low.where("gram IS NOT NULL").select("gram", "n", "chances").mapInArrow(complete, "gram bigint, n bigint, bits double")
+    return stored(found, "ctw-bits")
 
 
 class Model:
-    """The kept nodes in a hash table of fixed size; looks up many (depth, node) codes at once."""
+    """The counts of all training texts, and what they say of any grams."""
 
-    def __init__(self, code: np.ndarray, one: np.ndarray, stop: np.ndarray, depth: int):
-        self.depth, self.code, self.one, self.stop, self.table = depth, code, one.astype(np.float32), stop.astype(np.float32), None
+    def __init__(self, counts: DataFrame, depth: int):
+        self.counts, self.depth = counts, depth
 
-    def _build(self):
-        self.table = np.full(1 << _SLOTS, -1, np.int32)
-        left, probe = np.arange(len(self.code), dtype=np.int32), 0
-        while len(left):
-            slot = self._slot(self.code[left], probe)
-            free = self.table[slot] < 0
-            self.table[slot[free]] = left[free]  # one of several wins; the others go on
-            left, probe = left[self.table[slot] != left], probe + 1
-        self.cache_tag = np.full(1 << _CACHE, np.iinfo(np.uint32).max, np.uint32)
-        self.cache = np.zeros(1 << _CACHE, np.float32)
+    def cached(self, key: np.ndarray) -> np.ndarray:
+        """log2 P(byte | context) of grams."""
+        spark = self.counts.sparkSession
+        asked = spark.createDataFrame(pa.table({"gram": np.unique(key).view(np.int64)}))
+        both = self.counts.unionByName(asked.withColumn("n", F.lit(0).cast("long"))).groupBy("gram").agg(F.sum("n").alias("n"))
+        got = gram_bits(both, self.depth).join(asked, "gram").toArrow()
+        at = got.column("gram").to_numpy().view(np.uint64)
+        order = np.argsort(at)
+        return got.column("bits").to_numpy()[order][np.searchsorted(at[order], key)]
 
-    def __getstate__(self):
-        return {"depth": self.depth, "code": self.code, "one": self.one, "stop": self.stop, "table": None}
 
-    @staticmethod
-    def _slot(code, probe):
-        return (mix(code + np.uint64(probe * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+def train(texts: DataFrame, depth: int = DEPTH) -> Model:
+    """The model of a column of texts."""
+    prepare(texts.sparkSession)
+    return Model(stored(count_grams(texts, depth), "ctw-grams"), depth)
+
 
-    def find(self, code: np.ndarray) -> np.ndarray:
-        """Index of each code, or -1."""
-        out, open_, probe = np.full(len(code), -1, np.int32), np.arange(len(code)), 0
-        while len(open_):
-            at = self.table[self._slot(code[open_], probe)]
-            hit = (at >= 0) & (self.code[np.maximum(at, 0)] == code[open_]) if len(self.code) else np.zeros(len(open_), bool)
-            out[open_[hit]] = at[hit]
-            open_, probe = open_[~hit & (at >= 0)], probe + 1
-        return out
+class Head:
+    """Bits of the most frequent grams in a hash table."""
 
-    def log2(self, key: np.ndarray) -> np.ndarray:
-        """log2 P(byte | context) of grams, by mixing the depths of each decision's path."""
-        total = np.zeros(len(key))
-        byte = key & np.uint64(255)
-        for t in range(8):
-            node = np.uint64(1 << t) | (byte >> np.uint64(8 - t))
-            bit = (byte >> np.uint64(7 - t)) & np.uint64(1)
-            p = np.full(len(key), np.nan)
-            for d in range(self.depth, -1, -1):
-                context = (key >> np.uint64(8)) & np.uint64((1 << (8 * d)) - 1)
-                i = self.find(np.uint64(d << 56) | context << np.uint64(8) | node)
-                got = i >= 0
-                one = self.one[i[got]].astype(np.float64)
-                here = np.where(bit[got] == 1, one, 1 - one)
-                stop = self.stop[i[got]]
-                p[got] = np.where(np.isnan(p[got]), here, stop * here + (1 - stop) * p[got])
-            total += np.log2(np.where(np.isnan(p), 0.5, p))
-        return total
+    def __init__(self, gram: np.ndarray, bits: np.ndarray):
+        self.gram, self.bits, self.key = gram, bits, None
 
-    def cached(self, key: np.ndarray) -> np.ndarray:
-        """``log2`` through a cache of grams seen before in this process."""
-        if self.table is None:
+    def __getstate__(self):
+        return {"gram": self.gram, "bits": self.bits, "key": None}
+
+    def _build(self):
+        self.shift = np.uint64(64 - max(4, (2 * len(self.gram)).bit_length()))
+        self.key = np.full(1 << (64 - int(self.shift)), _FREE)
+        self.value = np.zeros(len(self.key))
+        left, probe = np.arange(len(self.gram)), 0
+        while len(left):
+            slot = self._slot(self.gram[left], probe)
+            free = self.key[slot] == _FREE
+            self.key[slot[free]] = self.gram[left[free]]  # one of several wins; the others go on
+            won = self.key[slot] == self.gram[left]
+            self.value[slot[won]] = self.bits[left[won]]
+            left, probe = left[~won], probe + 1
+
+    def _slot(self, gram, probe):
+        return (mix(gram + np.uint64(probe * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) >> self.shift).astype(np.int64)
+
+    def find(self, gram: np.ndarray) -> np.ndarray:
+        """Bits of each gram; NaN for those that are not there."""
+        if self.key is None:
             self._build()
-        slot, tag = _place(key)
-        out = self.cache[slot].astype(np.float64)
-        miss = np.flatnonzero(self.cache_tag[slot] != tag)
-        if len(miss):
-            new, inv = np.unique(key[miss], return_inverse=True)
-            value = np.concatenate([self.log2(new[lo:lo + (1 << 16)]) for lo in range(0, len(new), 1 << 16)])
-            out[miss] = value[inv]
-            at, tag = _place(new)
-            at, pick = np.unique(at, return_index=True)
-            self.cache_tag[at], self.cache[at] = tag[pick], value[pick]
+        slot = self._slot(gram, 0)
+        there = self.key[slot]
+        out = np.where(there == gram, self.value[slot], np.nan)
+        open_, probe = np.flatnonzero((there != gram) & (there != _FREE)), 1
+        while len(open_):
+            slot = self._slot(gram[open_], probe)
+            there = self.key[slot]
+            hit = there == gram[open_]
+            out[open_[hit]] = self.value[slot[hit]]
+            open_, probe = open_[~hit & (there != _FREE)], probe + 1
         return out
 
 
-def _place(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cache slot and tag of a gram; together they are a one-to-one image of it."""
-    low = np.uint64((1 << _GRAM_BITS) - 1)
-    h = (key * np.uint64(0x9E3779B97F4A7C15)) & low
-    h ^= h >> np.uint64(_GRAM_BITS // 2)
-    h = (h * np.uint64(0xD6E8FEB86659FD93)) & low
-    return (h >> np.uint64(_GRAM_BITS - _CACHE)).astype(np.int64), (h & np.uint64((1 << (_GRAM_BITS - _CACHE)) - 1)).astype(np.uint32)
-
-
-def train(texts: DataFrame, nodes: int = NODES, depth: int = DEPTH) -> Model:
-    """The model of a column of texts."""
-    prepare(texts.sparkSession)
-    tree = stored(trees(stored(count_grams(texts, depth), "ctw-grams"), depth), "ctw-nodes")
-    # visits on a scale of sixteenths of a power of two: some hundred classes at any size of corpus
-    level = F.floor(16 * F.log2(F.col("zeros") + F.col("ones"))).cast("int")
-    sizes = sorted(((r[0], r[1]) for r in tree.groupBy(level.alias("level")).count().collect()), reverse=True)
+def head_of(bits: DataFrame, limit: int) -> Head:
+    """The most frequent rows of ``gram_bits``, about so many at most."""
+    # counts on a scale of sixteenths of a power of two: some hundred classes at any size of corpus
+    level = F.floor(16 * F.log2(F.col("n"))).cast("int")
+    sizes = sorted(((r[0], r[1]) for r in bits.where("n > 0").groupBy(level.alias("level")).count().collect()), reverse=True)
     least, total = 1 << 20, 0
     for at, k in sizes:  # the lowest class that still fits
         total += k
-        if total > nodes:
+        if total > limit:
             break
         least = at
-    got = tree.where(level >= least).select(
-        (F.col("depth").cast("long") * F.lit(1 << 56) + F.col("code")).alias("code"),
-        ((F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)).cast("float").alias("one"), F.col("stop").cast("float").alias("stop")).toArrow()
-    code, one, stop = (got.column(c).to_numpy() for c in ("code", "one", "stop"))
-    return Model(code.astype(np.int64).view(np.uint64), one, stop, depth)
+    got = bits.where((F.col("n") > 0) & (level >= least)).select("gram", "bits").toArrow()
+    return Head(got.column("gram").to_numpy().astype(np.int64).view(np.uint64), got.column("bits").to_numpy().astype(np.float64))
+
+
+def _rare(key: np.ndarray, at: np.ndarray, missing: np.ndarray) -> pa.Array:
+    """The grams at the places ``missing`` of each text, with their counts, as lists of (gram, times)."""
+    row = np.searchsorted(at, missing, side="right") - 1
+    gram = key[missing]
+    order = np.lexsort((gram, row))
+    row, gram = row[order], gram[order]
+    cut = group_starts(row, gram)
+    values = pa.StructArray.from_arrays([pa.array(gram[cut[:-1]].view(np.int64)), pa.array(np.diff(cut))], ["gram", "times"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row[cut[:-1]], np.arange(len(at))), pa.int32()), values)
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
@@ -330,7 +406,8 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
     train_tokens, types = n_words + n_docs, n_types + (n_docs > 0)
     head = counts.orderBy(F.col("c").desc(), "token").limit(HEAD)
     shared = spark.sparkContext.broadcast({bytes(r.token): math.log10(r.c + 1) for r in head.collect()})
-    model = spark.sparkContext.broadcast(train(texts, depth=depth))
+    bits = gram_bits(stored(count_grams(texts, depth, docs.where(F.coalesce(held_out, F.lit(True)))), "ctw-grams"), depth)
+    model = spark.sparkContext.broadcast(head_of(bits, HEAD_GRAMS))
     end = math.log10(n_docs + 1)
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -341,8 +418,11 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
             text, ids, held = batch.column("text"), batch.column("doc_id"), batch.column("held_out")
             for lo, hi, data, offsets in chunks(text, 1 << 20):
                 out, at = streams(data, offsets)
-                bits = m.cached(grams(out, at, depth))
-                log10 = np.add.reduceat(bits, at[:-1]) * math.log10(2)
+                key = grams(out, at, depth)
+                cost = m.find(key)
+                missing = np.flatnonzero(np.isnan(cost))
+                cost[missing] = 0
+                far = _rare(key, at, missing)
                 raw = data.tobytes()
                 n_tokens, n_known, base, rest = [], [], [], []
                 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
@@ -355,20 +435,25 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
                     rest.append(tail)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(number, number + hi - lo)), ids.slice(lo, hi - lo), held.slice(lo, hi - lo), pa.array(n_tokens, pa.int64()),
-                    pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(log10), pa.array(np.diff(at)), pa.array(rest, pa.list_(pa.binary()))],
-                    ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes", "tail"])
+                    pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(np.add.reduceat(cost, at[:-1])), pa.array(np.diff(at)),
+                    pa.array(rest, pa.list_(pa.binary())), far],
+                    ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "bits", "n_bytes", "tail", "far"])
                 number += hi - lo
 
     rows = docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(
-        go, f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, n_bytes bigint, tail array<binary>")
+        go, f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, bits double, n_bytes bigint, "
+            "tail array<binary>, far array<struct<gram: bigint, times: bigint>>")
     rows = stored(rows, "ctw-scores")  # row numbers are fixed by writing them
     rare = rows.select("row", F.explode("tail").alias("token")).join(counts, "token").groupBy("row").agg(
         F.count("*").alias("more"), F.sum(F.log10(F.col("c") + 1)).alias("extra"))
+    more_bits = rows.select("row", F.inline("far")).join(bits.select("gram", F.col("bits").alias("each")), "gram").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("each")).alias("more_bits"))
     size = math.log10(train_tokens + types + 1)
-    return rows.drop("tail").join(rare, "row", "left").select(
+    return rows.drop("tail", "far").join(rare, "row", "left").join(more_bits, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(int(train_tokens)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("extra", F.lit(0.0)) - F.col("n_tokens") * size).alias("base_score"), "score", "n_bytes")
+        (F.col("base") + F.coalesce("extra", F.lit(0.0)) - F.col("n_tokens") * size).alias("base_score"),
+        ((F.col("bits") + F.coalesce("more_bits", F.lit(0.0))) * math.log10(2)).alias("score"), "n_bytes")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -150,6 +150,27 @@ def test_rare_tokens_are_joined(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_known, round(r.base_score, 9)) for r in context_tree.report(docs).collect()) == want
 
 
+def test_scores_use_every_node_of_the_tree(spark):
+    """Random letters three times over: the next letter follows from five before it, in more nodes than were once kept."""
+    text = "".join(random.Random(8).choices("abcdefghijklmnopqrstuvwxyz", k=200_000))
+    docs = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
+    for r in context_tree.score(docs, F.lit(False)).collect():
+        assert -r.score / math.log10(2) / r.n_bytes < 3  # 4.7 for single letters
+
+
+@pytest.mark.parametrize("head", [0, 3, 1 << 21])
+def test_scores_equal_the_definition_with_any_head(spark, monkeypatch, head):
+    monkeypatch.setattr(context_tree, "HEAD_GRAMS", head)
+    texts = ["abracadabra abra", "Cadabra\n abra", "é b", "", None, "zebra cadab\x00 qué", "abra abra abra"]
+    streams = [b" ".join(low(t).encode().split()) + b"\n" for t in texts]
+    plain = PlainTree([s for i, s in enumerate(streams) if i < 5], 3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in context_tree.score(docs, F.col("doc_id") >= 5, depth=3).collect()}
+    for i, s in enumerate(streams):
+        padded = b"\n\n\n" + s
+        assert math.isclose(got[i], sum(math.log10(plain.p(padded[k:k + 3], padded[k + 3])) for k in range(len(s))), rel_tol=1e-5)
+
+
 # --- 4 ordinal classifier, 9 toxicity
 
 def test_ordinal_on_held_out_rows(spark):
