@@ -1,6 +1,8 @@
 """Approximate nearest neighbours by cosine: an NN-descent graph and greedy search on it.
 
-Building: vectors that are equal are one node.  ``TREES`` rounds of random
+Building: vectors that are equal after normalising are one node; nodes are
+numbered by their least id, so wherever candidates are cut, ties go to the node
+with the smaller id.  ``TREES`` rounds of random
 hyperplane signs deal the nodes into buckets of about ``LEAF`` and give each
 node a first list of ``K`` neighbours.  Then iterations of Spark joins let
 neighbours of neighbours meet: a node's forward and (sampled) reverse
@@ -51,22 +53,38 @@ RERANK = 80
 _LIST = "node bigint, ids binary, sims binary"
 
 
-def nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(points: node, vec - float64 bytes; members: node, vec_id, the TOP + 1 least ids of a node)."""
+def nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(points: node, same, vec - float64 bytes of its least id; members: node, vec_id, the TOP + 1 least ids of a node; rows: vec_id, same).
+
+    ``same`` is a hash of the normalised vector.
+    """
     prepare(vectors.sparkSession)
     clean = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).where(
         "vec_id IS NOT NULL AND v IS NOT NULL AND NOT exists(v, x -> x IS NULL OR isnan(x) OR abs(x) = double('infinity')) AND exists(v, x -> x <> 0)")
-    clean = stored(clean.select("vec_id", F.xxhash64("v").alias("node"), "v"), "nnd-rows")
+    clean = stored(clean, "nnd-clean")
     width = clean.agg(F.max(F.size("v"))).first()[0] or 0
 
     def pack(column: pa.Array) -> pa.Array:
         out = [np.pad(np.asarray(x, np.float64), (0, width - len(x))).tobytes() for x in (c.values.to_numpy() for c in column)]
         return pa.array(out, pa.binary())
 
-    points = clean.select("node", F.arrow_udf(pack, "binary")("v").alias("vec")).dropDuplicates(["node"])
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
-    members = clean.select("node", "vec_id").distinct().withColumn("rank", rank).where(F.col("rank") <= TOP + 1).drop("rank")
-    return stored(points, "nnd-points"), stored(members, "nnd-members")
+    def direction(column: pa.Array) -> pa.Array:
+        if not len(column):
+            return pa.array([], pa.binary())
+        x = np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1)
+        x = x / np.abs(x).max(axis=1, keepdims=True)
+        x = x / np.sqrt((x * x).sum(axis=1, keepdims=True)) + 0.0  # no negative zeros
+        return pa.array([r.tobytes() for r in x], pa.binary())
+
+    rows = clean.select("vec_id", F.arrow_udf(pack, "binary")("v").alias("vec"))
+    rows = stored(rows.withColumn("same", F.xxhash64(F.arrow_udf(direction, "binary")("vec"))), "nnd-rows")
+    points = rows.groupBy("same").agg(F.min(F.struct("vec_id", "vec")).alias("least"))
+    points = points.orderBy("least.vec_id", "same").select(F.monotonically_increasing_id().alias("node"), "same", F.col("least.vec").alias("vec"))
+    points = stored(points, "nnd-points")  # numbers are fixed by writing them
+    rank = F.row_number().over(Window.partitionBy("same").orderBy("vec_id"))
+    members = rows.select("same", "vec_id").distinct().withColumn("rank", rank).where(F.col("rank") <= TOP + 1)
+    members = members.join(points.select("same", "node"), "same").select("node", "vec_id")
+    return points, stored(members, "nnd-members"), rows.select("vec_id", "same")
 
 
 def _unit(raw: list[bytes]) -> np.ndarray:
@@ -94,7 +112,8 @@ def _lists(node, ids: list, sims: list) -> pa.RecordBatch:
 
 
 def _best(sim: np.ndarray, k: int) -> np.ndarray:
-    """Columns of the k greatest values of each row."""
+    """Columns of the k greatest values of each row; ties go to the first columns."""
+    sim = sim - 1e-12 * np.arange(sim.shape[1])
     return np.argpartition(-sim, k - 1, axis=1)[:, :k] if k < sim.shape[1] else np.tile(np.arange(sim.shape[1]), (len(sim), 1))
 
 
@@ -307,10 +326,10 @@ def _cosine(a: pa.Array, b: pa.Array) -> pa.Array:
 
 def nearest(vectors: DataFrame, asked: Column, top: int = TOP) -> DataFrame:
     """query_id, rank, vec_id, score of each asked row's nearest others (``asked``: a condition on vec_id)."""
-    points, members = nodes(vectors)
+    points, members, rows = nodes(vectors)
     lists, codes = build(points)
-    every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.xxhash64(F.col("embedding").cast("array<double>")).alias("node"))
-    queries = stored(every.where(asked).distinct().join(points.select("node"), "node").select("node", F.col("vec_id").alias("query_id")), "nnd-queries")
+    queries = rows.where(asked).distinct().join(points.select("same", "node"), "same").select("node", F.col("vec_id").alias("query_id"))
+    queries = stored(queries, "nnd-queries")
     pool = search(lists, codes, queries)
     pool = pool.unionByName(queries.select(F.col("node").alias("q"), "node").distinct())  # equal vectors under other ids
     x, y = points.select(F.col("node").alias("q"), F.col("vec").alias("x")), points.select("node", F.col("vec").alias("y"))

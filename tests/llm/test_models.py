@@ -326,6 +326,19 @@ def test_recall_with_a_third_in_one_tight_cluster(spark):
     assert _recall(spark, np.concatenate([tight, rng.normal(size=(2000, 16))]), rng.permutation(3000)) >= 0.9
 
 
+def test_ties_go_to_the_smaller_id(spark):
+    """Forty vectors at one angle to the query, and forty multiples of one vector."""
+    e = np.eye(100)
+    rng = np.random.default_rng(6)
+    vectors = np.concatenate([e[:1], e[0] + e[1:41], e[50:51] * 2.0 ** np.arange(-20, 20)[:, None], e[50:51] + e[60:62], -0.0 - e[70:90]])
+    ids = np.concatenate([[0], rng.permutation(np.arange(1, 41)), 50 + rng.permutation(40), [93, 94], np.arange(101, 121)])
+    table = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nn_descent.nearest(table, F.col("vec_id").isin(0, 50)).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    assert got == {0: {k: k for k in range(1, 6)}, 50: {k: 50 + k for k in range(1, 6)}}
+
+
 # --- the pipeline, stage by stage
 
 def test_pipeline_stages_by_brute_force(spark):
