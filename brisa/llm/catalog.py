@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisa.llm import chosen_path, context_tree, licences, mixing, nn_descent, ordinal, phrase_index, secrets, toxicity, url_rules
+from brisa.llm import chosen_path, context_tree, licences, mixing, nn_descent, ordinal, phrase_index, secrets, toxicity, url_rules, whitening
 from brisa.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +227,8 @@ w AS (SELECT rid, doc_id, sha256(array_to_string(lines, ' ')) AS digest FROM d),
 n AS (SELECT rid, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FROM (SELECT rid, sha256(l) AS digest FROM (SELECT rid, unnest(lines) AS l FROM d)) JOIN kd USING (digest) GROUP BY rid)
 SELECT doc_id, digest, name AS licence, coalesce(notices, '') AS notices FROM w LEFT JOIN kd USING (digest) LEFT JOIN n USING (rid)
 """
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
