@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisa.llm import chosen_path, context_tree, licences, mixing, nn_descent, ordinal, phrase_index, secrets, toxicity, url_rules, whitening
+from brisa.llm import chosen_path, context_tree, licences, lsh_forest, mixing, nn_descent, ordinal, phrase_index, secrets, toxicity, url_rules, whitening
 from brisa.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,3 +232,28 @@ SELECT doc_id, digest, name AS licence, coalesce(notices, '') AS notices FROM w
 @query
 def op11_whitening(spark, sf_dir):
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op13_lsh_forest(spark, sf_dir):
+    return lsh_forest.cluster(documents(spark, sf_dir))
+
+
+ORACLE["op13_lsh_forest"] = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(
+       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT rid, array_to_string(w[i:i + least(len(w), 2) - 1], ' ') AS t
+      FROM (SELECT rid, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)),
+sets AS (SELECT rid, md5(string_agg(t, '|' ORDER BY t)) AS k, count(*) AS n FROM s GROUP BY rid),
+reps AS (SELECT k, min(rid) AS rid, any_value(n) AS n FROM sets GROUP BY k),
+rs AS (SELECT rid, t, n FROM s JOIN reps USING (rid)),
+near AS (SELECT x.rid AS a, y.rid AS b FROM rs x JOIN rs y ON x.t = y.t AND x.rid < y.rid AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)
+         GROUP BY x.rid, y.rid, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+sym AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near UNION ALL SELECT rid, rid FROM reps),
+reach(a, b) AS (SELECT a, b FROM sym UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a),
+root AS (SELECT a AS rep, min(b) AS root FROM reach GROUP BY a),
+m AS (SELECT sets.rid, sets.n, root FROM sets JOIN reps r USING (k) JOIN root ON root.rep = r.rid),
+cls AS (SELECT root, min(doc_id) AS component_id FROM m JOIN d USING (rid) GROUP BY root)
+SELECT d.doc_id, coalesce(m.n, 0)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, d.doc_id IS NOT DISTINCT FROM coalesce(component_id, d.doc_id) AS kept
+FROM d LEFT JOIN m USING (rid) LEFT JOIN cls USING (root)
+"""
