@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisa.llm import chosen_path, context_tree, licences, lsh_forest, mixing, nn_descent, ordinal, phrase_index, secrets, toxicity, url_rules, whitening
+from brisa.llm import chosen_path, collocations, context_tree, licences, lsh_forest, mixing, nn_descent, ordinal, phrase_index, secrets, toxicity, url_rules, whitening
 from brisa.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -257,3 +257,27 @@ cls AS (SELECT root, min(doc_id) AS component_id FROM m JOIN d USING (rid) GROUP
 SELECT d.doc_id, coalesce(m.n, 0)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, d.doc_id IS NOT DISTINCT FROM coalesce(component_id, d.doc_id) AS kept
 FROM d LEFT JOIN m USING (rid) LEFT JOIN cls USING (root)
 """
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    return collocations.mine(documents(spark, sf_dir))
+
+
+ORACLE["op12_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) AS s(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS c FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND c >= 30),
+cut AS (SELECT *, array_to_string(w[1:i], ' ') AS lp, array_to_string(w[i + 1:], ' ') AS rp FROM (SELECT *, unnest(range(1, k)) AS i FROM cand)),
+sc AS (SELECT cut.lang, cut.phrase, cut.k, cut.a, i, x.c AS l, y.c AS r, (2000000::HUGEINT * cut.a) // (x.c + y.c) AS score
+       FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = lp JOIN f y ON y.lang = cut.lang AND y.phrase = rp),
+best AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM cand c WHERE c.lang = b.lang AND c.k > b.k
+         AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * c.a >= 80 * b.a)),
+top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase ASC) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM top JOIN n USING (lang) WHERE rank <= 2000
+"""
