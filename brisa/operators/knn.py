@@ -1,21 +1,16 @@
-"""Exact k-nearest-neighbour regression built from equi-joins.
+"""Exact k-nearest-neighbour regression built from equi-joins, for any number of features.
 
-No cross join and no all-pairs step: candidates come from leaves of about
-equal counts.
+No cross join and no all-pairs step: candidates come from leaves of bounded size.
 
 1. Training rows are deduplicated per exact feature point down to ``k``
    rows (lowest ids) - rows past the k-th at one point can never be among
    the k nearest.  ``row_number() <= k`` plans as a ``WindowGroupLimit``
    that trims map-side, so a point holding a third of all rows is cut
    before the shuffle.
-2. Quantiles of the first feature cut the rows into strips, quantiles of the
-   second cut each strip into leaves.  Leaves follow the counts, so dense
-   spots get small leaves and an outlier costs nothing.  There are at most
-   ``SIDE * SIDE`` leaves in a group; each is known by its bounding box and
-   row counts, and a group's leaves are one row, joined to its queries.
-3. A query takes the least radius r for which the boxes that lie wholly
-   within r hold ``k`` rows.  All of the k nearest lie within r, hence in
-   leaves whose box comes within r: these (few) leaves are its candidates.
+2. ``leaves.build`` splits the rows level by level into leaves of at most
+   ``leaf_rows(k)`` rows, whatever their number, and keeps the tree as a table.
+3. ``leaves.candidates`` walks every query down the tree; all of its k
+   nearest lie in the few leaves it ends with.
 4. One equi-join on the leaf and one ranking by ``(distance, id)``.
 
 Ties are broken by training id, so the result is deterministic and equals
@@ -24,22 +19,21 @@ restrict neighbours to the same group.  ``admit`` relates a tag of the
 query to a tag of the training row (few different values, e.g. CV folds):
 ``"other"`` takes rows with another tag, ``"upto"`` rows with a tag of at
 most the query's.  So all folds share one index, and every row is in it once.
+An index can be built once, saved, and searched by many jobs (``build_index``,
+``search``).
 """
 
 from __future__ import annotations
 
+import functools
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brisa.operators import leaves as LV
 from brisa.session import cut_lineage
 
-EPS = 1e-9
-#: Most strips of a group, and most leaves of a strip (powers of two).
-SIDE = 64
-#: Rows of a leaf, as a multiple of k, as long as a group has fewer than SIDE * SIDE leaves.
-LEAF_ROWS = 4
 ADMIT = {None: "true", "other": "{t} <> {q}", "upto": "{t} <= {q}"}
 
 
@@ -71,27 +65,49 @@ def _finite(c: str) -> Column:
     return F.col(c).isNotNull() & ~F.isnan(F.col(c)) & (F.abs(F.col(c)) < F.lit(float("inf")))
 
 
-def _cut(value: str, cuts: str) -> Column:
-    """How many of the ascending ``cuts`` lie below ``value``."""
-    return F.expr(f"size(filter({cuts}, c -> c < {value}))")
+def _all_finite(cols: Sequence[str]) -> Column:
+    return functools.reduce(Column.__and__, [_finite(c) for c in cols])
 
 
-def _leaves(tr: DataFrame, k: int, one_group: bool = True) -> DataFrame:
-    """``tr`` (g, a, b, ...) with ``leaf``, a number within its group."""
-    small = F.broadcast if one_group else lambda df: df  # one group: at most SIDE rows
-    every = F.array(*[F.lit(i / SIDE) for i in range(1, SIDE)])
+def leaf_rows(k: int) -> int:
+    """Most rows of a leaf: small leaves bound the k nearest tightly, so few rows are ranked."""
+    return max(16, k // 2)
 
-    total = F.count(F.lit(1))
-    # strips = leaves of a strip = 2 ** ceil(log4(rows / leaf rows))
-    side = F.least(F.lit(SIDE), F.pow(F.lit(2), F.ceil(F.log2(F.greatest(total / (LEAF_ROWS * k), F.lit(1.0))) / 2))).cast("int")
-    strips = tr.groupBy("g").agg(F.percentile_approx("a", every).alias("q"), side.alias("side"))
-    every_nth = f"array_distinct(filter(q, (x, i) -> (i + 1) % ({SIDE} DIV side) = 0))"
-    strips = strips.select("g", "side", F.expr(every_nth).alias("xs"))
-    dealt = tr.join(small(strips), "g").withColumn("strip", _cut("a", "xs")).drop("xs")
-    inner = dealt.groupBy("g", "strip").agg(F.percentile_approx("b", every).alias("q"), F.max("side").alias("side"))
-    inner = inner.select("g", "strip", F.expr(every_nth).alias("ys"))
-    out = dealt.drop("side").join(small(inner), ["g", "strip"])
-    return out.withColumn("leaf", F.col("strip") * SIDE + _cut("b", "ys")).drop("strip", "ys")
+
+def build_index(train: DataFrame, k: int, features: Sequence[str] = ("x1", "x2"), train_id: str = "id", y_col: str = "y",
+                group_col: str | None = None, carry: Sequence[str] = (), tag_col: str | None = None) -> LV.Directory:
+    """Leaf directory of the training rows, for searches of up to ``k`` neighbours."""
+    group = F.col(group_col) if group_col else F.lit(0)
+    tag = F.col(tag_col).cast("int") if tag_col else F.lit(0)
+    at = [f"c{i}" for i in range(len(features))]
+    tr = train.select(group.alias("g"), tag.alias("t"), F.col(train_id).alias("rid"), *(_d(f).alias(c) for f, c in zip(features, at)),
+                      _d(y_col).alias("y"), *carry).filter(_all_finite(at))
+    # at most k rows per exact feature point and tag (lowest ids win ties anyway)
+    same = Window.partitionBy("g", "t", *at).orderBy("rid")
+    tr = tr.withColumn("__dup", F.row_number().over(same)).filter(F.col("__dup") <= k).drop("__dup")
+    return LV.build(tr, len(features), leaf_rows(k))
+
+
+def search(index: LV.Directory, test: DataFrame, k: int, features: Sequence[str] = ("x1", "x2"), test_id: str = "id",
+           group_col: str | None = None, carry: Sequence[str] = (), tag_col: str | None = None, admit: str | None = None) -> DataFrame:
+    """The ``k`` nearest rows of an index (built for ``k`` or more) for every row of ``test``; see ``nearest``."""
+    group = F.col(group_col) if group_col else F.lit(0)
+    tag = F.col(tag_col).cast("int") if admit else F.lit(0)
+    at, asked = [f"c{i}" for i in range(len(features))], [f"q{i}" for i in range(len(features))]
+    te = test.select(group.alias("g"), tag.alias("qt"), F.col(test_id).alias("qid"), *(_d(f).alias(c) for f, c in zip(features, asked))).filter(_all_finite(asked))
+    # a constant group would fold the join with the directory into a cross join; a checkpointed one is a plain key
+    te = cut_lineage(te)
+    met = LV.candidates(index, te, k, ADMIT[admit]).join(index.rows, ["g", "path"]).filter(F.expr(ADMIT[admit].format(t="t", q="qt")))
+    d2 = _distance(asked, at)
+    met = met.select((F.col("qt") if admit else F.col("g")).alias("g"), "qid", "rid", "y", d2.alias("d2"), *carry)
+    order = Window.partitionBy("g", "qid").orderBy("d2", "rid")
+    ranked = met.withColumn("rk", F.row_number().over(order)).filter(F.col("rk") <= k)
+    return ranked.select("g", "qid", "rk", "rid", "y", "d2", *carry)
+
+
+def _distance(asked: Sequence[str], at: Sequence[str]) -> Column:
+    parts = [(F.col(q) - F.col(c)) * (F.col(q) - F.col(c)) for q, c in zip(asked, at)]
+    return functools.reduce(Column.__add__, parts)
 
 
 def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] = ("x1", "x2"),
@@ -107,45 +123,8 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
     are neither neighbours nor queries; an id may be asked once for each
     group or tag.
     """
-    a, b = features
-    group = F.col(group_col) if group_col else F.lit(0)
-    tag = F.col(tag_col).cast("int") if admit else F.lit(0)
-    tr = train.select(group.alias("g"), tag.alias("t"), F.col(train_id).alias("rid"), _d(a).alias("a"),
-                      _d(b).alias("b"), _d(y_col).alias("y"), *carry).filter(_finite("a") & _finite("b"))
-    te = test.select(group.alias("g"), tag.alias("t"), F.col(test_id).alias("qid"), _d(a).alias("qa"),
-                     _d(b).alias("qb")).filter(_finite("qa") & _finite("qb"))
-    # at most k rows per exact feature point and tag (lowest ids win ties anyway)
-    same = Window.partitionBy("g", "t", "a", "b").orderBy("rid")
-    tr = tr.withColumn("__dup", F.row_number().over(same)).filter(F.col("__dup") <= k).drop("__dup")
-    # a constant group would fold the join with the boxes into a cross join; a checkpointed one is a plain key
-    te = cut_lineage(te)
-    # read for the quantiles, the boxes and the candidates: worked out once
-    tr = cut_lineage(_leaves(cut_lineage(tr), k, group_col is None))
-    boxes = tr.groupBy("g", "leaf", "t").agg(
-        F.min("a").alias("x0"), F.max("a").alias("x1"), F.min("b").alias("y0"), F.max("b").alias("y1"), F.count(F.lit(1)).alias("n"))
-    boxes = boxes.groupBy("g", "leaf").agg(
-        F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"),
-        F.collect_list(F.struct("t", "n")).alias("tags"))
-    # at most SIDE * SIDE structs for each group
-    boxes = boxes.groupBy("g").agg(F.collect_list(F.struct("leaf", "x0", "x1", "y0", "y1", "tags")).alias("boxes"))
-    may = ADMIT[admit]
-    near = """transform(boxes, b -> named_struct(
-        'far', pow(greatest(abs(qa - b.x0), abs(qa - b.x1)), 2) + pow(greatest(abs(qb - b.y0), abs(qb - b.y1)), 2),
-        'n', aggregate(b.tags, 0L, (s, e) -> s + IF({may}, e.n, 0L)), 'leaf', b.leaf,
-        'near', pow(greatest(b.x0 - qa, qa - b.x1, 0D), 2) + pow(greatest(b.y0 - qb, qb - b.y1, 0D), 2)))""".format(may=may.format(t="e.t", q="t"))
-    reach = f"""aggregate(array_sort(seen), named_struct('n', 0L, 'r', 0D), (s, x) ->
-        IF(s.n >= {int(k)}, s, named_struct('n', s.n + x.n, 'r', x.far)), s -> s.r)"""
-    asked = te.join(boxes if group_col else F.broadcast(boxes), "g").withColumn("seen", F.expr(near)).drop("boxes")
-    asked = asked.withColumn("seen", F.expr("filter(seen, x -> x.n > 0)")).withColumn("r", F.expr(reach))
-    leaf = F.explode(F.expr(f"transform(filter(seen, x -> x.near <= r * (1 + {EPS})), x -> x.leaf)")).alias("leaf")
-    asked = asked.select("g", F.col("t").alias("qt"), "qid", "qa", "qb", leaf)
-    met = asked.join(tr, ["g", "leaf"]).filter(F.expr(may.format(t="t", q="qt")))
-    d2 = ((F.col("qa") - F.col("a")) * (F.col("qa") - F.col("a"))
-          + (F.col("qb") - F.col("b")) * (F.col("qb") - F.col("b")))
-    met = met.select((F.col("qt") if admit else F.col("g")).alias("g"), "qid", "rid", "y", d2.alias("d2"), *carry)
-    order = Window.partitionBy("g", "qid").orderBy("d2", "rid")
-    ranked = met.withColumn("rk", F.row_number().over(order)).filter(F.col("rk") <= k)
-    return ranked.select("g", "qid", "rk", "rid", "y", "d2", *carry)
+    index = build_index(train, k, features, train_id, y_col, group_col, carry, tag_col if admit else None)
+    return search(index, test, k, features, test_id, group_col, carry, tag_col, admit)
 
 
 def knn_predict(train: DataFrame, test: DataFrame, k: int, **kw) -> DataFrame:
@@ -175,8 +154,7 @@ def knn_lattice(train: DataFrame, test: DataFrame, k: int, features: Sequence[st
     reaches ``k`` rows is taken whole, so the prediction is the weighted
     mean over whole points (a documented tie policy, not row-exact).
     """
-    a, b = features
-    keys = ([group_col] if group_col else []) + [a, b]
+    keys = ([group_col] if group_col else []) + list(features)
     pts = train.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(_d(y_col)).alias("sum_y"),
                                    F.min(train_id).alias("pid"))
     nb = nearest(pts, test, k, features, "pid", test_id, "sum_y", group_col, carry=["n"])

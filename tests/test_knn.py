@@ -63,9 +63,9 @@ def test_outliers_neither_grow_leaves_nor_candidates(spark):
     k = 5
     x = rng.random((20_000, 2))
     x[0] = [1e6, 1e6]
-    tr = spark.createDataFrame(pd.DataFrame({"g": 0, "rid": np.arange(len(x)), "a": x[:, 0], "b": x[:, 1]}))
-    sizes = KNN._leaves(tr, k).groupBy("leaf").count().toPandas()["count"]
-    assert sizes.sum() == len(x) and sizes.max() <= 3 * KNN.LEAF_ROWS * k
+    tr = spark.createDataFrame(pd.DataFrame({"id": np.arange(len(x)), "x1": x[:, 0], "x2": x[:, 1], "y": 1.0}))
+    sizes = KNN.build_index(tr, k).rows.groupBy("path").count().toPandas()["count"]
+    assert sizes.sum() == len(x) and sizes.max() <= KNN.leaf_rows(k)
     train = pd.DataFrame({"id": np.arange(len(x)), "x1": x[:, 0], "x2": x[:, 1], "y": 1.0, "g": 0})
     test = pd.DataFrame({"id": np.arange(40), "x1": np.append(rng.random(39), 5e5), "x2": np.append(rng.random(39), 0.5), "g": 0})
     df = KNN.nearest(spark.createDataFrame(train), spark.createDataFrame(test), k)

@@ -33,14 +33,14 @@ def assert_plain(df):
 def cuts(monkeypatch):
     """Every plan that ends in a checkpoint is looked at too."""
     from brisa import session
-    from brisa.operators import evaluate, knn
+    from brisa.operators import evaluate, knn, leaves
     from brisa.plans import catalog_models, jobs, wind
 
     def checked(df):
         assert_plain(df)
         return session.cut_lineage(df)
 
-    for module in (evaluate, knn, catalog_models, jobs, wind):
+    for module in (evaluate, knn, leaves, catalog_models, jobs, wind):
         monkeypatch.setattr(module, "cut_lineage", checked)
 
 
