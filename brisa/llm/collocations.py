@@ -3,13 +3,15 @@ r"""Collocations of 2 to 4 words, counted by weighted acyclic automata.
 Texts are lower-cased (A-Z), split at ``[.,;:!?\x0A-\x0D]`` into pieces and
 those into words ``[^\x20\x09]+``; all counts are per language.
 
-1. Words, then pairs of frequent neighbours, are counted (map-side first).  A
-   phrase and its parts occur at least ``LEAST`` times only if all its words and
-   pairs do, so the two tables say which phrases need counting.  They go to the
-   tasks as bit filters of a fixed size: a false hit costs work, never a result.
+1. Words, then pairs of frequent neighbours, are tallied: tasks merge (hash,
+   count) arrays of their texts and hand them out by ranges of the hash, where they
+   are merged again.  A phrase and its parts occur at least ``LEAST`` times only if all
+   its words and pairs do, so the two tallies say which phrases need counting.  They go
+   to the tasks as bit filters of a fixed size.  A false hit, of the hash or the filter,
+   costs work, never a result: what is counted is counted by its words.
 2. Each task sorts its shard's phrases and builds count transducers
    (``automata.Builder``), one for each range of the order of (language, first
-   two words); ranges are cut from the table of pairs, so no range is hot.
+   two words); a sample of the texts says where to cut, so no range is hot.
 3. Transducers of one range are united, weights summed, a bounded number of
    phrases at a time; phrases under ``LEAST`` go and the rest is a transducer again.
 4. The phrases of these transducers are the candidates.  Their parts, sorted,
@@ -42,9 +44,13 @@ SCALE = 2_000_000
 INSIDE = 80
 TOP = 2000
 #: Texts of about so many bytes are one shard.
-SHARD = 8 << 20
-#: Phrases of a shard or of pending parts that a range is meant to hold.
-RANGE = 1 << 20
+SHARD = 3 << 20
+#: Phrases that wait to be merged in a task, or to be united.
+HELD = 1 << 21
+#: Words of the corpus for each range of the tallies and of the transducers.
+TALLY, RANGE = 4 << 20, 16 << 20
+#: Texts to take the limits of the ranges from.
+SAMPLE = 4000
 #: Bits of a filter (8 MB).
 BITS = 1 << 26
 
@@ -167,39 +173,93 @@ def _lang_column(shard: Shard, number: np.ndarray) -> pa.Array:
     return pa.array([x.decode() for x in shard.langs], pa.string()).take(pa.array(number))
 
 
-def _words(texts: DataFrame) -> DataFrame:
-    """lang, phrase, h, n of every word."""
+def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, and their summed counts."""
+    h, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    order = np.argsort(h)
+    h, n = h[order], n[order]
+    starts = group_starts(h) if len(h) else np.zeros(1, np.int64)
+    return h[starts[:-1]], np.add.reduceat(n, starts[:-1]) if len(h) else n
 
-    def count(batches):
-        for s in _shards(batches):
-            yield pa.RecordBatch.from_arrays([_lang_column(s, s.one_lang), _strings(s.vocabulary.take(pa.array(s.one_word))), pa.array(s.one_h.view(np.int64)), pa.array(s.one_n)], ["lang", "phrase", "h", "n"])
 
-    return stored(texts.mapInArrow(count, "lang string, phrase string, h bigint, n bigint").groupBy("lang", "phrase", "h").agg(F.sum("n").alias("n")), "coll-words")
+def _tally(texts: DataFrame, slots: int, pick, name: str) -> DataFrame:
+    """h, n of the frequent among the (hash, count) arrays that ``pick`` gives for a shard; lang, n of all words where h is null."""
 
+    def tally(batches):
+        held, size = [], 0
 
-def _pairs(texts: DataFrame, frequent) -> DataFrame:
-    """lang, phrase, h, n of the pairs of frequent words that are frequent."""
+        def out():
+            h, n = _merged(held)
+            slot = ((h >> np.uint64(40)) * np.uint64(slots)) >> np.uint64(24)
+            edge = np.searchsorted(slot, np.arange(slots + 1, dtype=np.uint64))
+            some = np.flatnonzero(np.diff(edge))
+            raw = lambda x: pa.array([x[edge[i]:edge[i + 1]].tobytes() for i in some], pa.binary())
+            nothing = pa.nulls(len(some), pa.string()), pa.nulls(len(some), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), raw(h), raw(n.astype(np.int64)), *nothing], ["slot", "h", "n", "lang", "words"])
 
-    def count(batches):
         for s in _shards(batches):
-            parent, word, n, h = s.pairs(frequent.value)
-            both = pc.binary_join_element_wise(s.vocabulary.take(pa.array(s.one_word[parent])), s.vocabulary.take(pa.array(word)), pa.scalar(b" ", pa.large_binary()))
-            yield pa.RecordBatch.from_arrays([_lang_column(s, s.one_lang[parent]), _strings(both), pa.array(h.view(np.int64)), pa.array(n)], ["lang", "phrase", "h", "n"])
+            held.append(pick(s))
+            size += len(held[-1][0])
+            if size > HELD:
+                yield out()
+                held, size = [], 0
+            total = np.bincount(s.one_lang, s.one_n, len(s.langs)).astype(np.int64)
+            k = len(total)
+            yield pa.RecordBatch.from_arrays([pa.array([-1] * k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array([x.decode() for x in s.langs], pa.string()), pa.array(total)], ["slot", "h", "n", "lang", "words"])
+        if held:
+            yield out()
+
+    def merge(batches):
+        slot, held, size = None, [], 0
+
+        def out():
+            h, n = _merged(held)
+            h, n = h[n >= LEAST], n[n >= LEAST]
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n), pa.nulls(len(h), pa.string())], ["h", "n", "lang"])
 
-    counted = texts.mapInArrow(count, "lang string, phrase string, h bigint, n bigint").groupBy("lang", "phrase", "h").agg(F.sum("n").alias("n"))
-    return stored(counted.where(F.col("n") >= LEAST), "coll-pairs")
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("slot", "h", "n", "lang", "words")]
+            plain = [(lang, words) for at, _, _, lang, words in zip(*cols) if at < 0]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(plain), pa.int64()), pa.array([p[1] for p in plain], pa.int64()), pa.array([p[0] for p in plain], pa.string())], ["h", "n", "lang"])
+            for at, h, n, _, _ in zip(*cols):
+                if at < 0:
+                    continue
+                if at != slot:
+                    if held:
+                        yield out()
+                    slot, held, size = at, [], 0
+                held.append((np.frombuffer(h, np.uint64), np.frombuffer(n, np.int64)))
+                size += len(held[-1][0])
+                if size > max(HELD, 2 * len(held[0][0])):
+                    held = [_merged(held)]
+                    size = len(held[0][0])
+        if held:
+            yield out()
+
+    counted = texts.mapInArrow(tally, "slot int, h binary, n binary, lang string, words bigint")
+    # the languages' totals of single shards have no slot and go anywhere
+    dealt = counted.repartition(F.when(F.col("slot") >= 0, F.col("slot")).otherwise(F.xxhash64("words"))).sortWithinPartitions("slot")
+    return stored(dealt.mapInArrow(merge, "h bigint, n bigint, lang string"), name)
 
 
 def _key(lang: str, phrase: str) -> tuple:
     return (lang.encode(), *(phrase.encode().split(b" ") + [b""])[:2])
 
 
-def _bounds(pairs: DataFrame) -> list[tuple]:
-    """(language, word, word) limits of ranges with about equally many pairs; their number follows the pairs' occurrences."""
-    n = pairs.agg(F.sum("n")).first()[0] or 0
-    ranges = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-3 * n // RANGE))
-    least = pairs.select("lang", "phrase").repartitionByRange(ranges, "lang", "phrase").groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("lang", "phrase")).alias("low")).select("low.*")
-    return sorted(_key(r.lang, r.phrase) for r in least.collect())
+def _bounds(texts: DataFrame, rows: int, ranges: int, frequent, frequent_pairs) -> list[tuple]:
+    """(language, word, word) limits of ranges with about equally many pairs in a sample of the texts."""
+
+    def count(batches):
+        for s in _shards(batches):
+            parent, word, n, h = s.pairs(frequent.value)
+            keep = np.flatnonzero(frequent_pairs.value.has(h))
+            both = pc.binary_join_element_wise(s.vocabulary.take(pa.array(s.one_word[parent[keep]])), s.vocabulary.take(pa.array(word[keep])), pa.scalar(b" ", pa.large_binary()))
+            yield pa.RecordBatch.from_arrays([_lang_column(s, s.one_lang[parent[keep]]), _strings(both)], ["lang", "phrase"])
+
+    some = texts.sample(min(1.0, SAMPLE / max(rows, 1)), 12) if rows > SAMPLE else texts
+    found = some.mapInArrow(count, "lang string, phrase string").repartitionByRange(ranges, "lang", "phrase")
+    least = found.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("lang", "phrase")).alias("low")).select("low.*")
+    return sorted({_key(r.lang, r.phrase) for r in least.collect()})
 
 
 def _shard_ranges(s: Shard, bounds: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
@@ -272,7 +332,7 @@ def _united(transducers: DataFrame) -> DataFrame:
                 a = Automaton.unpack(raw)
                 parts.append((a.labels, *a.phrases()))
                 pending += len(parts[-1][2])
-                if pending > max(RANGE, 2 * len(parts[0][2])):
+                if pending > max(HELD, 2 * len(parts[0][2])):
                     parts = [union(parts)]
                     pending = len(parts[0][2])
         if parts:
@@ -366,12 +426,20 @@ def mine(docs: DataFrame, top: int = TOP) -> DataFrame:
     prepare(spark)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     share = spark.sparkContext.broadcast
-    counted = _words(texts)
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
-    frequent = share(_filter(counted.where(F.col("n") >= LEAST)))
-    pairs = _pairs(texts, frequent)
-    bounds = share(_bounds(pairs))
-    counts = _united(_transducers(texts, frequent, share(_filter(pairs)), bounds))
+    size = texts.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    size_words, least = (size.bytes or 0) // 6, 2 * spark.sparkContext.defaultParallelism
+    slots, ranges = (max(least, -(-size_words // k)) for k in (TALLY, RANGE))
+    counted = _tally(texts, slots, lambda s: (s.one_h, s.one_n), "coll-words")
+    totals = counted.where("h IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    frequent = share(_filter(counted.where("h IS NOT NULL")))
+
+    def of_pairs(s):
+        _, _, n, h = s.pairs(frequent.value)
+        return h, n
+
+    frequent_pairs = share(_filter(_tally(texts, slots, of_pairs, "coll-pairs").where("h IS NOT NULL")))
+    bounds = share(_bounds(texts, size.rows, ranges, frequent, frequent_pairs))
+    counts = _united(_transducers(texts, frequent, frequent_pairs, bounds))
     candidates = _candidates(counts)
     scored = _scores(candidates, counts, bounds).join(_contained(candidates), ["lang", "phrase"], "left")
     kept = scored.where(f"around IS NULL OR 100 * CAST(around AS DECIMAL(28,0)) < {INSIDE} * CAST(a AS DECIMAL(28,0))")

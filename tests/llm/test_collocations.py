@@ -103,8 +103,10 @@ def test_against_counting(make):
 
 
 def test_many_ranges_small_unions_and_a_narrow_filter(make, spark, monkeypatch):
-    """Ranges of a few pairs; pending phrases are united early; a short report."""
-    monkeypatch.setattr(collocations, "RANGE", 200)
+    """Ranges of a few words, limits from a sample; arrays are merged and phrases united early; a short report."""
+    monkeypatch.setattr(collocations, "RANGE", 40)
+    monkeypatch.setattr(collocations, "TALLY", 100)
+    monkeypatch.setattr(collocations, "SAMPLE", 60)
     texts = corpus(2)
     df = make([(i, t, lang, "a", 1) for i, (t, lang) in enumerate(texts)]).repartition(3)
     assert mined(df, top=7) == brute(texts, 7)
