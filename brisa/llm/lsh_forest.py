@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brisa.llm.common import LOWER, SPACED, chunks, group_starts, mix, prepare, shingle_hashes, stored, whole_groups, word_hashes, words
-from brisa.llm.components import components
+from brisa.llm.components import components, spanning
 from brisa.llm.phrase_index import digest
 
 SHINGLE = 2
@@ -53,7 +53,7 @@ FOREST = ((5, 32), (8, 72), (12, 176))
 #: Coordinates after the prefix by which a tree sorts on.
 TAIL = 8
 #: Turns of confirmed neighbours, and the common prefix beyond the region's that makes a neighbour worth it.
-TURNS, LCP = 3, 2
+TURNS, LCP = 2, 2
 WIDE = 2048
 #: Nodes outside the largest class up to which a wide region is compared class against rest.
 FEW = 64
@@ -258,28 +258,13 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, node: str, name: str) -
     return rows.join(own, node, "left").withColumn(name, F.coalesce("__l", node)).drop("__l")
 
 
-def _spanning(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that connect what the edges i-j connect among n nodes, one less than nodes in each component."""
-    root = np.arange(n)
-    while len(i):
-        a, b = root[i], root[j]
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        np.minimum.at(root, high, low)
-        while not np.array_equal(root[root], root):
-            root = root[root]
-        keep = root[i] != root[j]
-        i, j = i[keep], j[keep]
-    at = np.flatnonzero(root != np.arange(n))
-    return root[at], at
-
-
-def _neighbours(docs: DataFrame, regions: DataFrame, nodes: DataFrame) -> tuple[DataFrame | None, list]:
-    """Classes after the turns of confirmed neighbours, and the links found."""
+def _neighbours(docs: DataFrame, regions: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """Classes (node, label) after the turns of confirmed neighbours."""
     near = regions.where(F.col("next").isNotNull() & (F.col("lcp") >= LCP)).groupBy(F.least("node", "next").alias("a"), F.greatest("node", "next").alias("b")).agg(F.max("lcp").alias("lcp"))
     near = stored(near, "forest-near")
     wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = _sets(docs, nodes.join(wanted, "node").select("node", "digest"))
-    labels, links = None, []
+    labels = None
     for _ in range(TURNS):
         apart = _labelled(_labelled(near, labels, "a", "la"), labels, "b", "lb").where("la <> lb")
         best = F.max(F.struct("lcp", F.xxhash64("a", "b").alias("h"), "a", "b")).alias("best")
@@ -288,9 +273,13 @@ def _neighbours(docs: DataFrame, regions: DataFrame, nodes: DataFrame) -> tuple[
         found = stored(_confirmed(picks, sets), "forest-links")
         if found.limit(1).count() == 0:
             break
-        links.append(found)
-        labels = components(_union(links))
-    return labels, links
+        labels = _classes(labels, found)
+    return labels
+
+
+def _classes(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node, label after more links; known classes enter as stars, so paths are short."""
+    return components(links if labels is None else links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
 
 def _union(frames: list) -> DataFrame:
@@ -326,7 +315,7 @@ def _compare(rows: DataFrame, sketches: DataFrame, keys: list[str]) -> DataFrame
                 if found:
                     i, j = np.concatenate(found, axis=1)
                     names, at = np.unique(label[s:e], return_inverse=True)
-                    a, b = _spanning(len(names), at[i - s], at[j - s])
+                    a, b = spanning(len(names), at[i - s], at[j - s])
                     yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], ["a", "b"])
 
     full = rows.join(sketches.select("node", "small"), "node").select(*keys, "label", "small")
@@ -394,7 +383,7 @@ def _confirm_blocks(docs: DataFrame, nodes: DataFrame, labels: DataFrame | None,
                 if len(i):
                     first = np.zeros(len(names), np.int64)
                     first[at[::-1]] = node[s:e][::-1]
-                    a, b = _spanning(len(names), at[i], at[j])
+                    a, b = spanning(len(names), at[i], at[j])
                     yield pa.RecordBatch.from_arrays([pa.array(first[a]), pa.array(first[b])], ["a", "b"])
 
     full = rows.join(tasks, ["grp", "block"]).join(sets, "node").select("grp", "x", "y", "label", "node", "shingles")
@@ -431,7 +420,7 @@ def cluster(docs: DataFrame) -> DataFrame:
     nodes = stored(own.withColumn("node", F.monotonically_increasing_id()), "forest-nodes")
     sketches = stored(_narrow(nodes), "forest-sketches")
     regions = _regions(sketches, 0)
-    labels, links = _neighbours(docs, regions, nodes)
+    labels = _neighbours(docs, regions, nodes)
     found = []
     for step in range(len(FOREST)):
         pairs, deeper = _step(regions, sketches, labels, step == len(FOREST) - 1)
@@ -441,8 +430,7 @@ def cluster(docs: DataFrame) -> DataFrame:
         regions = _regions(sketches.join(deeper, "node", "left_semi"), step + 1)
     candidates = _union(found)
     if candidates.limit(1).count():
-        links.append(_confirm_blocks(docs, nodes, labels, candidates))
-        labels = components(_union(links))
+        labels = _classes(labels, _confirm_blocks(docs, nodes, labels, candidates))
     known = _labelled(nodes.select("node", "shape", "least"), labels, "node", "label")
     ids = known.groupBy("label").agg(F.min("least").alias("component_id"))
     known = known.join(ids, "label").select("shape", "component_id")
