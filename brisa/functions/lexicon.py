@@ -4,8 +4,6 @@ FIXED VALUES - these must stay exactly as the analyses define them
 (the words searched for, the cuisine lists and the regional groupings).
 """
 
-# Authenticity words, in the order the analyses list them.
-
 # Negative words paired with authenticity language.
 NEGATIVE_WORDS = ["dirty", "cheap", "kitsch", "rude", "simple", "bad"]
 

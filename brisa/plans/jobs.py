@@ -1,7 +1,7 @@
 """Whole jobs from files to results, on the shapes the original jobs read.
 
-``review_job`` reads the review, business and user JSON lines and returns the
-named analyses E1-E10.  ``model_job`` runs E12 from a training set to saved
+``review_job`` ingests the review, business and user JSON lines once and returns the
+named analyses E1-E10 over the ingested tables.  ``model_job`` runs E12 from a training set to saved
 predictions and a logged run.  Schemas are given, so no file is read to infer
 one.
 """
@@ -9,6 +9,7 @@ one.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,8 @@ from brisa.functions.stamps import stamp_text
 from brisa.operators import knn as KNN
 from brisa.plans import reviews as E
 from brisa.plans import wind as W
-from brisa.session import cut_lineage
-from brisa.sources import files as FS
+from brisa.session import cut_lineage, scratch_path
+from brisa.sources import ingest as IN
 from brisa.sources import sinks as SK
 
 # Columns of the input files.
@@ -33,13 +34,21 @@ PREDICTIONS = ("time string, Direction string, Lead_hours int, Source_time long,
                "`Generated Power Prediction` double, prediction_time string")
 
 
-def review_job(spark: SparkSession, review: str, business: str, user: str, *, min_reviews: int = 1000, influencer_reviews: int = 1000,
+def review_job(spark: SparkSession, review: str, business: str, user: str, *, store: str | None = None, min_reviews: int = 1000, influencer_reviews: int = 1000,
                word: str = "authentic", top_word: str = "legitimate", terms=("authentic", "accent"), auth=("authentic", "legitimate"),
                neg=tuple(LX.NEGATIVE_WORDS), marker: str = LX.RESTAURANT_MARKER, drop=(LX.DROPPED_CATEGORY,),
                cuisines=tuple(LX.CUISINE_TYPES), groups: dict | None = None, sep: str = LX.CATEGORY_SEPARATOR,
                state: str = "AZ", cuisine: str = "Mexican") -> dict[str, DataFrame]:
-    """E1-E10 from three JSON-lines paths, as lazy DataFrames by name."""
-    r, b, u = (FS.read_jsonl(spark, p, s) for p, s in ((review, REVIEW), (business, BUSINESS), (user, USER)))
+    """E1-E10 from three JSON-lines paths, as lazy DataFrames by name.
+
+    Each file is parsed once, into ``store`` (default: a scratch folder); the analyses read Parquet.  Lines that are no
+    rows are in ``quarantine`` (input, line, file), their numbers in ``ingest`` (input, n_rows, n_quarantined).
+    """
+    store = store or scratch_path(spark, "review-job")
+    taken = {n: IN.ingest_jsonl(spark, p, s, f"{store}/{n}", required=(key,))
+             for n, p, s, key in (("review", review, REVIEW, "review_id"), ("business", business, BUSINESS, "business_id"), ("user", user, USER, "user_id"))}
+    r, b, u = (taken[n].rows() for n in ("review", "business", "user"))
+    named = lambda frame: functools.reduce(DataFrame.unionByName, [frame(t).withColumn("input", F.lit(n)) for n, t in taken.items()])
     influencers = E.e3_influencers(u, influencer_reviews)
     lex = dict(auth=auth, neg=neg, marker=marker, drop=drop, sep=sep)
     return {
@@ -56,6 +65,8 @@ def review_job(spark: SparkSession, review: str, business: str, user: str, *, mi
         "e9_top_nonnegative": E.e9_top_categories(r, b, "complement_literal", 40, **lex),
         "e9_region_ratio": E.e9_region_ratio(r, b, True, groups, **lex),
         "e10_good_reviews": E.e10_good_reviews(r, b, state, cuisine, 5),
+        "quarantine": named(IN.Ingested.quarantine).select("input", "line", "file"),
+        "ingest": named(IN.Ingested.counts).select("input", "n_rows", "n_quarantined"),
     }
 
 

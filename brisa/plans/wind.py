@@ -65,12 +65,11 @@ def score_forecasts(model_rows: DataFrame, k: int, forecast_rows: DataFrame, id_
     """Attach ``prediction`` (KNN mean of ``target``) to each forecast row.
 
     Every row stays: one whose features are missing (an unknown compass
-    point, a null speed) has a null prediction.  ``strict`` raises instead,
-    when the plan runs.
+    point, a null, NaN or infinite speed) has a null prediction.  ``strict``
+    raises instead, when the plan runs.
     """
     if strict:
-        bad = F.expr(" OR ".join(f"{c} IS NULL" for c in FEATURES))
-        forecast_rows = forecast_rows.withColumn(FEATURES[0], F.when(bad, F.raise_error(F.lit("forecast without usable features"))
+        forecast_rows = forecast_rows.withColumn(FEATURES[0], F.when(_unusable(), F.raise_error(F.lit("forecast without usable features"))
                                                                      .cast("double")).otherwise(F.col(FEATURES[0])))
     pred = KNN.knn_predict(model_rows, forecast_rows, k, features=FEATURES, train_id=id_col,
                            test_id=id_col, y_col=target)
@@ -78,9 +77,13 @@ def score_forecasts(model_rows: DataFrame, k: int, forecast_rows: DataFrame, id_
 
 
 def unusable_forecasts(forecast_rows: DataFrame) -> DataFrame:
-    """``n``: forecast rows that no model can score (a feature is missing)."""
-    missing = F.expr(" OR ".join(f"{c} IS NULL OR isnan({c})" for c in FEATURES))
-    return forecast_rows.agg(F.count_if(missing).alias("n"))
+    """``n``: forecast rows that no model can score (a feature is missing or not finite)."""
+    return forecast_rows.agg(F.count_if(_unusable()).alias("n"))
+
+
+def _unusable():
+    """Whether a feature is null, NaN or infinite."""
+    return ~F.expr(" AND ".join(f"coalesce(abs({c}) < double('infinity'), false)" for c in FEATURES))
 
 
 def grid_search_cv(train: DataFrame, id_col: str, target: str = "Energy", k_max: int = 99,
