@@ -251,14 +251,20 @@ def versioned_model(spark, d):
 def compacted_log(spark, d):
     """A run for each event type, logged in many small files, folded twice with more logged between; the search finds the keys itself."""
     path = scratch_path(spark, "log")
-    events = T(spark, d, "events")
     at = _dt.datetime(2024, 2, 1)
-    summary = events.groupBy("event_type").agg(F.count(F.lit(1)).cast("double").alias("events"), F.avg("value").alias("mean_value"), F.max("value").alias("most")).collect()
-    for r in summary:
-        SK.log_run(spark, path, f"run-{r.event_type}", {"kind": "old"}, {"events": -1.0}, at - _dt.timedelta(days=1))
-        SK.log_run(spark, path, f"run-{r.event_type}", {"kind": r.event_type}, {"events": r.events}, at)
+    values = F.struct(F.count(F.lit(1)).cast("double").alias("events"), F.avg("value").alias("mean_value"), F.max("value").alias("most"))
+    runs = T(spark, d, "events").groupBy("event_type").agg(values.alias("v")).withColumn("run_id", F.concat(F.lit("run-"), "event_type")).repartition(6, "run_id")
+
+    def log(kind, key, value, when):
+        column = "str_value" if kind == "param" else "num_value"
+        SK.log_rows(runs.select("run_id", F.lit(kind).alias("kind"), F.lit(key).alias("key"), value.alias(column), F.lit(when).alias("logged_at")), path)
+
+    log("param", "kind", F.lit("old"), at - _dt.timedelta(days=1))
+    log("param", "kind", F.col("event_type"), at)
+    log("metric", "events", F.lit(-1.0), at - _dt.timedelta(days=1))
+    log("metric", "events", F.col("v.events"), at)
     SK.compact_runs(spark, path)
-    for r in summary:
-        SK.log_run(spark, path, f"run-{r.event_type}", {}, {"mean_value": r.mean_value, "most": r.most}, at)
+    log("metric", "mean_value", F.col("v.mean_value"), at)
+    log("metric", "most", F.col("v.most"), at)
     SK.compact_runs(spark, path)
     return SK.search_runs(spark, path).select("run_id", "kind", "events", _r6("mean_value"), _r6("most"))

@@ -83,6 +83,13 @@ def log_metric_frame(df: DataFrame, path: str, run_id: str, key_col: str, value_
 MOST_KEYS = 1000
 
 
+def log_rows(df: DataFrame, path: str) -> None:
+    """Append long rows of many runs (the columns of ``RUN_LOG_SCHEMA``; those missing are null), from the executors."""
+    have = set(df.columns)
+    names = [c.rsplit(" ", 1) for c in RUN_LOG_SCHEMA.split(", ")]
+    df.select(*[(F.col(n) if n in have else F.lit(None)).cast(kind).alias(n) for n, kind in names]).write.mode("append").parquet(path)
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """The log: what ``compact_runs`` has folded, and the files logged since."""
     base, log = VS.current(spark, path), spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
@@ -119,7 +126,7 @@ def compact_runs(spark: SparkSession, path: str, files: int = 1) -> int:
 
 def run_keys(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     """Names of all params and of all metrics in the log, sorted."""
-    found = read_runs(spark, path).select("kind", "key").distinct().orderBy("kind", "key").limit(MOST_KEYS + 1).collect()
+    found = read_runs(spark, path).select("kind", "key").distinct().orderBy("kind", "key").take(MOST_KEYS + 1)
     if len(found) > MOST_KEYS:
         raise ValueError(f"the log has more than {MOST_KEYS} keys: name the ones to search")
     return [r.key for r in found if r.kind == "param"], [r.key for r in found if r.kind == "metric"]
@@ -167,5 +174,5 @@ def load_model(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
 
 
 __all__ = ["STAMP_PATTERN", "RUN_LOG_SCHEMA", "save_predictions", "load_predictions",
-           "load_prediction_csvs", "log_run", "log_metric_frame", "read_runs", "compact_runs", "run_keys", "search_runs",
+           "load_prediction_csvs", "log_run", "log_metric_frame", "log_rows", "read_runs", "compact_runs", "run_keys", "search_runs",
            "save_model", "load_model"]
