@@ -12,8 +12,10 @@ to miss such a pair at the greatest depth is below 1 - ``RECALL``.
 Buckets of at most ``SMALL`` nodes are compared all against all, by their
 coordinates first.  Larger ones split further.  Near copies never split, so
 they are joined to random members of their bucket first (a few runs give
-provisional classes) and a bucket whose nodes all share a class is done; what
-is still large at ``DEPTH`` is joined to its random member.
+provisional classes): a bucket whose nodes all share a class is done, and one with
+at most ``FEW`` nodes outside a single class compares those with all, in blocks.
+What is still large at ``DEPTH`` is compared in salted blocks of ``SMALL`` nodes, all
+against all, so neither depth nor size loses a pair.
 
 All this yields candidate classes.  Within them every pair's exact Jaccard
 similarity over whole shingle sets is worked out in blocks of about ``BLOCK``
@@ -38,8 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.common import ALNUM, LOWER, chunks, mix, shingle_hashes, prepare, stored, word_hashes, words
-from brisa.llm.components import components
+from brisa.llm.common import ALNUM, LOWER, chunks, group_starts, mix, shingle_hashes, prepare, stored, whole_groups, word_hashes, words
+from brisa.llm.components import components, spanning
 from brisa.llm.phrase_index import digest
 
 SHINGLE = 5
@@ -49,7 +51,9 @@ SHARE = 0.7
 DEPTH = 5
 RECALL = 0.9999
 FIRST_RUNS = 3
-SMALL = 48
+SMALL = 4096
+#: Nodes outside the largest class up to which a large bucket is compared class against rest.
+FEW = 64
 BLOCK = 128
 #: Candidate classes' texts are found by a broadcast of their digests up to this many, by a shuffled join beyond.
 BROADCAST_ROWS = 1 << 20
@@ -166,42 +170,53 @@ def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(F.arrow_udf(agree, "int")("sa", "sb") >= AGREE).select(pairs.columns)
 
 
+def _dealt(rows: DataFrame, last: bool) -> DataFrame:
+    """path, block, node, label of buckets to compare now: small ones whole, lopsided ones and the last level's in blocks."""
+    zero = F.lit(0).cast("long")
+    blocks = lambda n: F.ceil(n / F.lit(SMALL))
+    lopsided = F.col("n") - F.col("c") <= FEW
+    whole = rows.where(F.col("n") <= SMALL).select("path", zero.alias("block"), "node", "label")
+    lop = rows.where((F.col("n") > SMALL) & lopsided)
+    mine = F.col("label") == F.col("most")
+    at = F.when(mine, F.array(F.pmod(F.xxhash64("node"), blocks(F.col("c"))))).otherwise(F.sequence(zero, blocks(F.col("c")) - 1))
+    out = whole.unionByName(lop.select("path", F.explode(at).alias("block"), "node", "label"))
+    if not last:
+        return out
+    wide = rows.where((F.col("n") > SMALL) & ~lopsided).withColumn("blocks", blocks(F.col("n")))
+    wide = wide.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1)))
+    return out.unionByName(wide.select("path", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("block"), "node", "label"))
+
+
 def _bucket_pairs(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of classes with nodes that share a small bucket and agree often enough.
+    """Pairs of classes with nodes that share a block of a bucket and agree often enough.
 
-    Nodes of a class are connected already, so a pair of classes is one row however many pairs of nodes show it.
+    Nodes of a class are connected already, and only what connects the classes of a block matters, so a block
+    gives fewer pairs than it has classes.
     """
 
     def compare(batches):
-        held = None
-        for batch in _and_end(batches):
-            table = pa.Table.from_batches([batch]) if batch is not None else None
-            if held is not None:
-                table = held if table is None else pa.concat_tables([held, table])
-            if table is None or not table.num_rows:
-                continue
-            table = table.combine_chunks()
-            path = table.column("path").to_numpy()
-            whole = len(path) if batch is None else int(np.searchsorted(path, path[-1]))
-            held = table.slice(whole) if batch is not None else None
-            part = table.slice(0, whole)
-            if not part.num_rows:
-                continue
-            path, label = (part.column(c).to_numpy() for c in ("path", "label"))
-            sketch, found = _matrix(part.column("sketch")), []
-            for d in range(1, len(path)):
-                i = np.flatnonzero(path[d:] == path[:-d])
-                if not len(i):
+        for table in whole_groups(batches, "path", "block"):
+            label = table.column("label").to_numpy()
+            sketch = _matrix(table.column("sketch")).astype(np.uint8)  # the low byte tells coordinates apart well enough
+            starts = group_starts(table.column("path").to_numpy(), table.column("block").to_numpy())
+            run = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+            live, found = np.arange(len(label)), []
+            for d in range(1, len(label)):
+                live = live[live + d < len(label)]
+                live = live[run[live] == run[live + d]]
+                if not len(live):
                     break
-                i = i[label[i] != label[i + d]]
+                i = live[label[live] != label[live + d]]
                 i = i[(sketch[i] == sketch[i + d]).sum(axis=1) >= AGREE]
-                found.append(np.stack([np.minimum(label[i], label[i + d]), np.maximum(label[i], label[i + d])], axis=1))
+                found.append(np.stack([i, i + d]))
             if found:
-                pairs = np.unique(np.concatenate(found), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                i, j = np.concatenate(found, axis=1)
+                names, at = np.unique(label, return_inverse=True)
+                a, b = spanning(len(names), at[i], at[j])
+                yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], ["a", "b"])
 
-    full = rows.join(sketches, "node").select("path", "label", "sketch")
-    return full.repartition("path").sortWithinPartitions("path").mapInArrow(compare, "a bigint, b bigint")
+    full = rows.join(sketches, "node").select("path", "block", "label", "sketch")
+    return full.repartition("path", "block").sortWithinPartitions("path", "block").mapInArrow(compare, "a bigint, b bigint")
 
 
 def _and_end(batches):
@@ -210,18 +225,17 @@ def _and_end(batches):
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Rows of buckets with nodes of at least two classes, with the bucket's size and a random member and its class."""
-    buckets = rows.groupBy("path").agg(
-        F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
-        F.min(F.struct(F.xxhash64("path", "node").alias("h"), "node", "label")).alias("pivot")).where("low <> high")
-    return rows.join(buckets.select("path", "n", F.col("pivot.node").alias("pivot"), F.col("pivot.label").alias("pivot_label")), "path")
+    """Rows of buckets with nodes of at least two classes, with the bucket's size n and its largest class (c nodes of ``most``)."""
+    parts = rows.groupBy("path", "label").agg(F.count("*").alias("c"))
+    buckets = parts.groupBy("path").agg(F.sum("c").alias("n"), F.count("*").alias("classes"), F.max(F.struct("c", "label")).alias("top"))
+    return rows.join(buckets.where("classes > 1").select("path", "n", F.col("top.c").alias("c"), F.col("top.label").alias("most")), "path")
 
 
 def _candidates(sketches: DataFrame) -> DataFrame:
     """Edges that connect every pair found by the runs."""
-    alone = F.col("node").alias("label")
     first = stored(_first_level(sketches, runs()), "cpj-paths")
-    met = stored(_shared(first.select("run", "path", "node", alone)), "cpj-met")
+    buckets = first.groupBy("path").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("path", "node").alias("h"), "node")).alias("pivot"))
+    met = stored(first.join(buckets.where("n > 1").select("path", F.col("pivot.node").alias("pivot")), "path"), "cpj-met")
     start = met.where(F.col("run") < FIRST_RUNS).where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     edges = stored(_alike(start, sketches), "cpj-start")
     labels = components(edges)
@@ -234,15 +248,11 @@ def _candidates(sketches: DataFrame) -> DataFrame:
     rows = met.select("path", "node")
     for level in range(1, DEPTH + 1):
         rows = stored(_shared(labelled(rows)), "cpj-level")
-        found.append(_bucket_pairs(rows.where(F.col("n") <= SMALL), sketches))
-        large = rows.where(F.col("n") > SMALL)
-        if large.limit(1).count() == 0:
-            break
-        if level == DEPTH:
-            ends = large.where("label <> pivot_label").select(F.col("node").alias("a"), F.col("pivot").alias("b"), "label", "pivot_label").distinct()
-            found.append(_alike(ends, sketches).select(F.least("label", "pivot_label").alias("a"), F.greatest("label", "pivot_label").alias("b")))
+        found.append(_bucket_pairs(_dealt(rows, level == DEPTH), sketches))
+        wide = rows.where((F.col("n") > SMALL) & (F.col("n") - F.col("c") > FEW))
+        if level == DEPTH or wide.limit(1).count() == 0:
             break
-        rows = _next_level(large, sketches)
+        rows = _next_level(wide, sketches)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
