@@ -11,12 +11,12 @@ from brisa.functions import text as TX
 from brisa.operators import knn as KNN
 from brisa.operators import partials as PA
 from brisa.operators import word_index as WI
-from brisa.operators.relational import share_percent, top_k
+from brisa.operators.relational import having_count
 from brisa.plans import reviews as E
 from brisa.plans import standins as S
 from brisa.plans import wind as W
 from brisa.plans.catalog_models import K, STAMPS, WIND_SQL, _parts, _r6, holdout_sql, knn_sql
-from brisa.plans.catalog_reviews import ORACLE, SEP
+from brisa.plans.catalog_reviews import DROPPED, MARKER, ORACLE, REGIONS, SEP
 from brisa.plans.catalog_series import AS_OF, E11_SQL, training_set
 from brisa.plans.registry import register
 from brisa.plans.tables import table as T
@@ -151,13 +151,31 @@ def indexed_lexicon(spark, d):
 @register("indexed_word_share", ORACLE["e6_word_share"])
 def indexed_word_share(spark, d):
     marked, marks = _indexed(spark, d, ["That"])
-    return share_percent(marked, marks.contains("That"))
+    return E.e6_word_share(marked, "That", marks)
 
 
 @register("indexed_top_categories", ORACLE["e7_top_categories"])
 def indexed_top_categories(spark, d):
     marked, marks = _indexed(spark, d, ["ouen"])
-    return top_k(E.category_counts(marked, S.business(spark, d), marks.contains("ouen"), SEP), 40, "n", "category")
+    return E.e7_top_categories(marked, S.business(spark, d), "ouen", 40, SEP, marks)
+
+
+@register("indexed_place_share", ORACLE["e8_place_share"])
+def indexed_place_share(spark, d):
+    marked, marks = _indexed(spark, d, AUTH)
+    return E.e8_place_share(marked, S.business(spark, d), AUTH, text=marks)
+
+
+@register("indexed_negative_categories", ORACLE["e9_negative_literal"])
+def indexed_negative_categories(spark, d):
+    marked, marks = _indexed(spark, d, AUTH + NEG)
+    return E.e9_category_table(marked, S.business(spark, d), "literal", AUTH, NEG, MARKER, [DROPPED], SEP, marks)
+
+
+@register("indexed_region_ratio", ORACLE["e9_region_ratio_intended"])
+def indexed_region_ratio(spark, d):
+    marked, marks = _indexed(spark, d, AUTH + NEG)
+    return E.e9_region_ratio(marked, S.business(spark, d), False, REGIONS, auth=AUTH, neg=NEG, marker=MARKER, drop=[DROPPED], sep=SEP, text=marks)
 
 
 @register("indexed_phrases", """SELECT doc_id AS review_id, text LIKE '%e a%' AS a, text LIKE '% of the %' AS b, text LIKE '%n of th%' AS c FROM documents
@@ -184,7 +202,27 @@ def bucketed_star(spark, d):
     return star.add("by_user", by_part, "user_id").meet("by_user", "customers", "user_id").select("user_id", "business_id", "brand", "segment", "n")
 
 
+@register("bucketed_influencers", ORACLE["e4_influencer_businesses"])
+def bucketed_influencers(spark, d):
+    """E4 over the star: the reviews meet the influencers and the businesses in their buckets."""
+    star = ST.star(spark, 8).add("facts", S.user_reviews(spark, d), "user_id").add("influencers", E.e3_influencers(S.users(spark, d), 15), "user_id")
+    star.add("theirs", star.meet("facts", "influencers", "user_id", "left_semi"), "business_id")
+    star.add("businesses", S.business(spark, d).select("business_id"), "business_id")
+    return having_count(star.meet("theirs", "businesses", "business_id", "left_semi"), "business_id", 5)
+
+
 # ------------------------------------------------------------------ A7, A8, A14, A17: partial aggregates
+@register("incremental_place_share", ORACLE["e8_place_share"])
+def incremental_place_share(spark, d):
+    """E8 from the partials of two loads of reviews."""
+    place = S.business(spark, d).filter(F.col("state").isNotNull() | F.col("city").isNotNull()).select("business_id", "state", "city")
+    cube = PA.CubePartials(spark, scratch_path(spark, "place-cube"), ("state", "city"))
+    for load in (0, 1):
+        rows = S.reviews(spark, d).filter(F.pmod("review_id", F.lit(2)) == load).join(place, "business_id")
+        cube.add(f"load-{load}", rows, F.coalesce(TX.contains_any("text", AUTH), F.lit(False)))
+    return cube.share().select("state", "city", F.col("n").alias("all_count"), F.col("m").alias("match_count"), "gid", "ratio")
+
+
 _PLACE_SQL = """SELECT lang, source, count(*) AS n, count(*) FILTER (WHERE text LIKE '%ouen%') AS m, grouping_id(lang, source) AS gid,
     CAST(count(*) FILTER (WHERE text LIKE '%ouen%') AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS ratio FROM documents GROUP BY CUBE (lang, source)"""
 

@@ -9,6 +9,9 @@ Inputs are DataFrames with the columns the reference reads:
 Every function returns a lazy DataFrame.  Reviews (the large fact table)
 are reduced to one row per business before they meet the business
 dimension, so joins and explodes work on business-sized data.
+
+``text`` says what the word filters ask: a column, or the ``Marks`` of a word
+index (``operators.word_index``), with which no text is read.
 """
 
 from __future__ import annotations
@@ -77,9 +80,9 @@ def e5_users_by_review_stars(reviews: DataFrame) -> DataFrame:
                                           F.count(F.lit(1)).alias("reviews"))
 
 
-def e6_word_share(reviews: DataFrame, word: str = "authentic") -> DataFrame:
+def e6_word_share(reviews: DataFrame, word: str = "authentic", text="text") -> DataFrame:
     """Percentage of reviews whose text contains ``word`` (case-sensitive)."""
-    return share_percent(reviews, F.col("text").contains(word))
+    return share_percent(reviews, contains_any(text, [word]))
 
 
 def _per_business(reviews: DataFrame, predicate: Column) -> DataFrame:
@@ -105,21 +108,21 @@ def category_counts(reviews: DataFrame, business: DataFrame, predicate: Column,
 
 
 def e7_top_categories(reviews: DataFrame, business: DataFrame, word: str = "legitimate",
-                      k: int = 40, sep: str = LX.CATEGORY_SEPARATOR) -> DataFrame:
-    return top_k(category_counts(reviews, business, F.col("text").contains(word), sep), k, "n",
+                      k: int = 40, sep: str = LX.CATEGORY_SEPARATOR, text="text") -> DataFrame:
+    return top_k(category_counts(reviews, business, contains_any(text, [word]), sep), k, "n",
                  "category")
 
 
 def e7_cuisine_counts(reviews: DataFrame, business: DataFrame, word: str = "legitimate",
                       cuisines: Sequence[str] = tuple(LX.CUISINE_TYPES),
-                      sep: str = LX.CATEGORY_SEPARATOR) -> DataFrame:
-    counts = category_counts(reviews, business, F.col("text").contains(word), sep)
+                      sep: str = LX.CATEGORY_SEPARATOR, text="text") -> DataFrame:
+    counts = category_counts(reviews, business, contains_any(text, [word]), sep)
     return counts.filter(F.col("category").isin(list(cuisines)))
 
 
 def e8_place_share(reviews: DataFrame, business: DataFrame,
                    terms: Sequence[str] = ("authentic", "accent"),
-                   dims: Sequence[str] = ("state", "city"), flag: bool = False) -> DataFrame:
+                   dims: Sequence[str] = ("state", "city"), flag: bool = False, text="text") -> DataFrame:
     """Share of reviews using authenticity language for every cell of the
     cube over the business location (``state``, ``city``; totals included).
 
@@ -127,7 +130,7 @@ def e8_place_share(reviews: DataFrame, business: DataFrame,
     a cube dimension too (the full cube of the task text).
     """
     dims = list(dims)
-    pred = F.coalesce(contains_any("text", terms), F.lit(False))
+    pred = F.coalesce(contains_any(text, terms), F.lit(False))
     per_b = reviews.groupBy("business_id").agg(
         F.count(F.lit(1)).alias("__all"), F.count_if(pred).alias("__match"))
     place = business.filter(F.col("state").isNotNull() | F.col("city").isNotNull()) \
@@ -175,36 +178,36 @@ def area_share(reviews: DataFrame, business: DataFrame, lat_cut: float,
                                                 F.col("all_count").cast("double")))
 
 
-def lexicon_predicate(kind: str, auth: Sequence[str], neg: Sequence[str]) -> Column:
+def lexicon_predicate(kind: str, auth: Sequence[str], neg: Sequence[str], text="text") -> Column:
     fn = {"literal": lexicon_literal, "intended": lexicon_intended,
           "complement_literal": complement_literal,
           "complement_intended": complement_intended}[kind]
-    return fn("text", list(auth), list(neg))
+    return fn(text, list(auth), list(neg))
 
 
 def e9_category_table(reviews: DataFrame, business: DataFrame, kind: str,
                       auth: Sequence[str] = ("authentic", "legitimate"),
                       neg: Sequence[str] = tuple(LX.NEGATIVE_WORDS),
                       marker: str = LX.RESTAURANT_MARKER, drop: Sequence[str] = (LX.DROPPED_CATEGORY,),
-                      sep: str = LX.CATEGORY_SEPARATOR) -> DataFrame:
+                      sep: str = LX.CATEGORY_SEPARATOR, text="text") -> DataFrame:
     """Category frequencies among restaurant reviews selected by a lexicon.
 
     ``kind`` is one of ``literal``/``intended`` (negative sets) or
     ``complement_literal``/``complement_intended`` (non-negative sets).
     """
-    return category_counts(reviews, business, lexicon_predicate(kind, auth, neg), sep,
+    return category_counts(reviews, business, lexicon_predicate(kind, auth, neg, text), sep,
                            business_filter=ci_contains("categories", marker), drop=drop)
 
 
 def e9_region_ratio(reviews: DataFrame, business: DataFrame, literal: bool = True,
                     groups: dict | None = None, auth: Sequence[str] = ("authentic", "legitimate"),
                     neg: Sequence[str] = tuple(LX.NEGATIVE_WORDS), marker: str = LX.RESTAURANT_MARKER,
-                    drop: Sequence[str] = (LX.DROPPED_CATEGORY,), sep: str = LX.CATEGORY_SEPARATOR) -> DataFrame:
+                    drop: Sequence[str] = (LX.DROPPED_CATEGORY,), sep: str = LX.CATEGORY_SEPARATOR, text="text") -> DataFrame:
     """Negative / non-negative review counts per cuisine region of origin."""
     groups = groups or {"south_america_south_asia": LX.SOUTH_AMERICA + LX.SOUTH_ASIA,
                         "europe": LX.EUROPE}
-    bad = lexicon_predicate("literal" if literal else "intended", auth, neg)
-    good = lexicon_predicate("complement_literal" if literal else "complement_intended", auth, neg)
+    bad = lexicon_predicate("literal" if literal else "intended", auth, neg, text)
+    good = lexicon_predicate("complement_literal" if literal else "complement_intended", auth, neg, text)
     # both predicates in one pass over the texts, counted per business before the join
     per_b = reviews.groupBy("business_id").agg(F.count_if(F.coalesce(bad, F.lit(False))).alias("numerator"),
                                                F.count_if(F.coalesce(good, F.lit(False))).alias("denominator"))
