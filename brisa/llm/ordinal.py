@@ -108,16 +108,17 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE)
 
     def extract(batches):
         for batch in batches:
-            grade = batch.column("grade")
+            grade, digests = batch.column("grade"), batch.column("digest")
             for lo, hi, data, offsets in chunks(batch.column("text")):
                 row, feature, value = features(data, offsets)
                 cut = np.searchsorted(row, np.arange(hi - lo + 1))
                 yield pa.RecordBatch.from_arrays([
-                    grade.slice(lo, hi - lo),
+                    grade.slice(lo, hi - lo), digests.slice(lo, hi - lo),
                     pa.array([feature[a:b].astype("<i4").tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-                    pa.array([value[a:b].astype("<f4").tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], ["grade", "feature", "value"])
+                    pa.array([value[a:b].astype("<f4").tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], ["grade", "digest", "feature", "value"])
 
-    got = rated.select("grade", "text").mapInArrow(extract, "grade int, feature binary, value binary").collect()
+    got = rated.select("grade", "digest", "text").mapInArrow(extract, "grade int, digest binary, feature binary, value binary").collect()
+    got.sort(key=lambda r: (r.digest, r.grade))
     if not got:
         return Model(np.zeros(DIM), np.zeros(grades - 1))
     feature = [np.frombuffer(r.feature, "<i4") for r in got]

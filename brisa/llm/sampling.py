@@ -6,15 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa.llm.common import prepare
+from brisa.llm.phrase_index import digest
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame, sample: int, salt: str, where: Column | None = None) -> DataFrame:
-    """text, lang and the label columns of about ``sample`` labelled documents, never over twice as many labels.
+    """text, lang, digest (of the text) and the label columns of about ``sample`` labelled documents, never over twice as many.
 
     ``labels`` has doc_id and any label columns.  Rows that repeat a doc_id give one label (the least of
-    each column); null ids and null labels are left out.  The choice is by a hash of the id, so reruns
-    agree.  The chosen labels are bounded by ``sample``, which makes them safe to broadcast: the texts
-    are filtered where they lie and never shuffled.
+    each column), and documents that repeat one give one text (that of the least digest, then the least
+    language); null ids and null labels are left out.  The choice is by a hash of the id, so reruns
+    agree; sort by (digest, label, lang) for an order that the table's partitions do not change.  The
+    chosen labels are bounded by ``sample``, which makes them safe to broadcast: the texts are filtered
+    where they lie, and of an id each task passes one on.
     """
     prepare(docs.sparkSession)
     cols = [c for c in labels.columns if c != "doc_id"]
@@ -25,5 +28,7 @@ def labelled_documents(docs: DataFrame, labels: DataFrame, sample: int, salt: st
     share = min(1.0, sample / max(n, 1))
     draw = F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
     chosen = one.where(draw).limit(2 * sample)
-    have = [c for c in ("doc_id", "text", "lang") if c in docs.columns]
-    return docs.select(*have).join(F.broadcast(chosen), "doc_id")
+    have = [c for c in ("text", "lang") if c in docs.columns]
+    met = docs.select("doc_id", *have, digest().alias("digest")).join(F.broadcast(chosen), "doc_id")
+    order = F.struct("digest", *[c for c in have if c == "lang"])
+    return met.groupBy("doc_id").agg(F.min_by(F.struct(*have, "digest", *cols), order).alias("r")).select("r.*")
