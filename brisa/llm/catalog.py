@@ -67,13 +67,22 @@ def _duck_spans(kind: str, pattern: str, group: int, keep: str) -> str:
             f"regexp_extract_all(t, '{p}', {group}) AS parts, unnest(range(1, len(regexp_extract_all(t, '{p}')) + 1)) AS i FROM d) WHERE {keep}")
 
 
-_ALLOWED = " OR ".join("regexp_matches(m, '" + p.replace("'", "''") + "')" for p in secrets.ALLOW)
+# the allow-list in its own words: numbers, UUIDs, words; windows that hold a placeholder do not count
+_ALLOWED = r"""regexp_matches(m, '^[0-9]+([-_/+][0-9]+)*$') OR regexp_matches(lower(m), '^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$') OR
+  (regexp_matches(m, '^[A-Za-z/_+-]+$') AND regexp_matches(m, '[A-Za-z]')
+  AND length(regexp_replace(m, '[^A-Za-z]', '', 'g')) >= 3 * len(list_filter(string_split_regex(regexp_replace(m, '([a-z])([A-Z])', '\1-\2', 'g'), '[-_/+]'), lambda p: p <> ''))
+  AND len(list_filter(string_split_regex(regexp_replace(m, '([a-z])([A-Z])', '\1-\2', 'g'), '[-_/+]'),
+    lambda p: p <> '' AND NOT regexp_matches(p, '^[A-Z]?[a-z]{1,15}$') AND NOT regexp_matches(p, '^[A-Z]{1,15}$') AND NOT (regexp_matches(p, '^([A-Z]?[a-z]+|[A-Z]+)$')
+      AND NOT regexp_matches(regexp_replace(lower(p), 'sch|ch|ck|ph|th|st|ng|ff|ll|mm|nn|ss|tt', 'x', 'g'), '[bcdfghjklmnpqrstvwxz]{6}')
+      AND length(regexp_replace(regexp_replace(lower(p), 'sch|ch|ck|ph|th|st|ng|ff|ll|mm|nn|ss|tt', 'x', 'g'), '[^aeiouy]', '', 'g'))
+        >= CAST(0.3 AS DOUBLE) * length(regexp_replace(lower(p), 'sch|ch|ck|ph|th|st|ng|ff|ll|mm|nn|ss|tt', 'x', 'g'))))) = 0)"""
+_PLACEHOLDERS = "regexp_matches(lower(w), 'example|sample|dummy|placeholder|xxxx|0123456789')"
 ORACLE["op5_secret_scan"] = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 base AS ({' UNION ALL '.join(_duck_spans(k, p, g, f'length(part) >= {n}') for k, p, n, g in secrets.BASE)}),
 cand AS (SELECT * FROM ({_duck_spans('c', secrets.CANDIDATE, 0, 'true')}) WHERE NOT ({_ALLOWED})),
 win AS (SELECT rid, s, m, i, CASE WHEN regexp_matches(m, '^[0-9a-fA-F]+$') THEN 1 ELSE 0 END AS h, substr(m, i::BIGINT, 16) AS w
-        FROM (SELECT *, unnest(range(1, length(m) - 14)) AS i FROM cand)),
+        FROM (SELECT *, unnest(range(1, length(m) - 14)) AS i FROM cand) WHERE NOT {_PLACEHOLDERS}),
 chars AS (SELECT rid, s, m, i, h, c, count(*) AS n FROM (SELECT *, unnest(string_split(w, '')) AS c FROM win) GROUP BY ALL),
 hot AS (SELECT rid, s, m, i, h FROM chars GROUP BY rid, s, m, i, h
         HAVING -sum(n / 16.0 * log2(n / 16.0)) >= CASE WHEN h = 1 THEN 3.0 ELSE 3.5 END - 1e-9),
@@ -214,14 +223,17 @@ def _duck_licences() -> str:
     same = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in licences.SAME.items()) + "}"
     words = (f"list_transform(list_filter(string_split(regexp_replace(translate(l, '{marks}', '{' ' * len(marks)}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]', ' ', 'g'), ' '), "
              f"lambda w: w <> ''), lambda w: coalesce({same}[w], w))")
+    titles = "[" + ", ".join(f"'{t}'" for t in licences.TITLES) + "]"
     lines = ("list_filter(string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)), "
-             "lambda l: NOT regexp_matches(l, '^[\\x20\\x09-\\x0D]*(copyright|\\(c\\)|\u00a9|all rights reserved)'))")
-    return f"list_filter(list_transform({lines}, lambda l: array_to_string({words}, ' ')), lambda c: c <> '')"
+             "lambda l: NOT regexp_matches(l, '^[\\x20\\x09\\x0B-\\x0D#*/;!<-]*(copyright|\\(c\\)|\u00a9|all rights reserved)') "
+             f"OR regexp_matches(l, '^[\\x20\\x09\\x0B-\\x0D#*/;!<-]*copyright([a-z]|[\\x20\\x09]+({'|'.join(licences.NO_CLAIM)})([^a-z]|$))'))")
+    return f"list_filter(list_transform({lines}, lambda l: array_to_string({words}, ' ')), lambda c: c <> '' AND NOT list_contains({titles}, c))"
 
 
 ORACLE["op3_licence_digests"] = f"""
 WITH k(name, text) AS (VALUES {", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licences.KNOWN)}),
-kd AS (SELECT sha256(array_to_string({_duck_licences()}, ' ')) AS digest, min(name) AS name FROM k GROUP BY 1),
+kd AS (SELECT digest, min(name) AS name FROM (SELECT sha256(array_to_string({_duck_licences()}, ' ')) AS digest, name FROM k UNION ALL
+       SELECT digest, name FROM (VALUES {", ".join(f"('{n}', '{h}')" for n, h in licences.DIGESTS)}) g(name, digest)) GROUP BY 1),
 d AS (SELECT row_number() OVER () AS rid, doc_id, {_duck_licences()} AS lines FROM documents),
 w AS (SELECT rid, doc_id, sha256(array_to_string(lines, ' ')) AS digest FROM d),
 n AS (SELECT rid, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FROM (SELECT rid, sha256(l) AS digest FROM (SELECT rid, unnest(lines) AS l FROM d)) JOIN kd USING (digest) GROUP BY rid)

@@ -9,8 +9,11 @@ character counts and the sum of n*log2(n) are updated by one leaving and one
 entering character (never recounted), so each step costs the same however long
 the candidate is.  The threshold depends on the candidate's character class
 (hexadecimal digits only, or mixed).  The reported span runs from the first to
-the last window that reaches it.  Candidates on the allow-list (words, numbers,
-UUIDs, placeholders) are dropped before windows are looked at.
+the last window that reaches it.  Allow-list: candidates that are numbers, UUIDs or
+words are dropped before windows are looked at, and windows that hold a
+placeholder (``example``, ``xxxx``, ...) do not count - the rest of the candidate
+does.  Words are judged by shape (``_words_sql``): pieces between ``- _ / +`` and
+humps of camel case must look like words and have three letters on average, so a random string of letters is none.
 
 Defined results: a null or empty text has no spans; repeated rows and ties give
 one result for each row; nothing depends on other rows, so there is no shuffle
@@ -32,13 +35,18 @@ BASE = (
 )
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-# Strings that look random but are not secrets.
+# Whole candidates that are no secrets.
 ALLOW = (
-    r"^[A-Za-z]+([-_/+][A-Za-z]+)*$",
     r"^[0-9]+([-_/+][0-9]+)*$",
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
-    r"(?i)example|sample|dummy|placeholder|xxxx|0123456789",
 )
+# What stands for a secret in examples.
+PLACEHOLDER = r"(?i:example|sample|dummy|placeholder|xxxx|0123456789)"
+# The shape of a word, and of what no word holds; a longer word needs its share of vowels.  Letters that
+# stand for one sound, and doubled ones, count as one consonant there.
+WORD = r"^([A-Z]?[a-z]{1,15}|[A-Z]{1,15})$"
+LONG_WORD, HARD, ONE_SOUND = r"^([A-Z]?[a-z]{16,}|[A-Z]{16,})$", r"[bcdfghjklmnpqrstvwxz]{6}", r"sch|ch|ck|ph|th|st|ng|ff|ll|mm|nn|ss|tt"
+VOWELS, VOWEL_SHARE, MEAN_PIECE = r"[^aeiouy]", 0.3, 3
 
 
 @dataclass(frozen=True)
@@ -84,25 +92,38 @@ def _base_sql(text: str, order: int, kind: str, pattern: str, least: int, group:
             f"m -> named_struct('start', m.start, 'ord', {order}, 'kind', '{kind}', 'end', m.end)) ELSE {_EMPTY} END")
 
 
+def _words_sql(token: str) -> str:
+    """SQL for whether a candidate is words: letters in pieces and humps that are each shaped like one."""
+    pieces = f"split(regexp_replace({token}, '([a-z])([A-Z])', '$1-$2'), '[-_/+]')"
+    sounds = f"regexp_replace(lower(p), '{ONE_SOUND}', 'x')"
+    vowels = f"length(regexp_replace({sounds}, '{VOWELS}', '')) >= {VOWEL_SHARE}D * length({sounds})"
+    shaped = f"p = '' OR p RLIKE '{WORD}' OR (p RLIKE '{LONG_WORD}' AND NOT {sounds} RLIKE '{HARD}' AND {vowels})"
+    long = f"length(regexp_replace({token}, '[^A-Za-z]', '')) >= {MEAN_PIECE} * size(filter({pieces}, p -> p <> ''))"
+    return f"({token} RLIKE '^[A-Za-z/_+-]*[A-Za-z][A-Za-z/_+-]*$' AND {long} AND forall({pieces}, p -> {shaped}))"
+
+
 def _windows_sql(token: str, bits: str, window: int) -> str:
-    """SQL for struct<first, last>: ends of the first and last window that reach ``bits`` (0: none)."""
+    """SQL for struct<first, last>: ends of the first and last window that reach ``bits`` and hold no placeholder (0: none)."""
     f = "CASE WHEN {n} > 1 THEN {n} * log2({n}) ELSE 0D END"
     n, k = "element_at(a.n, e.c)", "e.d"
     total = f"(a.s + {f.format(n=f'({n} + {k})')} - {f.format(n=n)})"
-    hot = f"(e.d = 1 AND e.i >= {window} AND log2({window}) - {total} / {window} >= {bits} - 1e-9)"
+    clear = f"(size(x.marks) = 0 OR NOT exists(x.marks, p -> p.start >= e.i - {window} AND p.end <= e.i))"
+    hot = f"(e.d = 1 AND e.i >= {window} AND log2({window}) - {total} / {window} >= {bits} - 1e-9 AND {clear})"
     events = (f"flatten(transform(x.codes, (c, i) -> concat("
               f"CASE WHEN i >= {window} THEN array(named_struct('i', i + 1, 'd', -1, 'c', x.codes[i - {window}])) "
               f"ELSE cast(array() as array<struct<i:int,d:int,c:int>>) END, "
               f"array(named_struct('i', i + 1, 'd', 1, 'c', c)))))")
     step = (f"(a, e) -> named_struct('n', transform(a.n, (v, j) -> CASE WHEN j = e.c - 1 THEN v + e.d ELSE v END), 's', {total}, "
             f"'first', CASE WHEN a.first = 0 AND {hot} THEN e.i ELSE a.first END, 'last', CASE WHEN {hot} THEN e.i ELSE a.last END)")
-    return (f"transform(array(named_struct('codes', transform(split({token}, ''), ch -> locate(ch, '{ALPHABET}')))), "
+    marks = (f"CASE WHEN {token} RLIKE {_quoted(PLACEHOLDER)} THEN transform({_matches(token, PLACEHOLDER, 0)}, m -> named_struct('start', m.start, 'end', m.end)) "
+             "ELSE cast(array() as array<struct<start:int,end:int>>) END")
+    return (f"transform(array(named_struct('marks', {marks}, 'codes', transform(split({token}, ''), ch -> locate(ch, '{ALPHABET}')))), "
             f"x -> aggregate({events}, named_struct('n', array_repeat(0, {len(ALPHABET)}), 's', 0D, 'first', 0, 'last', 0), {step}))[0]")
 
 
 def _entropy_sql(text: str, e: Entropy) -> str:
     found = _matches(text, CANDIDATE, 0)
-    allowed = " OR ".join(f"m.token RLIKE {_quoted(p)}" for p in ALLOW)
+    allowed = " OR ".join([*(f"m.token RLIKE {_quoted(p)}" for p in ALLOW), _words_sql("m.token")])
     is_hex = "m.token RLIKE '^[0-9a-fA-F]+$'"
     bits = f"CASE WHEN {is_hex} THEN {e.hex_bits}D ELSE {e.mixed_bits}D END"
     scored = (f"transform(filter({found}, m -> NOT ({allowed})), m -> named_struct('m', m, 'w', "

@@ -5,7 +5,12 @@ subdomain of it and whose path starts with the rule's path; the longest wins.
 
 Urls a rule fits are the labels for the rest: Spark's FP-growth mines them for
 combinations of tokens (host labels, path words, query keys; numbers count as
-one token) that come with a verdict.  Mined rules are pruned by support, by
+one token) that come with a verdict.  FP-growth lists itemsets of every length, so a
+long url that is repeated would cost a power of its tokens; two reductions that lose no
+rule come first.  A token that always comes with one verdict is a rule by itself, and any
+rule with more tokens around it is redundant, so it leaves the transactions.  Tokens that
+are in exactly the same urls are one item while mining, and every one of them after.
+Mined rules are pruned by support, by
 confidence, by length, and by redundancy (a rule goes if a rule on a subset of
 its tokens has the same verdict and at least its confidence).  They are
 matched by an inverted index: a rule is listed under its rarest token, a url
@@ -25,6 +30,8 @@ no labelled urls nothing is mined.  Other columns are not looked at.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,24 +79,48 @@ def tokens() -> Column:
         transform(filter(split(query, '[&=]'), (x, i) -> i % 2 = 0 AND x <> ''), x -> concat('q:', x)))))""")
 
 
+def _alike(items: DataFrame, mixed: DataFrame) -> DataFrame:
+    """token, item (the first token that is in exactly the same rows) of the tokens of ``mixed``."""
+    rows = items.select(F.xxhash64("tokens").cast("decimal(38,0)").alias("h"), F.xxhash64(F.lit("again"), "tokens").alias("g"), F.explode("tokens").alias("token"))
+    same = rows.join(mixed, "token").groupBy("token").agg(F.count("*").alias("n"), F.sum("h").alias("h"), F.sum(F.col("g").cast("decimal(38,0)")).alias("g"))
+    first = same.groupBy("n", "h", "g").agg(F.min("token").alias("item"))
+    return same.join(first, ["n", "h", "g"]).select("token", "item")
+
+
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, longest: int = LONGEST) -> DataFrame:
     """antecedent (sorted tokens), key (its rarest token), verdict, confidence, support from rows (tokens, verdict)."""
-    items = labelled.where(F.size("tokens") > 0).select(F.concat("tokens", F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
-    items = stored(items, "url-items")
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
+    items = stored(labelled.where(F.size("tokens") > 0).select("tokens", "verdict", F.monotonically_increasing_id().alias("row")), "url-items")
+    total = items.count()
+    least = math.ceil(support * total)
+    known = items.select("verdict", F.explode("tokens").alias("token")).groupBy("token", "verdict").agg(F.count("*").alias("c"))
+    freq = known.groupBy("token").agg(F.sum("c").alias("freq"), F.max("c").alias("most"))
+    freq = stored(freq.where(F.col("freq") >= max(least, 1)), "url-tokens")
+    pure = known.join(freq.where("freq = most"), "token").select(
+        F.array("token").alias("antecedent"), "verdict", F.lit(1.0).alias("confidence"), (F.col("c") / F.lit(float(total or 1))).alias("support"))
+    alike = stored(_alike(items, freq.where("freq > most").select("token")), "url-alike")
+    kept = items.select("row", F.explode("tokens").alias("token")).join(alike, "token").groupBy("row").agg(F.collect_set("item").alias("some"))
+    whole = items.join(kept, "row", "left").select(F.concat(F.coalesce("some", F.array().cast("array<string>")), F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
+    whole = stored(whole, "url-sets")
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(whole)
     rules = model.associationRules.where(F.col("consequent")[0].startswith("=") & (F.size("antecedent") <= longest)).where(
         "NOT exists(antecedent, x -> x LIKE '=%')")
     rules = rules.select(F.array_sort("antecedent").alias("antecedent"), F.substring(F.col("consequent")[0], 2, 100).alias("verdict"), "confidence", "support")
     rules = stored(rules, "url-mined")
-    single = model.freqItemsets.where("size(items) = 1").select(F.col("items")[0].alias("token"), "freq")
     general, special = rules.alias("g"), rules.alias("s")
     part = special.select("*", F.explode("antecedent").alias("one")).alias("s").join(
         general.select("*", F.col("antecedent")[0].alias("one")).alias("g"), "one").where(
         (F.col("s.verdict") == F.col("g.verdict")) & (F.size("g.antecedent") < F.size("s.antecedent")) & (F.col("g.confidence") >= F.col("s.confidence"))
         & (F.size(F.array_except("g.antecedent", "s.antecedent")) == 0))
     redundant = part.select(F.col("s.antecedent").alias("antecedent"), F.col("s.verdict").alias("verdict")).distinct()
-    kept = rules.join(redundant, ["antecedent", "verdict"], "left_anti")
-    keyed = kept.select("*", F.explode("antecedent").alias("token")).join(single, "token").groupBy(
+    left = rules.join(redundant, ["antecedent", "verdict"], "left_anti").withColumn("rule", F.monotonically_increasing_id())
+    left = stored(left, "url-left")
+    # every item stands for its tokens: one rule for each choice of them
+    groups = alike.groupBy("item").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    sides = left.select("rule", F.explode("antecedent").alias("item")).join(groups, "item").groupBy("rule").agg(F.collect_list("tokens").alias("sides"))
+    choices = F.expr("aggregate(sides, array(cast(array() as array<string>)), (acc, s) -> flatten(transform(acc, p -> transform(s, t -> concat(p, array(t))))))")
+    spread = left.drop("antecedent").join(sides, "rule").withColumn("antecedent", F.explode(choices)).withColumn("antecedent", F.array_sort("antecedent"))
+    every = spread.select("antecedent", "verdict", "confidence", "support").unionByName(pure)
+    keyed = every.select("*", F.explode("antecedent").alias("token")).join(freq.select("token", "freq"), "token").groupBy(
         "antecedent", "verdict", "confidence", "support").agg(F.min(F.struct("freq", "token")).alias("rarest"))
     return stored(keyed.select("antecedent", F.col("rarest.token").alias("key"), "verdict", "confidence", "support"), "url-rules")
 
