@@ -71,7 +71,7 @@ def _all_finite(cols: Sequence[str]) -> Column:
 
 def leaf_rows(k: int) -> int:
     """Most rows of a leaf: small leaves bound the k nearest tightly, so few rows are ranked."""
-    return max(16, k // 2)
+    return max(64, k // 2)
 
 
 def build_index(train: DataFrame, k: int, features: Sequence[str] = ("x1", "x2"), train_id: str = "id", y_col: str = "y",

@@ -1,7 +1,7 @@
 """Leaf directory: feature rows in leaves of bounded size, found through a tree of boxes.
 
 The rows are split level by level, each node along the feature in which it is
-widest, at quantiles of that feature (``FAN`` parts at most; at the middle where
+widest (between its outer quantiles), at quantiles of that feature (``FAN`` parts at most; at the middle where
 quantiles cannot part it).  A node of at most ``leaf_rows`` rows, or of one
 feature point, is a leaf, so leaves stay that small whatever the number of rows;
 the number of levels follows its logarithm.  A level is one partial + final
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from brisa.session import cut_lineage
 
-FAN = 16
+FAN = 32
 #: Nodes of a level up to which their cuts or children are broadcast (some 1 KB each).
 SMALL_NODES = 1 << 14
 #: Relative error of the quantiles is 1 / ACCURACY; a node that comes out too large is split again.
@@ -71,10 +71,12 @@ def _cuts(open_rows: DataFrame, dims: int, leaf_rows: int) -> DataFrame:
     of = lambda name: "array(" + ", ".join(f"{name}{i}" for i in range(dims)) + ")"
     wide = "array(" + ", ".join(f"hi{i} / 2 - lo{i} / 2" for i in range(dims)) + ")"
     nodes = nodes.withColumn("wide", F.expr(wide)).filter((F.col("n") > leaf_rows) & (F.array_max("wide") > 0))
-    nodes = nodes.withColumn("dim", F.expr("CAST(array_position(wide, array_max(wide)) AS INT)"))
+    # between the outer quantiles, so that a few stragglers do not hide where the rows are; else over all
+    nodes = nodes.withColumn("inner", F.expr("array(" + ", ".join(f"q{i}[{FAN - 2}] / 2 - q{i}[0] / 2" for i in range(dims)) + ")"))
+    nodes = nodes.withColumn("dim", F.expr("CAST(IF(array_max(inner) > 0, array_position(inner, array_max(inner)), array_position(wide, array_max(wide))) AS INT)"))
     nodes = nodes.select("g", "path", "dim", "n", *(F.expr(f"element_at({of(c)}, dim)").alias(c) for c in ("lo", "hi", "q")))
-    # 2, 4, ... FAN parts, as many as leaves are wanted
-    parts = F.least(F.lit(FAN), F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / leaf_rows)))).cast("int")
+    # 4, 8, ... FAN parts: twice as many as leaves are wanted, so that uneven parts need no further level
+    parts = F.least(F.lit(FAN), F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / leaf_rows)) + 1)).cast("int")
     nodes = nodes.withColumn("parts", parts)
     cuts = F.expr(f"array_sort(array_distinct(filter(q, (x, i) -> (i + 1) % ({FAN} DIV parts) = 0 AND x < hi)))")
     middle = F.expr("IF(lo / 2 + hi / 2 < hi, greatest(lo, lo / 2 + hi / 2), lo)")
@@ -98,7 +100,7 @@ def build(points: DataFrame, dims: int, leaf_rows: int) -> Directory:
         rows = rows.withColumn("path", F.when(F.col("open"), down).otherwise(F.col("path"))).drop("dim", "cuts", "value")
         if n > SMALL_NODES:
             rows = cut_lineage(rows)
-    rows = cut_lineage(rows.drop("open"))
+    rows = rows.drop("open")  # the levels' cuts are written; a row's path is worked out from them on each read
     return Directory(rows, _directory(rows, dims, len(sizes)), dims, sizes)
 
 

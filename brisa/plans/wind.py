@@ -96,7 +96,7 @@ def grid_search_cv(train: DataFrame, id_col: str, target: str = "Energy", k_max:
     all folds and all k.  Output ``(k, mean_r2, folds)``; a k larger than
     the training part of a fold has no score there (see ``folds``).
     """
-    f = KNN.hash_fold(train, id_col, n_folds, seed)
+    f = cut_lineage(KNN.hash_fold(train, id_col, n_folds, seed))  # read as training rows, as queries and as truth
     preds = KNN.knn_all_k(f, f, k_max, features=features, train_id=id_col, test_id=id_col, y_col=target,
                           tag_col="fold", admit="other")
     truth = f.select(F.col(id_col).alias("qid"), F.col(target).cast("double").alias("y"))

@@ -78,8 +78,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def scratch_scope(spark: SparkSession) -> Iterator[str]:
     """Remove the written scratch tables of the calls inside, at the end.
 
-    Results that read them must be consumed (collected or written elsewhere) inside.  Checkpoints are
-    removed by Spark itself with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    Results that read them must be consumed (collected or written elsewhere) inside.
     """
     _scope.append(f"scope-{uuid.uuid4().hex[:12]}")
     path = "/".join([checkpoint_dir(spark).rstrip("/"), "brisa-scratch", *_scope])
@@ -92,15 +91,11 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint that computes ``df`` once.
+    """``df`` written to the shared scratch folder and read back.
 
-    Writing a checkpoint re-runs the plan unless the rows are persisted, so
-    persist (memory, spilling to disk), write the checkpoint to the shared
-    folder, then release the persisted copy: later reads use the files.
+    The plan runs once, in one job; later reads use the files, with the reader's pruning and
+    pushed filters, and a lost executor costs nothing but reading them again.
     """
-    from pyspark import StorageLevel
-    checkpoint_dir(df.sparkSession)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = kept.checkpoint(eager=True)
-    kept.unpersist()
-    return out
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
