@@ -107,8 +107,9 @@ def build(points: DataFrame, dims: int, leaf_rows: int) -> Directory:
 def _directory(rows: DataFrame, dims: int, depth: int) -> DataFrame:
     every = range(dims)
     merged = [F.sum("n").alias("n"), *(F.min(f"lo{i}").alias(f"lo{i}") for i in every), *(F.max(f"hi{i}").alias(f"hi{i}") for i in every)]
-    cells = cut_lineage(rows.groupBy("g", "path", "t").agg(F.count(F.lit(1)).alias("n"), *(F.min(f"c{i}").alias(f"lo{i}") for i in every),
-                                                           *(F.max(f"c{i}").alias(f"hi{i}") for i in every)))
+    # each level below reads the same exchange of this aggregation
+    cells = rows.groupBy("g", "path", "t").agg(F.count(F.lit(1)).alias("n"), *(F.min(f"c{i}").alias(f"lo{i}") for i in every),
+                                               *(F.max(f"c{i}").alias(f"hi{i}") for i in every))
     level = F.expr("length(path) - length(replace(path, '.', ''))")
     cells = cells.withColumn("leaf", F.lit(True)).withColumn("depth", level)
     box = F.struct("path", "leaf", F.array(*(F.col(f"lo{i}") for i in every)).alias("lo"), F.array(*(F.col(f"hi{i}") for i in every)).alias("hi"), "tags")

@@ -102,7 +102,7 @@ def wind_rows(spark, d):
 
 
 def _parts(spark, d):
-    rows = wind_rows(spark, d)
+    rows = cut_lineage(wind_rows(spark, d))  # read as training rows, as queries and as truth
     return rows.filter(~F.col("is_test")), rows.filter(F.col("is_test"))
 
 
