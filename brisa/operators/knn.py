@@ -88,21 +88,53 @@ def build_index(train: DataFrame, k: int, features: Sequence[str] = ("x1", "x2")
     return LV.build(tr, len(features), leaf_rows(k))
 
 
-def search(index: LV.Directory, test: DataFrame, k: int, features: Sequence[str] = ("x1", "x2"), test_id: str = "id",
-           group_col: str | None = None, carry: Sequence[str] = (), tag_col: str | None = None, admit: str | None = None) -> DataFrame:
-    """The ``k`` nearest rows of an index (built for ``k`` or more) for every row of ``test``; see ``nearest``."""
+def _asked(index: LV.Directory, test: DataFrame, features: Sequence[str], test_id: str, group_col: str | None, tag_col: str | None,
+           admit: str | None) -> tuple[DataFrame, bool]:
+    """The queries (g, qt, qid, q0..), written, and whether an id is asked more than once in a group or tag."""
     group = F.col(group_col) if group_col else F.lit(0)
     tag = F.col(tag_col).cast("int") if admit else F.lit(0)
-    at, asked = [f"c{i}" for i in range(len(features))], [f"q{i}" for i in range(len(features))]
+    asked = [f"q{i}" for i in range(len(features))]
     te = test.select(group.alias("g"), tag.alias("qt"), F.col(test_id).alias("qid"), *(_d(f).alias(c) for f, c in zip(features, asked))).filter(_all_finite(asked))
     # a constant group would fold the join with the directory into a cross join; a checkpointed one is a plain key
     te = cut_lineage(te)
-    met = LV.candidates(index, te, k, ADMIT[admit]).join(index.rows, ["g", "path"]).filter(F.expr(ADMIT[admit].format(t="t", q="qt")))
-    d2 = _distance(asked, at)
-    met = met.select((F.col("qt") if admit else F.col("g")).alias("g"), "qid", "rid", "y", d2.alias("d2"), *carry)
-    order = Window.partitionBy("g", "qid").orderBy("d2", "rid")
-    ranked = met.withColumn("rk", F.row_number().over(order)).filter(F.col("rk") <= k)
-    return ranked.select("g", "qid", "rk", "rid", "y", "d2", *carry)
+    again = te.groupBy("qt" if admit else "g", "qid").count().filter("count > 1")
+    return te, not again.isEmpty()
+
+
+def _ranked(index: LV.Directory, te: DataFrame, k: int, admit: str | None, carry: Sequence[str]) -> DataFrame:
+    """(g, qt, q0.., rk, rid, y, d2, *carry): the ``k`` nearest rows of each different point of ``te``.
+
+    Queries at one point (and tag) have the same neighbours, so a point is searched once.
+    """
+    at, asked = [f"c{i}" for i in range(index.dims)], [f"q{i}" for i in range(index.dims)]
+    point = ["g", "qt", *asked]
+    met = LV.candidates(index, te.select(*point).distinct(), k, ADMIT[admit]).join(index.rows, ["g", "path"])
+    met = met.filter(F.expr(ADMIT[admit].format(t="t", q="qt"))).withColumn("d2", _distance(asked, at))
+    # no row beyond the radius is ranked
+    met = met.filter(F.col("d2") <= F.col("r") * (1 + LV.EPS)).select(*point, "rid", "y", "d2", *carry)
+    order = Window.partitionBy(*point).orderBy("d2", "rid")
+    return met.withColumn("rk", F.row_number().over(order)).filter(F.col("rk") <= k)
+
+
+def _by_query(te: DataFrame, found: DataFrame, admit: str | None) -> DataFrame:
+    """What was found for the points, by (g, qid) of the queries at them."""
+    point = ["g", "qt", *(c for c in te.columns if c not in ("g", "qt", "qid"))]
+    met = te.join(found, point)
+    return met.select((F.col("qt") if admit else F.col("g")).alias("g"), "qid", *(c for c in found.columns if c not in point))
+
+
+def search(index: LV.Directory, test: DataFrame, k: int, features: Sequence[str] = ("x1", "x2"), test_id: str = "id",
+           group_col: str | None = None, carry: Sequence[str] = (), tag_col: str | None = None, admit: str | None = None) -> DataFrame:
+    """The ``k`` nearest rows of an index (built for ``k`` or more) for every row of ``test``; see ``nearest``."""
+    return _search(index, *_asked(index, test, features, test_id, group_col, tag_col, admit), k, admit, carry)
+
+
+def _search(index: LV.Directory, te: DataFrame, repeated: bool, k: int, admit: str | None, carry: Sequence[str] = ()) -> DataFrame:
+    met = _by_query(te, _ranked(index, te, k, admit, carry), admit)
+    if repeated:  # rows that share an id are one query: the nearest of them all
+        order = Window.partitionBy("g", "qid").orderBy("d2", "rid")
+        met = met.withColumn("rk", F.row_number().over(order)).filter(F.col("rk") <= k)
+    return met.select("g", "qid", "rk", "rid", "y", "d2", *carry)
 
 
 def _distance(asked: Sequence[str], at: Sequence[str]) -> Column:
@@ -127,10 +159,28 @@ def nearest(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] =
     return search(index, test, k, features, test_id, group_col, carry, tag_col, admit)
 
 
+def _prepared(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] = ("x1", "x2"), train_id: str = "id", test_id: str = "id",
+              y_col: str = "y", group_col: str | None = None, tag_col: str | None = None, admit: str | None = None):
+    index = build_index(train, k, features, train_id, y_col, group_col, (), tag_col if admit else None)
+    return index, *_asked(index, test, features, test_id, group_col, tag_col, admit), k, admit
+
+
 def knn_predict(train: DataFrame, test: DataFrame, k: int, **kw) -> DataFrame:
     """Uniform-weight KNN regression: mean target of the k nearest rows."""
-    nb = nearest(train, test, k, **kw)
-    return nb.groupBy("g", "qid").agg(F.avg("y").alias("prediction"))
+    return _predict(*_prepared(train, test, k, **kw))
+
+
+def search_predict(index: LV.Directory, test: DataFrame, k: int, features: Sequence[str] = ("x1", "x2"), test_id: str = "id",
+                   group_col: str | None = None, tag_col: str | None = None, admit: str | None = None) -> DataFrame:
+    """``knn_predict`` with an index that is there already."""
+    return _predict(index, *_asked(index, test, features, test_id, group_col, tag_col, admit), k, admit)
+
+
+def _predict(index: LV.Directory, te: DataFrame, repeated: bool, k: int, admit: str | None) -> DataFrame:
+    if repeated:
+        return _search(index, te, repeated, k, admit).groupBy("g", "qid").agg(F.avg("y").alias("prediction"))
+    point = ["g", "qt", *(f"q{i}" for i in range(index.dims))]
+    return _by_query(te, _ranked(index, te, k, admit, ()).groupBy(*point).agg(F.avg("y").alias("prediction")), admit)
 
 
 def knn_all_k(train: DataFrame, test: DataFrame, k_max: int, **kw) -> DataFrame:
@@ -139,9 +189,21 @@ def knn_all_k(train: DataFrame, test: DataFrame, k_max: int, **kw) -> DataFrame:
     The running mean over the neighbour rank gives the k-NN prediction for
     each k at once; ``(g, qid, k, prediction)``.
     """
-    nb = nearest(train, test, k_max, **kw)
-    w = Window.partitionBy("g", "qid").orderBy("rk").rowsBetween(Window.unboundedPreceding, 0)
-    return nb.select("g", "qid", F.col("rk").alias("k"), F.avg("y").over(w).alias("prediction"))
+    return knn_curves(train, test, k_max, **kw).select("g", "qid", F.posexplode("curve").alias("k", "prediction")).withColumn("k", F.col("k") + 1)
+
+
+def knn_curves(train: DataFrame, test: DataFrame, k_max: int, **kw) -> DataFrame:
+    """(g, qid, curve): the predictions for k = 1, 2.. of a query as one array, so that joins move a row per query."""
+    index, te, repeated, k, admit = _prepared(train, test, k_max, **kw)
+    if repeated:
+        return _curves(_search(index, te, repeated, k, admit), ["g", "qid"])
+    return _by_query(te, _curves(_ranked(index, te, k, admit, ()), ["g", "qt", *(f"q{i}" for i in range(index.dims))]), admit)
+
+
+def _curves(ranked: DataFrame, keys: list[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy("rk").rowsBetween(Window.unboundedPreceding, 0)
+    means = ranked.select(*keys, "rk", F.avg("y").over(w).alias("prediction"))
+    return means.groupBy(*keys).agg(F.expr("transform(array_sort(collect_list(struct(rk, prediction))), x -> x.prediction)").alias("curve"))
 
 
 def knn_lattice(train: DataFrame, test: DataFrame, k: int, features: Sequence[str] = ("x1", "x2"),

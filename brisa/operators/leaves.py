@@ -130,36 +130,40 @@ def _directory(rows: DataFrame, dims: int, depth: int) -> DataFrame:
 
 
 def candidates(directory: Directory, asked: DataFrame, k: int, may: str) -> DataFrame:
-    """``asked`` (g, qt, qid, q0..) with the ``path`` of every leaf that may hold one of its k nearest rows.
+    """``asked`` (g, qt, q0.., each point once) with the ``path`` of every leaf that may hold one of its k nearest
+    rows, and ``r``: the squared distance within which they lie.
 
     ``may`` is SQL over a row's tag {t} and the query's tag {q}.
     """
     every = range(directory.dims)
-    keys = ["g", "qt", "qid", *(f"q{i}" for i in every)]
-    far = " + ".join(f"pow(greatest(abs(q{i} - b.lo[{i}]), abs(q{i} - b.hi[{i}])), 2)" for i in every)
-    near = " + ".join(f"pow(greatest(b.lo[{i}] - q{i}, q{i} - b.hi[{i}], 0D), 2)" for i in every)
+    keys = ["g", "qt", *(f"q{i}" for i in every)]
+    square = lambda x: f"({x}) * ({x})"
+    far = " + ".join(square(f"greatest(abs(q{i} - b.lo[{i}]), abs(q{i} - b.hi[{i}]))") for i in every)
+    near = " + ".join(square(f"greatest(b.lo[{i}] - q{i}, q{i} - b.hi[{i}], 0D)") for i in every)
     seen = f"""filter(transform(children, b -> named_struct('far', {far},
         'n', aggregate(b.tags, 0L, (s, e) -> s + IF({may.format(t='e.t', q='qt')}, e.n, 0L)),
         'near', {near}, 'leaf', b.leaf, 'path', b.path)), x -> x.n > 0)"""
-    reach = f"""aggregate(array_sort(seen), named_struct('n', 0L, 'r', 0D), (s, x) ->
-        IF(s.n >= {int(k)}, s, named_struct('n', s.n + x.n, 'r', x.far)), s -> s.r)"""
+    # the radius is bound by a lambda: as a column it would be put into the filter and worked out for each box
+    within = f"""transform(array(aggregate(array_sort(seen), named_struct('n', 0L, 'r', 0D), (s, x) ->
+        IF(s.n >= {int(k)}, s, named_struct('n', s.n + x.n, 'r', x.far)), s -> s.r)), r ->
+        named_struct('r', r, 'boxes', filter(seen, x -> x.near <= r * (1 + {EPS}))))[0]"""
     node = "array<struct<far:double,n:bigint,near:double,leaf:boolean,path:string>>"
     if not directory.sizes:
-        return asked.withColumn("path", F.lit(""))
+        return asked.withColumn("path", F.lit("")).withColumn("r", F.lit(float("inf")))
     state = asked
     for at, size in enumerate(directory.sizes):
         level = _small(directory.nodes.filter(F.col("level") == at).select("g", "path", "children"), size)
         if at == 0:
             # a group whose root is a leaf has no row here: its one leaf is the root
             state = state.join(level.drop("path"), "g", "left")
-            root = F.expr(f"CAST(array(named_struct('far', 0D, 'n', 0L, 'near', 0D, 'leaf', true, 'path', '')) AS {node})")
-            state = state.withColumn("seen", F.when(F.col("children").isNull(), root).otherwise(F.expr(seen).cast(node))).drop("children")
+            root = F.expr(f"CAST(array(named_struct('far', double('infinity'), 'n', 0L, 'near', 0D, 'leaf', true, 'path', '')) AS {node})")
+            state = state.select(*keys, F.when(F.col("children").isNull(), root).otherwise(F.expr(seen).cast(node)).alias("seen"))
         else:
             one = state.select(*keys, "done", F.explode_outer("open").alias("path")).join(level, ["g", "path"], "left")
             one = one.withColumn("more", F.when(F.col("children").isNull(), F.expr(f"CAST(array() AS {node})")).otherwise(F.expr(seen).cast(node)))
             state = one.groupBy(*keys).agg(F.first("done").alias("done"), F.flatten(F.collect_list("more")).alias("more"))
-            state = state.withColumn("seen", F.concat("done", "more")).drop("done", "more")
-        state = state.withColumn("r", F.expr(reach)).withColumn("seen", F.expr(f"filter(seen, x -> x.near <= r * (1 + {EPS}))"))
-        state = state.select(*keys, F.expr("filter(seen, x -> x.leaf)").alias("done"), F.expr("transform(filter(seen, x -> NOT x.leaf), x -> x.path)").alias("open"))
-    return state.select(*keys, F.explode(F.expr("transform(done, x -> x.path)")).alias("path"))
-
+            state = state.select(*keys, F.concat("done", "more").alias("seen"))
+        state = state.select(*keys, F.explode(F.array(F.expr(within))).alias("found"))
+        state = state.select(*keys, F.col("found.r").alias("r"), F.expr("filter(found.boxes, x -> x.leaf)").alias("done"),
+                             F.expr("transform(filter(found.boxes, x -> NOT x.leaf), x -> x.path)").alias("open"))
+    return state.select(*keys, "r", F.explode(F.expr("transform(done, x -> x.path)")).alias("path"))

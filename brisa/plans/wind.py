@@ -97,10 +97,10 @@ def grid_search_cv(train: DataFrame, id_col: str, target: str = "Energy", k_max:
     the training part of a fold has no score there (see ``folds``).
     """
     f = cut_lineage(KNN.hash_fold(train, id_col, n_folds, seed))  # read as training rows, as queries and as truth
-    preds = KNN.knn_all_k(f, f, k_max, features=features, train_id=id_col, test_id=id_col, y_col=target,
-                          tag_col="fold", admit="other")
+    preds = KNN.knn_curves(f, f, k_max, features=features, train_id=id_col, test_id=id_col, y_col=target,
+                           tag_col="fold", admit="other")
     truth = f.select(F.col(id_col).alias("qid"), F.col(target).cast("double").alias("y"))
-    scored = preds.join(truth, "qid")
+    scored = preds.join(truth, "qid").select("g", "y", F.posexplode("curve").alias("k", "prediction")).withColumn("k", F.col("k") + 1)
     per_fold = EV.r2_score(scored, "y", "prediction", ["g", "k"])
     return per_fold.groupBy("k").agg(F.avg("r2").alias("mean_r2"), F.count(F.lit(1)).alias("folds"))
 

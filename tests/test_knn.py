@@ -190,3 +190,44 @@ def test_null_and_nan_features_are_skipped(spark):
     got = KNN.knn_predict(spark.createDataFrame(train, "id long, x1 double, x2 double, y double"),
                           spark.createDataFrame(test, "id long, x1 double, x2 double"), 2).collect()
     assert [(r.qid, r.prediction) for r in got] == [(9, 2.0)]
+
+
+def test_a_point_is_searched_once(spark, monkeypatch):
+    """Sixty queries at six points, tags apart: one search for each point and tag, and each query has its neighbours."""
+    rng = np.random.default_rng(12)
+    train, test = _frames(rng, 500, 6)
+    test = pd.concat([test.assign(id=test.id + 100 * i, g=i % 2) for i in range(10)], ignore_index=True)
+    asked = []
+    real = KNN.LV.candidates
+    monkeypatch.setattr(KNN.LV, "candidates", lambda index, points, *more: asked.append(points.count()) or real(index, points, *more))
+    got = KNN.nearest(spark.createDataFrame(train), spark.createDataFrame(test), 4, tag_col="g", admit="other").toPandas()
+    assert asked == [12]
+    for q in test.itertuples():
+        want = brute(train[train.g != q.g].assign(g=0), test[test.id == q.id].assign(g=0), 4)
+        assert list(got[got.qid == q.id].sort_values("rk").rid) == list(want.values())[0][0]
+
+
+def test_only_rows_within_the_radius_are_ranked(spark):
+    rng = np.random.default_rng(13)
+    train, test = _frames(rng, 4000, 50)
+    index = KNN.build_index(spark.createDataFrame(train), 5)
+    te, repeated = KNN._asked(index, spark.createDataFrame(test), ("x1", "x2"), "id", None, None, None)
+    met = KNN.LV.candidates(index, te.select("g", "qt", "q0", "q1").distinct(), 5, "true").join(index.rows, ["g", "path"])
+    every, near = met.count(), met.filter(KNN._distance(["q0", "q1"], ["c0", "c1"]) <= F.col("r") * (1 + KNN.LV.EPS)).count()
+    assert not repeated and 50 * 5 <= near < every
+    plan = KNN.search(index, spark.createDataFrame(test), 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "* (1.0 + 1.0E-9)" in plan or "1.000000001" in plan
+
+
+def test_rows_that_share_an_id_are_one_query(spark):
+    rng = np.random.default_rng(14)
+    train, test = _frames(rng, 300, 8)
+    two = pd.concat([test, test.assign(x1=test.x1 + 0.3)], ignore_index=True)
+    got = KNN.nearest(spark.createDataFrame(train), spark.createDataFrame(two), 5).toPandas()
+    for qid in test.id:
+        d2 = [((q.x1 - t.x1) * (q.x1 - t.x1) + (q.x2 - t.x2) * (q.x2 - t.x2), t.id) for q in two[two.id == qid].itertuples() for t in train.itertuples()]
+        assert list(got[got.qid == qid].sort_values("rk").rid) == [i for _, i in sorted(d2)[:5]]
+    mean = KNN.knn_predict(spark.createDataFrame(train), spark.createDataFrame(two), 5).toPandas().set_index("qid").prediction
+    last = KNN.knn_all_k(spark.createDataFrame(train), spark.createDataFrame(two), 5).filter("k = 5").toPandas().set_index("qid").prediction
+    want = got.groupby("qid").y.mean()
+    assert np.allclose(mean.sort_index(), want) and np.allclose(last.sort_index(), want)
