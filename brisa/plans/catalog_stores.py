@@ -52,8 +52,8 @@ def knn_saved_index(spark, d):
     tr, te = _parts(spark, d)
     path = scratch_path(spark, "knn-index")
     KNN.build_index(tr, 3 * K).save(path)
-    nb = KNN.search(KNN.LV.Directory.load(spark, path), te, K)
-    return nb.groupBy(F.col("qid").alias("test_id")).agg(F.round(F.avg("y"), 6).alias("prediction"))
+    p = KNN.search_predict(KNN.LV.Directory.load(spark, path), te, K)
+    return p.select(F.col("qid").alias("test_id"), F.round("prediction", 6).alias("prediction"))
 
 
 # ------------------------------------------------------------------ S4-S6: the partitioned series
