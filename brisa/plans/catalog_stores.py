@@ -194,7 +194,7 @@ def indexed_phrases(spark, d):
     GROUP BY ALL""")
 def bucketed_star(spark, d):
     """Both joins of the star without a shuffle of the facts: one by business, its result's copy by user."""
-    star = ST.star(spark, 8)
+    star = ST.star(spark, 8, T(spark, d, "lineitem").count())
     parts = T(spark, d, "part").select(F.col("p_partkey").alias("business_id"), F.col("p_brand").alias("brand"))
     customers = T(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
     star.add("facts", S.user_reviews(spark, d), "business_id").add("parts", parts, "business_id").add("customers", customers, "user_id")
@@ -205,7 +205,7 @@ def bucketed_star(spark, d):
 @register("bucketed_influencers", ORACLE["e4_influencer_businesses"])
 def bucketed_influencers(spark, d):
     """E4 over the star: the reviews meet the influencers and the businesses in their buckets."""
-    star = ST.star(spark, 8).add("facts", S.user_reviews(spark, d), "user_id").add("influencers", E.e3_influencers(S.users(spark, d), 15), "user_id")
+    star = ST.star(spark, 8, T(spark, d, "lineitem").count()).add("facts", S.user_reviews(spark, d), "user_id").add("influencers", E.e3_influencers(S.users(spark, d), 15), "user_id")
     star.add("theirs", star.meet("facts", "influencers", "user_id", "left_semi"), "business_id")
     star.add("businesses", S.business(spark, d).select("business_id"), "business_id")
     return having_count(star.meet("theirs", "businesses", "business_id", "left_semi"), "business_id", 5)

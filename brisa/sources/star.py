@@ -54,9 +54,17 @@ class Star:
         self.tables.clear()
 
 
-def star(spark: SparkSession, buckets: int | None = None) -> Star:
-    """An empty star; buckets default to the shuffle partitions, so bucketed and shuffled sides fit together."""
-    return Star(spark, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: Rows of the largest fact that a bucket holds, about: a task sorts one bucket.
+BUCKET_ROWS = 1 << 20
+
+
+def star(spark: SparkSession, buckets: int | None = None, rows: int = 0) -> Star:
+    """An empty star; buckets default to the shuffle partitions, so bucketed and shuffled sides fit together.
+
+    With ``rows``, the number of rows of its largest table, there are as many more buckets as keep each small.
+    """
+    least = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return Star(spark, max(least, -(-rows // BUCKET_ROWS)))
 
 
 def review_star(spark: SparkSession, reviews: DataFrame, business: DataFrame, users: DataFrame, buckets: int | None = None) -> Star:

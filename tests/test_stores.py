@@ -300,3 +300,14 @@ def test_strict_finds_each_unusable_feature(spark):
     for bad in (3, 4):
         with pytest.raises(Exception, match="usable"):
             W.score_forecasts(model, 1, rows.filter(f"id = {bad}"), "id", strict=True).collect()
+
+
+@pytest.mark.parametrize("name", ["bucketed_star", "bucketed_influencers"])
+def test_buckets_grow_with_the_facts(spark, monkeypatch, name):
+    """A bucket holds about as many rows whatever the table; one more bucket for each."""
+    import __spark_entry__ as E
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    monkeypatch.setattr(ST, "BUCKET_ROWS", n // 20)
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    want = -(-n // (n // 20))
+    assert f"SelectedBucketsCount: {want} out of {want}" in plan
