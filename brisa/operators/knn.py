@@ -108,7 +108,10 @@ def _ranked(index: LV.Directory, te: DataFrame, k: int, admit: str | None, carry
     """
     at, asked = [f"c{i}" for i in range(index.dims)], [f"q{i}" for i in range(index.dims)]
     point = ["g", "qt", *asked]
-    met = LV.candidates(index, te.select(*point).distinct(), k, ADMIT[admit]).join(index.rows, ["g", "path"])
+    # the walk costs far more than a point's few bytes tell: a fixed number of tasks, that are not merged by size
+    tasks = int(te.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = te.select(*point).distinct().repartition(tasks, *point)
+    met = LV.candidates(index, points, k, ADMIT[admit]).join(index.rows, ["g", "path"])
     met = met.filter(F.expr(ADMIT[admit].format(t="t", q="qt"))).withColumn("d2", _distance(asked, at))
     # no row beyond the radius is ranked
     met = met.filter(F.col("d2") <= F.col("r") * (1 + LV.EPS)).select(*point, "rid", "y", "d2", *carry)
