@@ -9,8 +9,8 @@ No cross join and no all-pairs step: candidates come from leaves of bounded size
    before the shuffle.
 2. ``leaves.build`` splits the rows level by level into leaves of at most
    ``leaf_rows(k)`` rows, whatever their number, and keeps the tree as a table.
-3. ``leaves.candidates`` walks every query down the tree; all of its k
-   nearest lie in the few leaves it ends with.
+3. ``leaves.candidates`` walks small cells of queries down the tree; all of a
+   query's k nearest lie in the few leaves it ends with.
 4. One equi-join on the leaf and one ranking by ``(distance, id)``.
 
 Ties are broken by training id, so the result is deterministic and equals
@@ -108,9 +108,7 @@ def _ranked(index: LV.Directory, te: DataFrame, k: int, admit: str | None, carry
     """
     at, asked = [f"c{i}" for i in range(index.dims)], [f"q{i}" for i in range(index.dims)]
     point = ["g", "qt", *asked]
-    # the walk costs far more than a point's few bytes tell: a fixed number of tasks, that are not merged by size
-    tasks = int(te.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    points = te.select(*point).distinct().repartition(tasks, *point)
+    points = te.select(*point).distinct()
     met = LV.candidates(index, points, k, ADMIT[admit]).join(index.rows, ["g", "path"])
     met = met.filter(F.expr(ADMIT[admit].format(t="t", q="qt"))).withColumn("d2", _distance(asked, at))
     # no row beyond the radius is ranked

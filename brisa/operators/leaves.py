@@ -9,17 +9,19 @@ aggregation by node, and rows learn their node by a join with the level's cuts
 (broadcast while they are few, else shuffled).
 
 The directory is one table keyed by (g, level, path): each inner node has a row
-with its children's boxes and their row counts by tag.  A node's path is its
+with its cuts, its children's boxes and their row counts by tag.  A node's path is its
 parent's and its number, so no path needs more than the table itself.
 
-``candidates`` walks queries down the levels.  At each, the least radius within
-which whole boxes hold k rows bounds the answer, and only boxes that come within
-it are opened, so a query sees a few nodes of each level and no row of another
-leaf.
+``candidates`` gathers query points into small cells (``_cells``) and walks the
+cells' boxes down the levels.  At each, the least radius within which whole boxes
+hold k rows bounds the answer, and only boxes that come within it are opened; of
+the few leaves a cell ends with, each of its points keeps those within its own
+radius.  So a cell sees a few nodes of each level, and a point no row of another leaf.
 """
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,14 +87,18 @@ def _cuts(open_rows: DataFrame, dims: int, leaf_rows: int) -> DataFrame:
 
 def build(points: DataFrame, dims: int, leaf_rows: int) -> Directory:
     """Directory of ``points``: g, t (tag), c0..c<dims - 1> (finite doubles), and other columns to carry."""
-    rows = cut_lineage(points.withColumn("path", F.lit("")).withColumn("open", F.lit(True)))
+    # few bytes, but much work for each: as many files as tasks, so that every level is read by all cores
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = cut_lineage(points.withColumn("path", F.lit("")).withColumn("open", F.lit(True)).repartition(tasks))
     sizes: list[int] = []
+    levels: list[DataFrame] = []
     value = F.element_at(F.array(*[F.col(f"c{i}") for i in range(dims)]), F.col("dim"))
     while True:
         cuts = cut_lineage(_cuts(rows.filter("open"), dims, leaf_rows))
         n = cuts.count()
         if n == 0:
             break
+        levels.append(cuts.withColumn("level", F.lit(len(sizes))))
         sizes.append(n)
         rows = rows.drop("open").join(_small(cuts, n), ["g", "path"], "left").withColumn("open", F.col("cuts").isNotNull())
         rows = rows.withColumn("value", value)
@@ -100,12 +106,12 @@ def build(points: DataFrame, dims: int, leaf_rows: int) -> Directory:
         rows = rows.withColumn("path", F.when(F.col("open"), down).otherwise(F.col("path"))).drop("dim", "cuts", "value")
         if n > SMALL_NODES:
             rows = cut_lineage(rows)
-    rows = rows.drop("open")  # the levels' cuts are written; a row's path is worked out from them on each read
-    return Directory(rows, _directory(rows, dims, len(sizes)), dims, sizes)
+    rows = cut_lineage(rows.drop("open"))
+    return Directory(rows, _directory(rows, dims, levels), dims, sizes)
 
 
-def _directory(rows: DataFrame, dims: int, depth: int) -> DataFrame:
-    every = range(dims)
+def _directory(rows: DataFrame, dims: int, levels: list[DataFrame]) -> DataFrame:
+    every, depth = range(dims), len(levels)
     merged = [F.sum("n").alias("n"), *(F.min(f"lo{i}").alias(f"lo{i}") for i in every), *(F.max(f"hi{i}").alias(f"hi{i}") for i in every)]
     # each level below reads the same exchange of this aggregation
     cells = rows.groupBy("g", "path", "t").agg(F.count(F.lit(1)).alias("n"), *(F.min(f"c{i}").alias(f"lo{i}") for i in every),
@@ -125,8 +131,33 @@ def _directory(rows: DataFrame, dims: int, depth: int) -> DataFrame:
         below = kids.groupBy("g", parent.alias("path"), "t").agg(*merged).withColumn("leaf", F.lit(False))
     if out is None:
         kind = rows.schema["g"].dataType.simpleString()
-        return rows.sparkSession.createDataFrame([], f"g {kind}, path string, children array<struct<path:string>>, level int")
-    return cut_lineage(out)
+        return rows.sparkSession.createDataFrame([], f"g {kind}, path string, children array<struct<path:string>>, level int, dim int, cuts array<double>")
+    return cut_lineage(out.join(functools.reduce(DataFrame.unionByName, levels), ["g", "level", "path"]))
+
+
+def _cells(directory: Directory, asked: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``asked`` with the columns that say in which cell a point lies, and their names.
+
+    A point goes down the cuts to its leaf; beside the leaf's box, cells are as wide as that box is (at least half an
+    even share of its parent's), so points of a cell lie as near each other as a leaf's rows.
+    """
+    every = range(directory.dims)
+    value = F.element_at(F.array(*[F.col(f"q{i}") for i in every]), F.col("dim"))
+    state = asked.withColumn("home", F.lit(""))
+    for at, size in enumerate(directory.sizes):
+        level = _small(directory.nodes.filter(F.col("level") == at).select("g", F.col("path").alias("home"), "dim", "cuts"), size)
+        state = state.join(level, ["g", "home"], "left").withColumn("value", value)
+        down = F.concat("home", F.lit("."), F.expr("size(filter(cuts, c -> c < value))").cast("string"))
+        state = state.withColumn("home", F.when(F.col("cuts").isNotNull(), down).otherwise(F.col("home"))).drop("dim", "cuts", "value")
+    own = ", ".join(f"b.hi[{i}] - b.lo[{i}]" for i in every)
+    share = ", ".join(f"(array_max(transform(children, x -> x.hi[{i}])) - array_min(transform(children, x -> x.lo[{i}]))) / (2 * size(children))" for i in every)
+    leaf = directory.nodes.select("g", "children", F.expr(f"greatest({share}, 0D)").alias("share")).select("g", "share", F.explode("children").alias("b"))
+    leaf = leaf.filter("b.leaf").select("g", F.col("b.path").alias("home"), "b.lo", "b.hi", F.expr(f"greatest({own}, share)").alias("unit"))
+    state = state.join(_small(leaf, sum(directory.sizes)), ["g", "home"], "left")
+    beside = [F.expr(f"q{i} - greatest(least(q{i}, hi[{i}]), lo[{i}])") for i in every]
+    names = [f"o{i}" for i in every]
+    cell = [F.when(F.col("lo").isNull(), F.lit(0.0)).when(F.col("unit") > 0, F.rint(b / F.col("unit"))).otherwise(b) + F.lit(0.0) for b in beside]
+    return state.select(*asked.columns, "home", *(c.alias(n) for c, n in zip(cell, names))), ["g", "qt", "home", *names]
 
 
 def candidates(directory: Directory, asked: DataFrame, k: int, may: str) -> DataFrame:
@@ -136,27 +167,35 @@ def candidates(directory: Directory, asked: DataFrame, k: int, may: str) -> Data
     ``may`` is SQL over a row's tag {t} and the query's tag {q}.
     """
     every = range(directory.dims)
-    keys = ["g", "qt", *(f"q{i}" for i in every)]
-    square = lambda x: f"({x}) * ({x})"
-    far = " + ".join(square(f"greatest(abs(q{i} - b.lo[{i}]), abs(q{i} - b.hi[{i}]))") for i in every)
-    near = " + ".join(square(f"greatest(b.lo[{i}] - q{i}, q{i} - b.hi[{i}], 0D)") for i in every)
+    if not directory.sizes:
+        return asked.withColumn("path", F.lit("")).withColumn("r", F.lit(float("inf")))
+    # a walk costs far more than its few bytes tell: a fixed number of tasks, that are not merged by size
+    tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points, cell = _cells(directory, asked)
+    points = cut_lineage(points).repartition(tasks, *cell)
+    total = lambda parts: " + ".join(f"pow({x}, 2)" for x in parts)
+    # between a box of points (a0.. to z0..) and a box of rows; and between a point and a box of rows
+    far = total(f"greatest(abs(z{i} - b.lo[{i}]), abs(b.hi[{i}] - a{i}))" for i in every)
+    near = total(f"greatest(b.lo[{i}] - z{i}, a{i} - b.hi[{i}], 0D)" for i in every)
     seen = f"""filter(transform(children, b -> named_struct('far', {far},
         'n', aggregate(b.tags, 0L, (s, e) -> s + IF({may.format(t='e.t', q='qt')}, e.n, 0L)),
-        'near', {near}, 'leaf', b.leaf, 'path', b.path)), x -> x.n > 0)"""
+        'near', {near}, 'leaf', b.leaf, 'path', b.path, 'lo', b.lo, 'hi', b.hi)), x -> x.n > 0)"""
+    far = total(f"greatest(abs(q{i} - b.lo[{i}]), abs(q{i} - b.hi[{i}]))" for i in every)
+    near = total(f"greatest(b.lo[{i}] - q{i}, q{i} - b.hi[{i}], 0D)" for i in every)
+    mine = f"transform(done, b -> named_struct('far', coalesce({far}, double('infinity')), 'n', b.n, 'near', {near}, 'path', b.path))"
     # the radius is bound by a lambda: as a column it would be put into the filter and worked out for each box
-    within = f"""transform(array(aggregate(array_sort(seen), named_struct('n', 0L, 'r', 0D), (s, x) ->
+    within = f"""transform(array(aggregate(sort_array(seen), named_struct('n', 0L, 'r', 0D), (s, x) ->
         IF(s.n >= {int(k)}, s, named_struct('n', s.n + x.n, 'r', x.far)), s -> s.r)), r ->
         named_struct('r', r, 'boxes', filter(seen, x -> x.near <= r * (1 + {EPS}))))[0]"""
-    node = "array<struct<far:double,n:bigint,near:double,leaf:boolean,path:string>>"
-    if not directory.sizes:
-        return asked.withColumn("path", F.lit("")).withColumn("r", F.lit(float("inf")))
-    state = asked
+    node = "array<struct<far:double,n:bigint,near:double,leaf:boolean,path:string,lo:array<double>,hi:array<double>>>"
+    keys = [*cell, *(f"a{i}" for i in every), *(f"z{i}" for i in every)]
+    state = points.groupBy(*cell).agg(*(F.min(f"q{i}").alias(f"a{i}") for i in every), *(F.max(f"q{i}").alias(f"z{i}") for i in every))
     for at, size in enumerate(directory.sizes):
         level = _small(directory.nodes.filter(F.col("level") == at).select("g", "path", "children"), size)
         if at == 0:
             # a group whose root is a leaf has no row here: its one leaf is the root
             state = state.join(level.drop("path"), "g", "left")
-            root = F.expr(f"CAST(array(named_struct('far', double('infinity'), 'n', 0L, 'near', 0D, 'leaf', true, 'path', '')) AS {node})")
+            root = F.expr(f"CAST(array(named_struct('far', double('infinity'), 'n', 0L, 'near', 0D, 'leaf', true, 'path', '', 'lo', null, 'hi', null)) AS {node})")
             state = state.select(*keys, F.when(F.col("children").isNull(), root).otherwise(F.expr(seen).cast(node)).alias("seen"))
         else:
             one = state.select(*keys, "done", F.explode_outer("open").alias("path")).join(level, ["g", "path"], "left")
@@ -164,6 +203,10 @@ def candidates(directory: Directory, asked: DataFrame, k: int, may: str) -> Data
             state = one.groupBy(*keys).agg(F.first("done").alias("done"), F.flatten(F.collect_list("more")).alias("more"))
             state = state.select(*keys, F.concat("done", "more").alias("seen"))
         state = state.select(*keys, F.explode(F.array(F.expr(within))).alias("found"))
-        state = state.select(*keys, F.col("found.r").alias("r"), F.expr("filter(found.boxes, x -> x.leaf)").alias("done"),
+        state = state.select(*keys, F.expr("filter(found.boxes, x -> x.leaf)").alias("done"),
                              F.expr("transform(filter(found.boxes, x -> NOT x.leaf), x -> x.path)").alias("open"))
-    return state.select(*keys, "r", F.explode(F.expr("transform(done, x -> x.path)")).alias("path"))
+    # the cell's leaves are few: each point has its own radius among them
+    met = points.join(state.select(*cell, "done"), cell).select(*asked.columns, F.expr(mine).alias("seen"))
+    met = met.select(*asked.columns, F.explode(F.array(F.expr(within))).alias("found"))
+    met = met.select(*asked.columns, F.col("found.r").alias("r"), F.explode(F.expr("transform(found.boxes, x -> x.path)")).alias("path"))
+    return met.repartition(tasks, "g", "path")

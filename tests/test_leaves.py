@@ -116,3 +116,21 @@ def test_large_levels_are_shuffled(spark, monkeypatch):
         assert [list(got[got.qid == i].rid) for i in range(20)] == brute(x, q, 3)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_walk_is_dealt_over_all_tasks_and_by_cells(spark):
+    """Many queries beside few leaves: cells are walked, not points, and the walk's exchange is not merged by its few bytes."""
+    rng = np.random.default_rng(4)
+    x = np.stack([rng.random(2000), rng.integers(0, 3, 2000) * 45.0], axis=1)
+    q = np.stack([rng.random(1500), rng.integers(0, 6, 1500) * 22.5], axis=1)
+    index = KNN.build_index(frame(spark, x), 5, names(2))
+    te, _ = KNN._asked(index, frame(spark, q), names(2), "id", None, None, None)
+    points = te.select("g", "qt", "q0", "q1").distinct()
+    cells, cell = LV._cells(index, points)
+    assert points.count() == 1500 and cells.select(*cell).distinct().count() < 1500 / 4
+    met = LV.candidates(index, points, 5, "true")
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and met.count() < 1500 * 20
+    got = KNN.search(index, frame(spark, q), 5, names(2)).toPandas().sort_values(["qid", "rk"])
+    for i, want in enumerate(brute(x, q[:50], 5)):
+        assert list(got[got.qid == i].rid) == want
