@@ -20,15 +20,30 @@ def labelled_documents(docs: DataFrame, labels: DataFrame, sample: int, salt: st
     where they lie, and of an id each task passes one on.
     """
     prepare(docs.sparkSession)
-    cols = [c for c in labels.columns if c != "doc_id"]
-    one = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.min(c).alias(c) for c in cols]).dropna()
-    if where is not None:
-        one = one.where(where)
+    one = one_label(labels, where)
     n = one.count()
     share = min(1.0, sample / max(n, 1))
     draw = F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
     chosen = one.where(draw).limit(2 * sample)
+    return _one_text(docs, F.broadcast(chosen)).select("r.*")
+
+
+def one_label(labels: DataFrame, where: Column | None = None) -> DataFrame:
+    """One row for each labelled id that ``where`` admits: the least of each label column."""
+    cols = [c for c in labels.columns if c != "doc_id"]
+    one = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.min(c).alias(c) for c in cols]).dropna()
+    return one if where is None else one.where(where)
+
+
+def every_labelled(docs: DataFrame, labels: DataFrame, salt: str, where: Column | None = None) -> DataFrame:
+    """The same columns of all labelled documents, and ``draw``: a hash of the id to deal and order them by."""
+    prepare(docs.sparkSession)
+    return _one_text(docs, one_label(labels, where)).select(F.xxhash64(F.lit(salt), "doc_id").alias("draw"), "r.*")
+
+
+def _one_text(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    cols = [c for c in labels.columns if c != "doc_id"]
     have = [c for c in ("text", "lang") if c in docs.columns]
-    met = docs.select("doc_id", *have, digest().alias("digest")).join(F.broadcast(chosen), "doc_id")
+    met = docs.select("doc_id", *have, digest().alias("digest")).join(labels, "doc_id")
     order = F.struct("digest", *[c for c in have if c == "lang"])
-    return met.groupBy("doc_id").agg(F.min_by(F.struct(*have, "digest", *cols), order).alias("r")).select("r.*")
+    return met.groupBy("doc_id").agg(F.min_by(F.struct(*have, "digest", *cols), order).alias("r"))

@@ -4,6 +4,7 @@ import itertools
 import random
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -238,3 +239,25 @@ def test_licences_known_by_digest(spark):
     got = {r.doc_id: r.licence for r in licences.scan(docs, own).collect() if r.doc_id > 90}
     assert got == {99: "mine", 98: "other"}
     assert len({n for n, _ in (*licences.DIGESTS, *((n, 0) for n, t in licences.KNOWN if len(t) > 300))}) >= 10
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """A word that no row of the sample has is learnt; the model does not depend on partitions, and thresholds follow all rows kept back."""
+    rated = []
+    real = toxicity._thresholds
+    monkeypatch.setattr(toxicity, "_thresholds", lambda model, rows: rated.append(rows.count()) or real(model, rows))
+    ids = spark.range(900).withColumnRenamed("id", "doc_id")
+    labels = ids.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    drawn = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 30)) < int(100 / 900 * (1 << 30))
+    word = F.when(F.col("doc_id") % 3 != 0, "calm").when(drawn, "nasty").otherwise("zorgblat")
+    docs = ids.select("doc_id", F.concat_ws(" ", F.lit("some text"), F.md5(F.col("doc_id").cast("string")), word).alias("text"), F.lit("en").alias("lang"))
+    model = toxicity.fit(docs, labels, sample=100)
+    data = np.frombuffer(b"zorgblat", np.uint8)
+    at = toxicity.word_ids(data, np.array([0, 8]))[0]
+    assert all(np.abs(model.table[k][at[k]]).max() > 0 for k in range(toxicity.PARTS))
+    back = docs.where(F.conv(F.substring(F.md5("text"), 1, 2), 16, 10).cast("int") % 5 == 4)
+    assert rated == [back.count()] and set(model.by_lang) == {"en"}
+    got = {r.w: r.s for r in docs.select(word.alias("w"), toxicity.score(model, docs).alias("s")).groupBy("w").agg(F.avg("s").alias("s")).collect()}
+    assert got["zorgblat"] > 0.5 > got["calm"]
+    again = toxicity.fit(docs.repartition(5), labels.repartition(3), sample=100)
+    assert (again.table == model.table).all() and again.constant == model.constant and again.by_lang == model.by_lang
