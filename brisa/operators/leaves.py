@@ -24,7 +24,7 @@ from __future__ import annotations
 import functools
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brisa.session import cut_lineage
@@ -34,6 +34,8 @@ FAN = 32
 SMALL_NODES = 1 << 14
 #: Relative error of the quantiles is 1 / ACCURACY; a node that comes out too large is split again.
 ACCURACY = 400
+#: Neighbouring leaves whose points are walked together, as one cell.
+SLAB = 8
 EPS = 1e-9
 
 
@@ -138,8 +140,9 @@ def _directory(rows: DataFrame, dims: int, levels: list[DataFrame]) -> DataFrame
 def _cells(directory: Directory, asked: DataFrame) -> tuple[DataFrame, list[str]]:
     """``asked`` with the columns that say in which cell a point lies, and their names.
 
-    A point goes down the cuts to its leaf; beside the leaf's box, cells are as wide as that box is (at least half an
-    even share of its parent's), so points of a cell lie as near each other as a leaf's rows.
+    A point goes down the cuts to its leaf.  ``SLAB`` neighbouring leaves of a node have one box, if it is about as
+    wide as their rows are dense (else each has its own); beside the box, cells are as wide as that box is (at least half
+    an even share of the node's), so points of a cell lie as near each other as the rows of a few leaves.
     """
     every = range(directory.dims)
     value = F.element_at(F.array(*[F.col(f"q{i}") for i in every]), F.col("dim"))
@@ -149,11 +152,18 @@ def _cells(directory: Directory, asked: DataFrame) -> tuple[DataFrame, list[str]
         state = state.join(level, ["g", "home"], "left").withColumn("value", value)
         down = F.concat("home", F.lit("."), F.expr("size(filter(cuts, c -> c < value))").cast("string"))
         state = state.withColumn("home", F.when(F.col("cuts").isNotNull(), down).otherwise(F.col("home"))).drop("dim", "cuts", "value")
-    own = ", ".join(f"b.hi[{i}] - b.lo[{i}]" for i in every)
     share = ", ".join(f"(array_max(transform(children, x -> x.hi[{i}])) - array_min(transform(children, x -> x.lo[{i}]))) / (2 * size(children))" for i in every)
-    leaf = directory.nodes.select("g", "children", F.expr(f"greatest({share}, 0D)").alias("share")).select("g", "share", F.explode("children").alias("b"))
-    leaf = leaf.filter("b.leaf").select("g", F.col("b.path").alias("home"), "b.lo", "b.hi", F.expr(f"greatest({own}, share)").alias("unit"))
-    state = state.join(_small(leaf, sum(directory.sizes)), ["g", "home"], "left")
+    usual = ", ".join(f"array_sort(transform(filter(children, x -> x.leaf), x -> x.hi[{i}] - x.lo[{i}]))[size(filter(children, x -> x.leaf)) DIV 2]" for i in every)
+    leaf = directory.nodes.select("g", F.col("path").alias("node"), F.explode("children").alias("b"), F.expr(f"greatest({share}, 0D)").alias("share"),
+                                  F.expr(f"array({usual})").alias("usual")).filter("b.leaf")
+    slab = Window.partitionBy("g", "node", F.expr(f"CAST(substring_index(b.path, '.', -1) AS INT) DIV {SLAB}"))
+    leaf = leaf.select("g", "node", "b", "share", "usual", F.min("b.path").over(slab).alias("first"),
+                       F.array(*(F.min(F.col("b.lo")[i]).over(slab) for i in every)).alias("lo"), F.array(*(F.max(F.col("b.hi")[i]).over(slab) for i in every)).alias("hi"))
+    # an outlier or a gap among the leaves would make a box that has nothing to do with where its points lie
+    dense = F.expr(" AND ".join(f"hi[{i}] - lo[{i}] <= {2 * SLAB} * usual[{i}]" for i in every))
+    leaf = leaf.select("g", "share", F.col("b.path").alias("home"), *(F.when(dense, F.col(c)).otherwise(F.col(f"b.{o}")).alias(c) for c, o in (("first", "path"), ("lo", "lo"), ("hi", "hi"))))
+    leaf = leaf.withColumn("unit", F.expr("greatest(" + ", ".join(f"hi[{i}] - lo[{i}]" for i in every) + ", share)"))
+    state = state.join(_small(leaf, sum(directory.sizes)), ["g", "home"], "left").withColumn("home", F.coalesce("first", "home"))
     beside = [F.expr(f"q{i} - greatest(least(q{i}, hi[{i}]), lo[{i}])") for i in every]
     names = [f"o{i}" for i in every]
     cell = [F.when(F.col("lo").isNull(), F.lit(0.0)).when(F.col("unit") > 0, F.rint(b / F.col("unit"))).otherwise(b) + F.lit(0.0) for b in beside]

@@ -134,3 +134,18 @@ def test_the_walk_is_dealt_over_all_tasks_and_by_cells(spark):
     got = KNN.search(index, frame(spark, q), 5, names(2)).toPandas().sort_values(["qid", "rk"])
     for i, want in enumerate(brute(x, q[:50], 5)):
         assert list(got[got.qid == i].rid) == want
+
+
+def test_neighbouring_leaves_are_one_cell_but_not_across_outliers(spark):
+    """Points of several dense leaves are walked together; an outlier among the leaves widens no dense cell."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.random((4000, 2)), [[1e9, 0.5]]])
+    q = np.concatenate([rng.random((1000, 2)), [[1e6, 0.5], [9e8, 0.5]]])
+    index = KNN.build_index(frame(spark, x), 5, names(2))
+    te, _ = KNN._asked(index, frame(spark, q), names(2), "id", None, None, None)
+    cells, cell = LV._cells(index, te.select("g", "qt", "q0", "q1"))
+    box = cells.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), (F.max("q0") - F.min("q0")).alias("wide")).toPandas()
+    assert len(box) < index.rows.select("path").distinct().count() / 3
+    assert box[box.wide <= 1].n.sum() > 900
+    got = KNN.search(index, frame(spark, q), 5, names(2)).toPandas().sort_values(["qid", "rk"])
+    assert [list(got[got.qid == i].rid) for i in range(len(q))] == brute(x, q, 5)
