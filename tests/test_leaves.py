@@ -149,3 +149,38 @@ def test_neighbouring_leaves_are_one_cell_but_not_across_outliers(spark):
     assert box[box.wide <= 1].n.sum() > 900
     got = KNN.search(index, frame(spark, q), 5, names(2)).toPandas().sort_values(["qid", "rk"])
     assert [list(got[got.qid == i].rid) for i in range(len(q))] == brute(x, q, 5)
+
+
+def test_small_nodes_are_split_where_they_are_and_points_find_their_leaf(spark, monkeypatch):
+    """Nodes that fit a task need no pass over all rows for each level, and cuts lead every row to its own leaf (odd ties too)."""
+    rng = np.random.default_rng(15)
+    x = np.concatenate([np.round(rng.normal(size=(2500, 2)), 1), [[-9.0, 0.0]] * 3, [[9.0, 0.0]] * 400, rng.normal(size=(800, 2)), [[1e9, 0.5]]])
+    passes = []
+    real = LV._cuts
+    monkeypatch.setattr(LV, "_cuts", lambda *a: passes.append(1) or real(*a))
+    for block, least, most in ((1 << 15, 0, 0), (512, 1, 4)):
+        monkeypatch.setattr(LV, "BLOCK", block, raising=False)
+        passes.clear()
+        index = KNN.build_index(frame(spark, x), 500, names(2))
+        assert least <= len(passes) <= most
+        small = LV.build(index.rows.drop("path"), 2, 16)
+        leaves = small.rows.groupBy("path").agg(F.count("*").alias("n"), F.countDistinct("c0", "c1").alias("points")).collect()
+        assert sum(r.n for r in leaves) == len(x) and all(r.n <= 16 or r.points == 1 for r in leaves)
+        asked = small.rows.select("g", F.lit(0).alias("qt"), F.col("c0").alias("q0"), F.col("c1").alias("q1"), "path")
+        own, _ = LV._cells(small, asked)
+        assert own.filter("own <> path").count() == 0
+
+
+def test_points_see_the_boxes_of_their_part_of_a_cell(spark):
+    """A cell of many leaves is walked once; its points by leaf are left with a few boxes before each has its radius."""
+    rng = np.random.default_rng(16)
+    x, q = rng.random((6000, 2)), rng.random((900, 2)) * 1.2 - 0.1
+    index = KNN.build_index(frame(spark, x), 5, names(2))
+    te, _ = KNN._asked(index, frame(spark, q), names(2), "id", None, None, None)
+    points = te.select("g", "qt", "q0", "q1").distinct()
+    cells, cell = LV._cells(index, points)
+    assert cells.select(*cell).distinct().count() < cells.select(*cell, "own").distinct().count()
+    met = LV.candidates(index, points, 5, "true")
+    assert "own" in met._jdf.queryExecution().executedPlan().toString() and met.count() < 900 * 20
+    got = KNN.search(index, frame(spark, q), 5, names(2)).toPandas().sort_values(["qid", "rk"])
+    assert [list(got[got.qid == i].rid) for i in range(len(q))] == brute(x, q, 5)
