@@ -124,8 +124,12 @@ def build(points: DataFrame, dims: int, leaf_rows: int) -> Directory:
     """Directory of ``points``: g, t (tag), c0..c<dims - 1> (finite doubles), and other columns to carry."""
     # few bytes, but much work for each: as many files as tasks, so that every level is read by all cores
     tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    plain = [*points.columns, "path"]
-    rows = points.withColumn("path", F.lit("")).withColumn("dims", F.expr("CAST(array() AS ARRAY<INT>)")).withColumn("open", F.lit(True))
+    # what is carried is one column, so that none of its names can meet one used here
+    shape = ["g", "t", *(f"c{i}" for i in range(dims))]
+    carried = [c for c in points.columns if c not in shape]
+    rows = points.select(*shape, *([F.struct(*carried).alias("kept")] if carried else []))
+    plain = [F.col(c) if c in shape else F.col("kept").getField(c).alias(c) for c in points.columns] + [F.col("path")]
+    rows = rows.withColumn("path", F.lit("")).withColumn("dims", F.expr("CAST(array() AS ARRAY<INT>)")).withColumn("open", F.lit(True))
     rows = cut_lineage(rows.repartition(tasks))
     block = max(BLOCK, leaf_rows)
     value = F.element_at(F.array(*[F.col(f"c{i}") for i in range(dims)]), F.col("dim"))

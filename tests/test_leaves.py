@@ -184,3 +184,12 @@ def test_points_see_the_boxes_of_their_part_of_a_cell(spark):
     assert "own" in met._jdf.queryExecution().executedPlan().toString() and met.count() < 900 * 20
     got = KNN.search(index, frame(spark, q), 5, names(2)).toPandas().sort_values(["qid", "rk"])
     assert [list(got[got.qid == i].rid) for i in range(len(q))] == brute(x, q, 5)
+
+
+def test_carried_columns_may_have_any_name(spark):
+    """Names that the build uses itself: carried columns keep their values."""
+    rng = np.random.default_rng(17)
+    x, used = rng.normal(size=(300, 2)), ["n", "dim", "dims", "block", "open", "value", "cuts", "part", "wide", "inner", "kept", "lo0"]
+    got = KNN.nearest(frame(spark, x, **{c: np.arange(300) + j for j, c in enumerate(used)}), frame(spark, x[:9]), 3, names(2), carry=used).toPandas().sort_values(["qid", "rk"])
+    assert [list(got[got.qid == i].rid) for i in range(9)] == brute(x, x[:9], 3)
+    assert all((got[c] == got.rid + j).all() for j, c in enumerate(used))
